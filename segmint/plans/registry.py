@@ -17,13 +17,24 @@ QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
 
+def round_half_away(x, digits: int = 6):
+    """Round the binary value scaled by 10^digits half away from zero, then
+    scale back: the same arithmetic as the oracle's ``round(double, n)``
+    (Spark's ``round`` rounds the decimal expansion, which differs on exact
+    halves such as 106.2815625)."""
+    m = 10.0 ** digits
+    z = F.abs(x) * F.lit(m) + F.lit(0.5)
+    r = F.signum(x) * (z - z % F.lit(1.0)) / F.lit(m)
+    return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), x).otherwise(r)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
+            out.append(round_half_away(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
         else:
-            out.append(F.col(f.name))
+            out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
 
 
