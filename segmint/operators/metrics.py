@@ -89,6 +89,45 @@ def davies_bouldin(df: DataFrame, cols: list[str], label: str = "cluster_id") ->
                    .otherwise(F.avg("r")).alias("davies_bouldin"))
 
 
+def db_ch_multi(df: DataFrame, cols: list[str], labels: list[str]) -> DataFrame:
+    """(labeling, davies_bouldin, calinski_harabasz, n_clusters) for many
+    labelings of the same points in one pass: the labelings are exploded
+    next to the points, so centroids, scatters and within sums of every
+    labeling come from ONE groupBy(labeling, cluster); the k x k steps run on
+    the (labelings x K)-row centroid table."""
+    d = len(cols)
+    long = df.select(F.array(*[F.col(_q(c)).cast("double") for c in cols]).alias("_x"),
+                     F.posexplode(F.array(*[F.col(_q(c)).cast("int") for c in labels])).alias("_l", "_c")
+                     ).where(F.col("_c") >= 0)
+    cents = long.groupBy("_l", "_c").agg(F.count(F.lit(1)).alias("n"),
+                                         *[F.avg(F.col("_x")[i]).alias(f"c_{i}") for i in range(d)])
+    d2 = sum(((F.col("_x")[i] - F.col(f"c_{i}")) ** 2 for i in range(d)), F.lit(0.0))
+    per = (long.join(F.broadcast(cents), ["_l", "_c"])  # labelings x K rows
+           .groupBy("_l", "_c").agg(F.sum(d2).alias("w"), F.avg(F.sqrt(d2)).alias("s")))
+    c = cents.join(per, ["_l", "_c"])
+    lw = Window.partitionBy("_l")
+    g = c
+    for i in range(d):
+        g = g.withColumn(f"g_{i}", F.sum(F.col("n") * F.col(f"c_{i}")).over(lw) / F.sum("n").over(lw))
+    ch = g.groupBy("_l").agg(
+        F.sum(F.col("n") * sum(((F.col(f"c_{i}") - F.col(f"g_{i}")) ** 2 for i in range(d)), F.lit(0.0))).alias("b"),
+        F.sum("w").alias("w"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
+    ch = ch.select("_l", "k", F.when(F.col("w") == 0, F.lit(1.0)).otherwise(
+        F.col("b") * (F.col("n") - F.col("k")) / (F.col("w") * (F.col("k") - 1))).alias("calinski_harabasz"))
+    a = c.select(*[F.col(x).alias(f"a{x}" if x != "_l" else "_l") for x in c.columns])
+    b = c.select(*[F.col(x).alias(f"b{x}" if x != "_l" else "_l") for x in c.columns])
+    dist = F.sqrt(sum(((F.col(f"ac_{i}") - F.col(f"bc_{i}")) ** 2 for i in range(d)), F.lit(0.0)))
+    pairs = a.join(b, "_l").where(F.col("a_c") != F.col("b_c"))
+    ratio = F.when(dist == 0, F.lit(float("inf"))).otherwise((F.col("as") + F.col("bs")) / dist)
+    pr = pairs.groupBy("_l", "a_c").agg(F.max(ratio).alias("r"), F.max(F.col("as") + F.col("bs")).alias("ss"),
+                                        F.max(dist).alias("dmax"))
+    db = pr.groupBy("_l").agg(F.when((F.max("ss") == 0) | (F.max("dmax") == 0), F.lit(0.0))
+                              .otherwise(F.avg("r")).alias("davies_bouldin"))
+    names = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("_l") + 1)
+    return ch.join(db, "_l", "left").select(names.alias("labeling"), "davies_bouldin", "calinski_harabasz",
+                                            F.col("k").alias("n_clusters"))
+
+
 # ---------------------------------------------------------------------------
 # Silhouette
 # ---------------------------------------------------------------------------
@@ -261,16 +300,14 @@ def internal_metrics(df: DataFrame, cols: list[str], label: str = "cluster_id",
 
 def assign_nearest(cols: list[str], cents: list[list[float]]) -> Column:
     """Index of the nearest centroid (squared Euclidean); ties go to the
-    lowest index. The centroids are literals: k x d numbers, bounded by K."""
+    lowest index (``array_position`` finds the first minimum). The centroids
+    are literals: k x d numbers, bounded by K; the expression is linear in k."""
     ds = [sum(((F.col(_q(c)).cast("double") - F.lit(float(v))) ** 2 for c, v in zip(cols, cent)), F.lit(0.0))
           for cent in cents]
-    best = F.lit(0)
-    best_d = ds[0]
-    for i in range(1, len(ds)):
-        better = ds[i] < best_d
-        best = F.when(better, F.lit(i)).otherwise(best)
-        best_d = F.when(better, ds[i]).otherwise(best_d)
-    return best.cast("int")
+    if len(ds) == 1:
+        return F.lit(0).cast("int")
+    arr = F.array(*ds)
+    return (F.array_position(arr, F.array_min(arr)) - 1).cast("int")
 
 
 def lloyd_step(df: DataFrame, cols: list[str], cents: list[list[float]]) -> DataFrame:

@@ -7,6 +7,8 @@ by ``xxhash64(seed, id)``.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from segmint.operators import split as SP
@@ -38,9 +40,13 @@ splits AS (SELECT r.* EXCLUDE (rk), CASE WHEN rk >= n_keep THEN 'test' WHEN rk >
 SPLIT_CTES = split_ctes()
 
 
+@lru_cache(maxsize=4)
 def fixture_split(spark, sf):
-    """subscribers with a ``split`` column (id-ordered variant)."""
-    return SP.split_stratified(fx.subscribers(spark, sf), order_key=F.col("customerID"))
+    """subscribers with a ``split`` column (id-ordered variant). Computed once
+    per session and persisted: every split-consuming query reuses it."""
+    from pyspark import StorageLevel
+    return SP.split_stratified(fx.subscribers(spark, sf), order_key=F.col("customerID")).persist(
+        StorageLevel.MEMORY_AND_DISK)
 
 
 @register("binarize_target", W("SELECT customerID, CASE WHEN Churn='Yes' THEN 1 ELSE 0 END AS target FROM subscribers",
