@@ -35,7 +35,13 @@ def _service(internet: Column, flag: str) -> Column:
 
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One customer record per order, 21 columns (FIXTURES.md A schema)."""
-    orders = read_table(spark, sf_dir, "orders").select(
+    return subscribers_from_orders(spark, sf_dir, read_table(spark, sf_dir, "orders"))
+
+
+def subscribers_from_orders(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """The same records for a given (batch or streaming) orders frame; the
+    customer and line-flag sides are static."""
+    orders = orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     li = _line_flags(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus"))
