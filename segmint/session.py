@@ -53,3 +53,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local_dir = tempfile.mkdtemp(prefix="segmint-ckpt-")
     sc.setCheckpointDir(local_dir)
     return sc.getCheckpointDir()
+
+
+def materialize(df, name: str = "t"):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back. Cuts the lineage like ``checkpoint()`` AND resets the plan
+    statistics to the real file size (a checkpoint keeps the size estimate of
+    the plan it replaces, which multiplies through iterated joins)."""
+    import uuid
+    spark = df.sparkSession
+    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{name}-{uuid.uuid4().hex[:16]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
