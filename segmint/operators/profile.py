@@ -133,3 +133,60 @@ def cluster_size_share(df: DataFrame, names: DataFrame | None = None, cluster_co
     if names is not None:
         out = attach_names(out, names)
     return out
+
+
+def radar_profile(df: DataFrame, features: list[str], cluster_col: str = "cluster_id") -> DataFrame:
+    """(cluster_id, feature, mean, scaled): cluster means of the given
+    features scaled by the GLOBAL min / max of each feature (+1e-10). One
+    groupBy for the means, one aggregate for min / max (one row, broadcast)."""
+    means = df.groupBy(F.col(cluster_col).alias("cluster_id")).agg(
+        *[F.avg(F.col(f).cast("double")).alias(f"m_{i}") for i, f in enumerate(features)])
+    rng = df.agg(*[F.min(F.col(f).cast("double")).alias(f"lo_{i}") for i, f in enumerate(features)],
+                 *[F.max(F.col(f).cast("double")).alias(f"hi_{i}") for i, f in enumerate(features)])
+    j = means.crossJoin(F.broadcast(rng))
+    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"m_{i}").alias("mean"),
+                     ((F.col(f"m_{i}") - F.col(f"lo_{i}")) / (F.col(f"hi_{i}") - F.col(f"lo_{i}") + F.lit(1e-10)))
+                     .alias("scaled")) for i, f in enumerate(features)]
+    return j.select("cluster_id", F.explode(F.array(*rows)).alias("r")).select("cluster_id", "r.*")
+
+
+def centroid_heatmap(df: DataFrame, features: list[str], cluster_col: str = "cluster_id", top: int = 15) -> DataFrame:
+    """(cluster_id, feature, centroid, z): the ``top`` features by
+    population variance, their per-cluster means, z-scored across clusters
+    (population std + 1e-10). One aggregate for the variances, one groupBy
+    for the means; the rest runs on k x top rows."""
+    var = df.agg(*[F.var_pop(F.col(f"`{f}`").cast("double")).alias(f"v_{i}") for i, f in enumerate(features)])
+    vlong = var.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"v_{i}").alias("var"))
+                                           for i, f in enumerate(features)])).alias("r")).select("r.*")
+    topf = vlong.withColumn("_rk", F.row_number().over(Window.orderBy(F.desc("var"), "feature"))).where(
+        F.col("_rk") <= top)
+    means = df.groupBy(F.col(cluster_col).alias("cluster_id")).agg(
+        *[F.avg(F.col(f"`{f}`").cast("double")).alias(f"m_{i}") for i, f in enumerate(features)])
+    mlong = means.select("cluster_id", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"),
+                                                                    F.col(f"m_{i}").alias("centroid"))
+                                                           for i, f in enumerate(features)])).alias("r")
+                         ).select("cluster_id", "r.*")
+    j = mlong.join(F.broadcast(topf.select("feature")), "feature")  # top rows
+    w = Window.partitionBy("feature")
+    return j.select("cluster_id", "feature", "centroid",
+                    ((F.col("centroid") - F.avg("centroid").over(w)) /
+                     (F.stddev_pop("centroid").over(w) + F.lit(1e-10))).alias("z"))
+
+
+def silhouette_plot_data(samples: DataFrame) -> DataFrame:
+    """Per-sample silhouette ranked inside its cluster, the cluster's
+    vertical offset in the plot (10 + sizes of earlier clusters + 10 per
+    gap) and the average line."""
+    from segmint.plans.registry import round_half_away
+    # order by the value rounded to 9 decimals: exact sums differ in the last
+    # bits with summation order, which must not reorder equal values
+    w = Window.partitionBy("cluster_id").orderBy(round_half_away(F.col("silhouette"), 9), "customerID")
+    sizes = samples.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("_n"))
+    offs = sizes.withColumn("y_lower", F.lit(10) + F.coalesce(F.sum(F.col("_n") + 10).over(
+        Window.orderBy("cluster_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    avg = samples.agg(F.avg("silhouette").alias("average"))
+    return (samples.withColumn("rank_in_cluster", F.row_number().over(w) - 1)
+            .join(F.broadcast(offs.select("cluster_id", "y_lower")), "cluster_id")
+            .crossJoin(F.broadcast(avg))
+            .select("customerID", "cluster_id", "silhouette", "rank_in_cluster",
+                    (F.col("y_lower") + F.col("rank_in_cluster")).cast("long").alias("y"), "average"))

@@ -141,3 +141,18 @@ def _own_d2() -> str:
                           extra=_PTS), doubles=("c_0", "c_1", "inertia_before"))
 def q_lloyd_step(spark, sf):
     return M.lloyd_step(points(spark, sf), XY, CENTS)
+
+
+@register("silhouette_plot_data", W("""SELECT customerID, cluster_id, silhouette,
+  CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY round(silhouette, 9), customerID) - 1 AS INTEGER)
+    AS rank_in_cluster,
+  CAST(y_lower + row_number() OVER (PARTITION BY cluster_id ORDER BY round(silhouette, 9), customerID) - 1 AS BIGINT)
+    AS y,
+  (SELECT avg(silhouette) FROM sil) AS average
+  FROM sil JOIN (SELECT cluster_id, 10 + coalesce(sum(n + 10) OVER (ORDER BY cluster_id ROWS BETWEEN UNBOUNDED
+      PRECEDING AND 1 PRECEDING), 0) AS y_lower FROM (SELECT cluster_id, count(*) AS n FROM sil GROUP BY 1) s) o
+  USING (cluster_id)""", extra=_PTS + ",\n" + _sil_ctes()), doubles=("silhouette", "average"))
+def q_silhouette_plot_data(spark, sf):
+    from segmint.operators.profile import silhouette_plot_data
+    smp = M.silhouette_samples(points(spark, sf), XY, "cluster_id").select("customerID", "cluster_id", "silhouette")
+    return silhouette_plot_data(smp)

@@ -146,3 +146,26 @@ def q_cluster_size_share(spark, sf):
     lab = fx.labelled(spark, sf)
     names = P.assign_names(P.cluster_profiles(lab)).select("cluster_id", "cluster_name")
     return P.cluster_size_share(lab, names)
+
+
+_RADAR_F = ["tenure", "MonthlyCharges", "TotalCharges", "SeniorCitizen"]
+
+
+@register("radar_profile", W(" UNION ALL ".join(
+    f"""SELECT cluster_id, '{f}' AS feature, avg(CAST("{f}" AS DOUBLE)) AS mean,
+  (avg(CAST("{f}" AS DOUBLE)) - lo) / (hi - lo + 1e-10) AS scaled FROM labelled CROSS JOIN
+  (SELECT min(CAST("{f}" AS DOUBLE)) AS lo, max(CAST("{f}" AS DOUBLE)) AS hi FROM labelled) r GROUP BY cluster_id, lo, hi"""
+    for f in _RADAR_F)), doubles=("mean", "scaled"))
+def q_radar_profile(spark, sf):
+    return P.radar_profile(fx.labelled(spark, sf), _RADAR_F)
+
+
+@register("centroid_heatmap", W("""SELECT cluster_id, feature, centroid, (centroid - avg(centroid) OVER (PARTITION BY feature)) /
+  (stddev_pop(centroid) OVER (PARTITION BY feature) + 1e-10) AS z FROM m JOIN t USING (feature)""", extra="""v AS (SELECT feature, var FROM (""" + " UNION ALL ".join(
+    f"""SELECT '{f}' AS feature, var_pop(CAST("{f}" AS DOUBLE)) AS var FROM labelled""" for f in _RADAR_F) + """) x),
+t AS (SELECT feature FROM (SELECT feature, row_number() OVER (ORDER BY var DESC, feature) AS rk FROM v) y WHERE rk <= 3),
+m AS (""" + " UNION ALL ".join(
+    f"""SELECT cluster_id, '{f}' AS feature, avg(CAST("{f}" AS DOUBLE)) AS centroid FROM labelled GROUP BY 1"""
+    for f in _RADAR_F) + ")"), doubles=("centroid", "z"))
+def q_centroid_heatmap(spark, sf):
+    return P.centroid_heatmap(fx.labelled(spark, sf), _RADAR_F, top=3)
