@@ -40,8 +40,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster
-    (``spark.checkpoint.dir``). Only when it is unset (local tests) do we set
-    our own folder under the system temp dir."""
+    (``spark.checkpoint.dir``). Only when it is unset and the master is local
+    do we set our own folder under the system temp dir; on a cluster that
+    folder would be private to each machine, so we refuse."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -50,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local_dir = tempfile.mkdtemp(prefix="segmint-ckpt-")
     sc.setCheckpointDir(local_dir)
     return sc.getCheckpointDir()
