@@ -33,3 +33,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmint.llm.toxicity import toxicity_scores
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.jaccard import Join, jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"), Join(words=3, percent=90, n2=2))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,21 +40,9 @@ def words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-class WordHashes(dict):
-    """word -> stable 64-bit hash, remembered for up to ``keep`` words."""
-
-    def __init__(self, keep: int = 400_000):
-        super().__init__()
-        self.keep = keep
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.keep:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, ws: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, ws), dtype=np.uint64, count=len(ws))
+def word_hashes(ws: list[bytes]) -> np.ndarray:
+    """A stable 64-bit hash of each word."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, ws), dtype=np.uint64, count=len(ws))
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -64,18 +53,54 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_hashes(h: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of the n-word windows over word hashes; with fewer words, the
-    whole sequence as one; without words, none."""
-    if not len(h):
-        return h
-    n = min(n, len(h))
-    out = np.zeros(len(h) - n + 1, np.uint64)
+def shingle_hashes(docs: list[np.ndarray], n: int) -> list[np.ndarray]:
+    """For each document's word hashes, the hashes of its n-word windows; with
+    fewer words, the whole sequence as one; without words, none."""
+    sizes = np.array([len(d) for d in docs], np.int64)
+    if not sizes.sum():
+        return [np.zeros(0, np.uint64) for _ in docs]
+    h = np.concatenate(docs)
+    out = np.zeros(max(0, len(h) - n + 1), np.uint64)
     for i in range(n):
         out = mix(out ^ h[i:i + len(out)], i + 1)
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    return [out[a:a + size - n + 1] if size >= n else _short(h[a:a + size]) for a, size in zip(at, sizes, strict=False)]
+
+
+def _short(h: np.ndarray) -> np.ndarray:
+    out = np.zeros(min(1, len(h)), np.uint64)
+    for i in range(len(h)):
+        out = mix(out ^ h[i:i + 1], i + 1)
     return out
 
 
-def batches_of(column, size: int) -> Iterator[slice]:
-    for at in range(0, len(column), size):
-        yield slice(at, at + size)
+def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
+    """Each text's distinct shingle hashes, ascending."""
+    return [np.unique(x) for x in shingle_hashes([word_hashes(words(t)) for t in texts], n)]
+
+
+def slices(sizes: list[int], most: int) -> Iterator[slice]:
+    """Consecutive slices of about ``most`` in size, one item at least."""
+    first, total = 0, 0
+    for i, size in enumerate(sizes):
+        if total and total + size > most:
+            yield slice(first, i)
+            first, total = i, 0
+        total += size
+    if first < len(sizes):
+        yield slice(first, len(sizes))
+
+
+def grouped(parts: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[list[dict]]:
+    """The rows of one key at a time, from batches sorted by ``keys``."""
+    rows, key = [], None
+    for b in parts:
+        for row in b.to_pylist():
+            k = tuple(row[c] for c in keys)
+            if rows and k != key:
+                yield rows
+                rows = []
+            key = k
+            rows.append(row)
+    if rows:
+        yield rows
