@@ -39,3 +39,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmint.llm.jaccard import Join, jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents"), Join(words=3, percent=90, n2=2))
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
