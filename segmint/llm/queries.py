@@ -45,3 +45,9 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmint.llm.decontaminate import contaminated
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
+@query
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.language_model import lm_scores
+    return lm_scores(table(spark, sf_dir, "documents"))
