@@ -51,3 +51,9 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmint.llm.language_model import lm_scores
     return lm_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.vector_join import vector_components
+    return vector_components(table(spark, sf_dir, "embeddings"))
