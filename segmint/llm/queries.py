@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from segmint.llm import url_reputation
 from segmint.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +58,12 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmint.llm.vector_join import vector_components
     return vector_components(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.url_reputation import url_verdicts
+    return url_verdicts(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op5_url_filter"] = url_reputation.ORACLE

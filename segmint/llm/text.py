@@ -21,10 +21,10 @@ def utf8(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("")).cast("binary")
 
 
-def lower_az(column: str) -> Column:
+def lower_az(text: Column) -> Column:
     """Only A-Z are lowered, whatever the locale."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.translate(F.col(column), upper, upper.lower())
+    return F.translate(text, upper, upper.lower())
 
 
 def free_name(df: DataFrame, base: str) -> str:
