@@ -67,3 +67,9 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op5_url_filter"] = url_reputation.ORACLE
+
+
+@query
+def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.pseudonyms import private_digests
+    return private_digests(table(spark, sf_dir, "documents"))
