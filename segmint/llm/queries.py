@@ -73,3 +73,9 @@ ORACLE["op5_url_filter"] = url_reputation.ORACLE
 def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmint.llm.pseudonyms import private_digests
     return private_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.licenses import license_paragraphs
+    return license_paragraphs(table(spark, sf_dir, "documents"))
