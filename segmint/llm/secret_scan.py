@@ -139,15 +139,11 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET
         lambda acc, x: F.struct(F.concat(acc["t"], F.substring(text, acc["p"] + 1, x["s"] - acc["p"]), F.lit(mark)).alias("t"),
                                 x["e"].alias("p")),
         lambda acc: F.concat(acc["t"], F.substring(text, acc["p"] + 1, F.length(text))))
-    cols = []
-    for c in docs.columns:
-        if c == text_col:
-            cols.append(F.when(F.size(at) > 0, new).otherwise(text).alias(c))
-        elif c == "n_chars":
-            cols.append(F.when(F.size(at) > 0, F.length(new)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c))
-        else:
-            cols.append(F.col(f"`{c}`"))
-    return found.select(*cols)
+    hit = F.size(at) > 0
+    out = found.select(*(F.when(hit, new).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in found.columns))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(hit, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def secret_digests(docs: DataFrame, **scan) -> DataFrame:
