@@ -243,7 +243,7 @@ class SegmentFeaturesModel(Model):
 
     def _check(self):
         if not self.state:
-            raise ValueError("Preprocessor must be fitted before transform")
+            raise ValueError("no fitted state: call fit() or load() first")
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         return self.transform_with(dataset, keep=(self.spec.id, self.spec.target))
@@ -342,12 +342,3 @@ def assemble_features(df: DataFrame, names: list[str], out: str = "features", ke
 def transform_splits(model: SegmentFeaturesModel, df: DataFrame, split_col: str = "split") -> DataFrame:
     """One transform over the frame with a split column (kept)."""
     return model.transform_with(df, keep=(model.spec.id, model.spec.target, split_col))
-
-
-def feature_count_summary(raw_columns: list[str], model: SegmentFeaturesModel) -> DataFrame:
-    spark = SparkSession.getActiveSession()
-    spec = model.spec
-    orig = len([c for c in raw_columns if c not in (spec.id, spec.target)])
-    proc = len(model.feature_names)
-    return spark.createDataFrame([(orig, proc, proc - orig)],
-                                 "original_features int, processed_features int, new_features int")

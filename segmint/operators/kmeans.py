@@ -15,19 +15,39 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmint.operators import metrics as M
-from segmint.session import ensure_checkpoint_dir
+from segmint.session import materialize
 
 
 def _q(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
+def check_features(df: DataFrame, cols: list[str]) -> None:
+    """Raises with the columns and counts of null or NaN features."""
+    bad = [F.sum(F.when(F.col(_q(c)).isNull() | F.isnan(F.col(_q(c)).cast("double")), 1).otherwise(0)).alias(c) for c in cols]
+    row = df.agg(*bad).first()
+    found = {c: row[i] for i, c in enumerate(cols) if row[i]}
+    if found:
+        raise ValueError(f"null or NaN features: {found}; set them apart with split_valid() or impute them")
+
+
+def split_valid(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows that can be clustered, rows with a null or NaN feature)."""
+    ok = F.lit(True)
+    for c in cols:
+        ok = ok & F.col(_q(c)).isNotNull() & ~F.isnan(F.col(_q(c)).cast("double"))
+    return df.where(ok), df.where(~ok)
+
+
 def as_vectors(df: DataFrame, cols: list[str], out: str = "features", keep=()) -> DataFrame:
-    va = VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip")
+    """One vector column. Rows with a null or NaN feature are an error, never
+    left out."""
+    check_features(df, cols)
+    va = VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error")
     return va.transform(df.select(*[F.col(_q(c)) for c in keep], *[F.col(_q(c)) for c in cols])).select(
         *[F.col(_q(c)) for c in keep], out)
 
@@ -75,8 +95,8 @@ def kmeans_sweep(df: DataFrame, cols: list[str], k_range=range(2, 11), id_col: s
     per K, fitted and scored on ``df``. All K labelings are attached as
     columns and their silhouettes share ONE distance pass."""
     spark = df.sparkSession
-    vec = as_vectors(df, cols, keep=(id_col,)).persist(StorageLevel.MEMORY_AND_DISK)
-    labelled = df.select(_q(id_col), *[F.col(_q(c)) for c in cols])
+    labelled = materialize(df.select(_q(id_col), *[F.col(_q(c)) for c in cols]), "sweep-points")
+    vec = as_vectors(labelled, cols, keep=(id_col,)).persist(StorageLevel.MEMORY_AND_DISK)
     ks = list(k_range)
     # the fits are independent jobs: submit them concurrently so small fits
     # do not leave the cluster idle between iterations
@@ -87,8 +107,7 @@ def kmeans_sweep(df: DataFrame, cols: list[str], k_range=range(2, 11), id_col: s
         centers = canonical_centers(model.clusterCenters())
         labelled = labelled.withColumn(f"k_{k}", M.assign_nearest(cols, centers))
         fits.append((k, float(cost), int(iters)))
-    ensure_checkpoint_dir(spark)
-    labelled = labelled.checkpoint()  # cut the lineage: every metric below starts from a plain scan
+    labelled = materialize(labelled, "sweep-labels")  # every metric below starts from a plain scan
     names = [f"k_{k}" for k, _, _ in fits]
     sil = M.silhouette_score(labelled, cols, names, id_col, mode=silhouette_mode, **sil_kw)
     other = M.db_ch_multi(labelled, cols, names)
@@ -105,9 +124,10 @@ def elbow_curve(sweep: DataFrame) -> DataFrame:
 
 
 def argmax_first(df: DataFrame, score: str, order: str) -> DataFrame:
-    """Row with the highest score; ties go to the first by ``order``."""
+    """Row with the highest score; ties go to the first by ``order``. Null and
+    NaN scores never win."""
     w = Window.orderBy(F.desc(score), F.col(order))
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return df.where(F.col(score).isNotNull() & ~F.isnan(score)).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def select_k_business_rules(sweep: DataFrame, min_k: int = 3, max_k: int = 6, k2_tolerance: float = 0.05,
@@ -133,13 +153,12 @@ def select_k_business_rules(sweep: DataFrame, min_k: int = 3, max_k: int = 6, k2
              .when(opt == 2, F.coalesce(F.col("first_close"), F.lit(min_k)))
              .when(opt > max_k, F.col("best_small"))
              .otherwise(opt))
-    reason = (F.when(opt == 1, F.format_string("K=1 provides no segmentation. Selected K=%d for actionable business "
-                                               "segments.", final))
+    reason = (F.when(opt == 1, F.format_string("One group is no segmentation; K=%d is the smallest that the business can act on.", final))
               .when((opt == 2) & F.col("first_close").isNotNull(),
-                    F.format_string("While K=2 yields highest silhouette (%.3f), it only separates high/low value "
-                                    "customers. K=%d provides more actionable segments.", F.col("opt_sil"), final))
-              .when(opt == 2, F.lit("K=2 is too trivial for segmentation. Selected K=3."))
-              .when(opt > max_k, F.format_string("K=%d is too granular for operational marketing. Selected K=%d.",
+                    F.format_string("Two groups score best (%.3f) but tell high from low value only; K=%d scores nearly as "
+                                    "well and tells more.", F.col("opt_sil"), final))
+              .when(opt == 2, F.lit(f"Two groups are too coarse and no larger K is close; K={min_k} is taken."))
+              .when(opt > max_k, F.format_string("%d groups are more than campaigns can serve; K=%d is the best that is not.",
                                                  opt, final)))
     return agg.select(F.lit(algorithm).alias("final_algorithm"), F.col("opt_k").alias("mathematical_optimum_k"),
                       F.col("opt_sil").alias("mathematical_optimum_sil"), final.cast("int").alias("final_k"),
@@ -151,29 +170,40 @@ def best_linkage(agg_sweep: DataFrame, linkages=("ward", "complete", "average"))
     the earlier linkage, then the lower K."""
     order = F.array_position(F.array(*[F.lit(x) for x in linkages]), F.col("linkage"))
     w = Window.orderBy(F.desc("silhouette"), order, F.col("k"))
-    return agg_sweep.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return agg_sweep.where(F.col("silhouette").isNotNull() & ~F.isnan("silhouette")).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def algorithm_comparison(kmeans_sweep_df: DataFrame, agg_sweep: DataFrame | None = None,
                          dbscan_grid_df: DataFrame | None = None) -> DataFrame:
     """Best silhouette per algorithm (DBSCAN floored at 0), best flagged."""
     parts = [argmax_first(kmeans_sweep_df, "silhouette", "k").select(
-        F.lit("K-Means").alias("algorithm"), F.col("silhouette"), F.concat(F.lit("k="), F.col("k")).alias("config"))]
+        F.lit(0).alias("_o"), F.lit("K-Means").alias("algorithm"), F.col("silhouette"),
+        F.concat(F.lit("k="), F.col("k")).alias("config"))]
     if agg_sweep is not None:
         parts.append(best_linkage(agg_sweep).select(
-            F.lit("Agglomerative").alias("algorithm"), "silhouette",
+            F.lit(1).alias("_o"), F.lit("Agglomerative").alias("algorithm"), "silhouette",
             F.concat(F.col("linkage"), F.lit(", k="), F.col("k")).alias("config")))
     if dbscan_grid_df is not None:
-        b = dbscan_grid_df.where("is_best")
-        parts.append(b.select(F.lit("DBSCAN").alias("algorithm"), F.greatest(F.col("silhouette"), F.lit(0.0))
-                              .alias("silhouette"),
-                              F.format_string("eps=%s, min_samples=%d", F.col("eps").cast("string"),
-                                              F.col("min_samples")).alias("config")))
+        b = dbscan_grid_df.where("is_best").agg(  # one row, also without a best setting
+            F.greatest(F.coalesce(F.max("silhouette"), F.lit(0.0)), F.lit(0.0)).alias("silhouette"),
+            F.max(F.format_string("eps=%s, min_samples=%d", F.col("eps").cast("string"), F.col("min_samples"))).alias("config"))
+        parts.append(b.select(F.lit(2).alias("_o"), F.lit("DBSCAN").alias("algorithm"), "silhouette", "config"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    w = Window.orderBy(F.desc("silhouette"))
-    return out.withColumn("is_best", F.row_number().over(w) == 1)
+    w = Window.orderBy(F.desc("silhouette"), "_o")  # at most three rows; equal scores: the first algorithm
+    return out.withColumn("is_best", F.row_number().over(w) == 1).drop("_o")
+
+
+def silhouette_curve(sweep: DataFrame, by: str = "k", top: int | None = None) -> DataFrame:
+    """Scores of a sweep with their ranks: (by, silhouette, rank, is_best),
+    highest first; equal scores by ``by``. Null or NaN scores have no rank.
+    ``top`` limits the report."""
+    s = sweep.select(by, F.when(~F.isnan("silhouette"), F.col("silhouette")).alias("silhouette"))
+    w = Window.orderBy(F.col("silhouette").desc_nulls_last(), by)  # one row per configuration
+    out = s.withColumn("rank", F.when(F.col("silhouette").isNotNull(), F.row_number().over(w)))
+    out = out.withColumn("is_best", F.coalesce(F.col("rank") == 1, F.lit(False)))
+    return out if top is None else out.where(F.col("rank") <= top)
 
 
 def save_model(model: KMeansModel, path: str) -> None:
@@ -182,9 +212,3 @@ def save_model(model: KMeansModel, path: str) -> None:
 
 def load_model(path: str) -> KMeansModel:
     return KMeansModel.load(path)
-
-
-def centers_frame(spark: SparkSession, centers) -> DataFrame:
-    """(cluster_id, center array) of canonical centroids."""
-    rows = [(i, list(map(float, c))) for i, c in enumerate(canonical_centers(centers))]
-    return spark.createDataFrame(rows, "cluster_id int, center array<double>")

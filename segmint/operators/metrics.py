@@ -10,8 +10,6 @@
   pair of points is ever emitted, a task holds two blocks at most, and the
   blocks are by id hash, so a cluster holding a third of the rows spreads
   over all tasks like any other. Several labelings share ONE distance pass.
-  ``max_exact`` guards the cost; above it the caller must choose
-  ``mode='sampled'`` (a named estimate) explicitly.
 """
 
 from __future__ import annotations
@@ -25,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmint.functions import rules
+from segmint.session import materialize
 
 
 def _q(c: str) -> str:
@@ -136,58 +135,75 @@ _PARTIAL = T.StructType([T.StructField("_id", T.StringType()), T.StructField("_l
                          T.StructField("_other", T.IntegerType()), T.StructField("_sum", T.DoubleType())])
 
 
-def _block_sums(n_labelings: int):
+def sq_distances(a: np.ndarray, b: np.ndarray, exact_at: tuple[float, ...] = (0.0,)) -> np.ndarray:
+    """Squared distances by one matrix product; entries so close to one of
+    ``exact_at`` that rounding could matter are computed from differences."""
+    na, nb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+    g = na[:, None] + nb[None, :] - 2.0 * (a @ b.T)
+    slack = 1e-9 * (1.0 + float(na.max(initial=0.0)) + float(nb.max(initial=0.0)))
+    near = np.zeros(g.shape, dtype=bool)
+    for v in exact_at:
+        near |= np.abs(g - v) <= slack
+    r, c = np.nonzero(near)
+    for s in range(0, len(r), 100_000):
+        diff = a[r[s:s + 100_000]] - b[c[s:s + 100_000]]
+        g[r[s:s + 100_000], c[s:s + 100_000]] = np.einsum("ij,ij->i", diff, diff)
+    return np.maximum(g, 0.0, out=g)
+
+
+def _block_sums(n_labelings: int, tile: int = 512):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         bi, bj = int(pdf["_bi"].iloc[0]), int(pdf["_bj"].iloc[0])
         x = np.stack(pdf["_x"].to_numpy()).astype(np.float64)
+        x -= x.mean(axis=0)  # distances do not change, cancellation does
         labs = np.stack(pdf["_c"].to_numpy()).astype(np.int64).reshape(len(pdf), n_labelings)
-        ids = pdf["_id"].to_numpy()
-        blk = pdf["_b"].to_numpy()
+        ids, blk = pdf["_id"].to_numpy(), pdf["_b"].to_numpy()
         ia = np.nonzero(blk == bi)[0]
-        ib = np.nonzero(blk == bj)[0] if bj != bi else ia
-        xa, xb = x[ia], x[ib]
-        d = xa.shape[1]
-        dist = np.empty((len(ia), len(ib)))
-        step = max(1, 4_000_000 // max(1, len(ib) * d))
-        for s in range(0, len(ia), step):
-            diff = xa[s:s + step, None, :] - xb[None, :, :]
-            dist[s:s + step] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+        ib = np.nonzero(blk == bj)[0]
+
+        def one_hot(rows):
+            """Columns: the clusters of every labeling; noise (-1) has none."""
+            names, cols = [], []
+            for li in range(n_labelings):
+                for c in np.unique(labs[rows, li]):
+                    if c >= 0:
+                        names.append((li, c))
+                        cols.append(labs[rows, li] == c)
+            return names, (np.stack(cols, axis=1).astype(np.float64) if cols else np.zeros((len(rows), 0)))
+
+        names_a, hot_a = one_hot(ia)
+        names_b, hot_b = one_hot(ib)
+        sum_a = np.zeros((len(ia), len(names_b)))
+        sum_b = np.zeros((len(ib), len(names_a)))
+        for s in range(0, len(ia), tile):
+            d = np.sqrt(sq_distances(x[ia[s:s + tile]], x[ib]))
+            sum_a[s:s + tile] = d @ hot_b
+            if bi != bj:
+                sum_b += d.T @ hot_a[s:s + tile]
         out = []
-        for li in range(n_labelings):
-            sides = [(ia, ib, dist)] if bj == bi else [(ia, ib, dist), (ib, ia, dist.T)]
-            for rows, cols_, m in sides:
-                lc = labs[cols_, li]
-                keep = lc >= 0  # noise (-1) is not a cluster
-                uniq = np.unique(lc[keep])
-                if len(uniq) == 0:
-                    continue
-                onehot = (lc[keep][:, None] == uniq[None, :]).astype(np.float64)
-                sums = m[:, keep] @ onehot  # rows x clusters
-                rid = np.repeat(ids[rows], len(uniq))
-                out.append(pd.DataFrame({"_id": rid, "_l": np.int32(li),
-                                         "_other": np.tile(uniq, len(rows)).astype(np.int32),
-                                         "_sum": sums.reshape(-1)}))
-        if not out:
-            return pd.DataFrame({"_id": pd.Series(dtype=str), "_l": pd.Series(dtype=np.int32),
-                                 "_other": pd.Series(dtype=np.int32), "_sum": pd.Series(dtype=float)})
+        for rows, names, sums in ((ia, names_b, sum_a), (ib, names_a, sum_b)) if bi != bj else ((ia, names_b, sum_a),):
+            out.append(pd.DataFrame({"_id": np.repeat(ids[rows], len(names)),
+                                     "_l": np.tile(np.array([n[0] for n in names], np.int32), len(rows)),
+                                     "_other": np.tile(np.array([n[1] for n in names], np.int32), len(rows)),
+                                     "_sum": sums.reshape(-1)}))
         return pd.concat(out, ignore_index=True)
     return fn
 
 
 def silhouette_samples(df: DataFrame, cols: list[str], labels: list[str] | str = "cluster_id",
-                       id_col: str = "customerID", block_rows: int = 2048, n_rows: int | None = None,
-                       max_exact: int | None = 2_000_000) -> DataFrame:
+                       id_col: str = "customerID", block_rows: int = 8192) -> DataFrame:
     """(id, labeling, cluster_id, a, b, silhouette) per point and labeling.
 
     Label values < 0 are noise: such points get no value for that labeling
-    and are not part of any cluster. A point alone in its cluster gets 0."""
+    and are not part of any cluster. A point alone in its cluster gets 0. The
+    work is quadratic at any size; a task holds two blocks of ``block_rows``
+    and one tile of their distances."""
     labels = [labels] if isinstance(labels, str) else list(labels)
     pts = df.select(F.col(_q(id_col)).cast("string").alias("_id"),
                     F.array(*[F.col(_q(c)).cast("int") for c in labels]).alias("_c"),
                     F.array(*[F.col(_q(c)).cast("double") for c in cols]).alias("_x"))
-    n = n_rows if n_rows is not None else pts.count()
-    if max_exact is not None and n > max_exact:
-        raise ValueError(f"exact silhouette on {n} rows > max_exact={max_exact}; use mode='sampled'")
+    pts = materialize(pts, "silhouette-points")  # read by every step below
+    n = pts.count()
     nb = max(1, math.ceil(n / block_rows))
     pts = pts.withColumn("_b", F.pmod(F.xxhash64("_id"), F.lit(nb)).cast("int"))
     rep = pts.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))).select(
@@ -216,15 +232,12 @@ def silhouette_samples(df: DataFrame, cols: list[str], labels: list[str] | str =
 
 
 def silhouette_score(df: DataFrame, cols: list[str], labels: list[str] | str = "cluster_id",
-                     id_col: str = "customerID", mode: str = "exact", sample_per_cluster: int = 2000,
-                     seed: int = 42, **kw) -> DataFrame:
+                     id_col: str = "customerID", mode: str = "exact", **kw) -> DataFrame:
     """(labeling, silhouette, n, mode) per labeling.
 
     ``mode='exact'``: mean of ``silhouette_samples`` over all points.
-    ``mode='sampled'``: an explicitly requested estimate: a hash sample of
-    query points per cluster (weighted by cluster size) against ALL points.
     ``mode='squared'``: Spark's ClusteringEvaluator (squared Euclidean), a
-    different number, linear cost."""
+    different number, linear cost, over all points too."""
     labels = [labels] if isinstance(labels, str) else list(labels)
     if mode == "exact":
         smp = silhouette_samples(df, cols, labels, id_col, **kw)
@@ -242,46 +255,9 @@ def silhouette_score(df: DataFrame, cols: list[str], labels: list[str] | str = "
                                       distanceMeasure="squaredEuclidean").evaluate(v)
             rows.append((lab, float(val), None, "squared"))
         return spark.createDataFrame(rows, "labeling string, silhouette double, n long, mode string")
-    if mode == "sampled":
-        out = None
-        for lab in labels:
-            s = _sampled_one(df, cols, lab, id_col, sample_per_cluster, seed, **kw)
-            out = s if out is None else out.unionByName(s)
-        return out
     raise ValueError(f"unknown silhouette mode {mode!r}")
 
 
-def _sampled_one(df, cols, label, id_col, per_cluster, seed, **kw):
-    """Query points: the ``per_cluster`` smallest xxhash64(seed, id) of each
-    cluster; each query point's silhouette is exact against all points and
-    the mean is weighted by cluster size / sample size."""
-    base = df.where(F.col(_q(label)) >= 0)
-    h = F.xxhash64(F.lit(seed), F.col(_q(id_col)).cast("string"))
-    w = Window.partitionBy(F.col(_q(label))).orderBy(h)
-    ranked = base.withColumn("_rk", F.row_number().over(w)).withColumn(
-        "_nc", F.count(F.lit(1)).over(Window.partitionBy(F.col(_q(label)))))
-    q = ranked.where(F.col("_rk") <= per_cluster).select(F.col(_q(id_col)).cast("string").alias("_qid"),
-                                                         F.col(_q(label)).alias("_ql"),
-                                                         (F.col("_nc") / F.least(F.col("_nc"), F.lit(per_cluster)))
-                                                         .alias("_w"),
-                                                         *[F.col(_q(c)).alias(f"_q{i}") for i, c in enumerate(cols)])
-    sizes = base.groupBy(F.col(_q(label)).alias("_o")).agg(F.count(F.lit(1)).alias("_no"))
-    # query sample (k * per_cluster rows, bounded by parameters) x all points
-    pair = base.select(F.col(_q(label)).alias("_o"), *[F.col(_q(c)) for c in cols]).crossJoin(F.broadcast(q))
-    dist = F.sqrt(sum(((F.col(_q(c)).cast("double") - F.col(f"_q{i}")) ** 2 for i, c in enumerate(cols)), F.lit(0.0)))
-    sums = pair.groupBy("_qid", "_ql", "_w", "_o").agg(F.sum(dist).alias("_s")).join(F.broadcast(sizes), "_o")
-    per = sums.groupBy("_qid", "_ql", "_w").agg(
-        F.max(F.when(F.col("_o") == F.col("_ql"), F.when(F.col("_no") > 1, F.col("_s") / (F.col("_no") - 1))
-                     .otherwise(0.0))).alias("a"),
-        F.min(F.when(F.col("_o") != F.col("_ql"), F.col("_s") / F.col("_no"))).alias("b"),
-        F.max(F.when(F.col("_o") == F.col("_ql"), F.col("_no"))).alias("_nc"))
-    s = (F.when((F.col("_nc") <= 1) | F.col("b").isNull() | (F.greatest("a", "b") == 0), F.lit(0.0))
-         .otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b")))
-    return per.agg((F.sum(s * F.col("_w")) / F.sum("_w")).alias("silhouette"),
-                   F.sum("_w").cast("long").alias("n")).select(F.lit(label).alias("labeling"), "silhouette", "n",
-                                                               F.lit("sampled").alias("mode"))
-
-
 def internal_metrics(df: DataFrame, cols: list[str], label: str = "cluster_id", id_col: str = "customerID",
                      mode: str = "exact", **kw) -> DataFrame:
     """One row: silhouette, davies_bouldin, calinski_harabasz, n_samples,

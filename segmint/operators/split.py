@@ -26,7 +26,7 @@ from segmint.spec import DEFAULT_SPEC, SegmentSpec
 
 def check_ratios(train: float, val: float, test: float) -> None:
     if abs(train + val + test - 1.0) >= 1e-6:
-        raise ValueError("Split ratios must sum to 1.0")
+        raise ValueError(f"train, val and test must add up to 1, not {train + val + test}")
 
 
 def binarize_target(df: DataFrame, target: str = "Churn", positive: str = "Yes", out: str = "target") -> DataFrame:
@@ -89,12 +89,17 @@ def _nth_keys(ordered: DataFrame, targets: DataFrame, stratum: str) -> DataFrame
 def split_stratified(df: DataFrame, stratum: str = "Churn", id_col: str = "customerID",
                      train_ratio: float = 0.6, val_ratio: float = 0.2, test_ratio: float = 0.2,
                      seed: int = 42, order_key: Column | None = None, out: str = "split",
-                     n_parts: int | None = None) -> DataFrame:
-    """Adds a ``split`` column ('train' / 'validation' / 'test')."""
+                     n_parts: int | None = None, negative="No") -> DataFrame:
+    """Adds a ``split`` column ('train' / 'validation' / 'test'). Rows with a
+    null stratum belong to the stratum ``negative``."""
     check_ratios(train_ratio, val_ratio, test_ratio)
     spark = df.sparkSession
     key = order_key if order_key is not None else F.xxhash64(F.lit(seed), F.col(id_col))
     base = df.withColumn("_k", key).withColumn("_id", F.col(id_col))
+    raw, stratum = stratum, "_stratum"
+    # a null target counts as the other class, as in binarize_target
+    value = (F.when(F.col(raw).isNull(), F.lit(negative).cast(dict(df.dtypes)[raw])).otherwise(F.col(raw)))
+    base = base.withColumn(stratum, value)
     strata = base.groupBy(stratum).agg(F.count(F.lit(1)).alias("n_c"))
     quotas = split_quotas(strata, stratum, train_ratio, val_ratio, test_ratio)
 
@@ -117,7 +122,7 @@ def split_stratified(df: DataFrame, stratum: str = "Churn", id_col: str = "custo
              .when(F.col("_b_val").isNotNull() & (row >= F.col("_b_val")), "validation")
              .otherwise("train"))
     # strata x 2 boundary keys: bounded by the number of strata of the target
-    return base.join(F.broadcast(b), stratum, "left").withColumn(out, label).drop("_k", "_id", "_b_val", "_b_test")
+    return base.join(F.broadcast(b), stratum, "left").withColumn(out, label).drop("_k", "_id", "_b_val", "_b_test", stratum)
 
 
 def split_summary(df: DataFrame, split_col: str = "split", target: str = "Churn", positive: str = "Yes") -> DataFrame:

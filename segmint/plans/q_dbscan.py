@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from segmint.operators import dbscan as DB
+from segmint.plans.q_cluster import split_features
 from segmint.plans.q_metrics import XY, _PTS, points
 from segmint.plans.registry import register
+from segmint.session import materialize
 from segmint.sources import fixtures as fx
 
 W = fx.with_fixture_ctes
@@ -29,6 +33,27 @@ def q_dbscan(spark, sf):
     return DB.dbscan(points(spark, sf), XY, EPS, 5)
 
 
-# dbscan_grid / dbscan_pivot (16 settings, one pair table) are library
-# operators, not registered: 16 component runs are too slow for the sf0.01
-# check this round (open issue, see README).
+EPS_LIST, MIN_SAMPLES = (0.3, 0.5, 0.7, 1.0), (3, 5, 7, 10)
+
+
+@lru_cache(maxsize=4)
+def _grid(spark, sf):
+    val, names = split_features(spark, sf, ("validation",))
+    return materialize(DB.dbscan_grid(val, names, EPS_LIST, MIN_SAMPLES), "dbscan-grid")
+
+
+def grid_of(spark, sf):
+    return _grid(spark, sf)
+
+
+@register("dbscan_grid")
+def q_dbscan_grid(spark, sf):
+    """All 16 settings on the 35 features of the validation rows; held
+    against brute force in tests."""
+    return _grid(spark, sf)
+
+
+@register("dbscan_pivot")
+def q_dbscan_pivot(spark, sf):
+    """Silhouettes of the grid, min_samples by eps."""
+    return DB.dbscan_pivot(_grid(spark, sf), list(EPS_LIST))

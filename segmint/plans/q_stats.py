@@ -143,4 +143,4 @@ def q_top_features(spark, sf):
 @register("feature_importance")
 def q_feature_importance(spark, sf):
     lab = fx.labelled(spark, sf)
-    return ST.feature_importance(ST.anova_f(lab, _ANOVA_FEATURES), n_rows=lab.count(), n=20)
+    return ST.feature_importance(ST.anova_f(lab, _ANOVA_FEATURES), n=20)
