@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from segmint import spec as S
 from segmint.functions import rules
+from segmint.session import materialize
 from segmint.spec import DEFAULT_SPEC, SegmentSpec
 
 KEY_FEATURES = ["tenure", "MonthlyCharges", "TotalCharges", "avg_monthly_spend", "service_diversity"]
@@ -173,20 +174,31 @@ def centroid_heatmap(df: DataFrame, features: list[str], cluster_col: str = "clu
                      (F.stddev_pop("centroid").over(w) + F.lit(1e-10))).alias("z"))
 
 
-def silhouette_plot_data(samples: DataFrame) -> DataFrame:
+def silhouette_plot_data(samples: DataFrame, id_col: str = "customerID", digits: int = 9) -> DataFrame:
     """Per-sample silhouette ranked inside its cluster, the cluster's
     vertical offset in the plot (10 + sizes of earlier clusters + 10 per
-    gap) and the average line."""
-    from segmint.plans.registry import round_half_away
-    # order by the value rounded to 9 decimals: exact sums differ in the last
-    # bits with summation order, which must not reorder equal values
-    w = Window.partitionBy("cluster_id").orderBy(round_half_away(F.col("silhouette"), 9), "customerID")
-    sizes = samples.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("_n"))
+    gap) and the average line.
+
+    Values are ranked as rounded to ``digits`` (sums arrive in any order, which
+    must not reorder equal values), then by id. The ranks come from a range
+    partitioned sort and the partitions' counts, so a cluster that holds most
+    rows is not sorted by one task."""
+    spark = samples.sparkSession
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    m = 10.0 ** digits
+    key = F.floor(F.col("silhouette") * F.lit(m) + F.lit(0.5))
+    s = samples.withColumn("_v", key).repartitionByRange(n_parts, "cluster_id", "_v", id_col)
+    s = materialize(s.sortWithinPartitions("cluster_id", "_v", id_col).withColumn("_p", F.spark_partition_id()), "plot-samples")
+    counts = s.groupBy("_p", "cluster_id").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.withColumn("_off", F.coalesce(F.sum("_n").over(  # partitions x clusters rows
+        Window.partitionBy("cluster_id").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    local = F.row_number().over(Window.partitionBy("_p", "cluster_id").orderBy("_v", id_col)) - 1
+    ranked = s.withColumn("_r", local).join(before.select("_p", "cluster_id", "_off"), ["_p", "cluster_id"])
+    sizes = counts.groupBy("cluster_id").agg(F.sum("_n").alias("_n"))
     offs = sizes.withColumn("y_lower", F.lit(10) + F.coalesce(F.sum(F.col("_n") + 10).over(
         Window.orderBy("cluster_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    avg = samples.agg(F.avg("silhouette").alias("average"))
-    return (samples.withColumn("rank_in_cluster", F.row_number().over(w) - 1)
-            .join(F.broadcast(offs.select("cluster_id", "y_lower")), "cluster_id")
-            .crossJoin(F.broadcast(avg))
-            .select("customerID", "cluster_id", "silhouette", "rank_in_cluster",
+    avg = s.agg(F.avg("silhouette").alias("average"))
+    return (ranked.withColumn("rank_in_cluster", (F.col("_r") + F.col("_off")).cast("int")).drop("_r", "_off", "_p", "_v")
+            .join(offs.select("cluster_id", "y_lower"), "cluster_id").crossJoin(F.broadcast(avg))  # one row
+            .select(id_col, "cluster_id", "silhouette", "rank_in_cluster",
                     (F.col("y_lower") + F.col("rank_in_cluster")).cast("long").alias("y"), "average"))

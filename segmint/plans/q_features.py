@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from segmint import spec as S
@@ -177,13 +178,21 @@ def q_iqr_outliers(spark, sf):
     return FT.iqr_outliers(fixture_split(spark, sf).where("split = 'train'"), S.RAW_NUMERICAL)
 
 
-@register("assemble_features")
+FEATS_CTE = "feats AS (SELECT " + _feature_select() + " FROM subscribers CROSS JOIN fit)"
+FEATURE_NAMES = FT.fitted_feature_names(S.RAW_COLUMNS, _VOCAB)
+
+
+@register("assemble_features", W("SELECT customerID, Churn, unnest(range(%d))::INT AS pos, unnest([%s]) AS value FROM feats" % (
+    len(FEATURE_NAMES), ", ".join(f'CAST("{c}" AS DOUBLE)' for c in FEATURE_NAMES)), labelled=False,
+    extra=SPLIT_CTES + ",\n" + FIT_CTE + ",\n" + FEATS_CTE), doubles=("value",))
 def q_assemble_features(spark, sf):
-    """(customerID, Churn, features vector); rows-only check."""
+    """The features vector of every account, element by element."""
     m = fitted_model(spark, sf)
-    return m.assemble(m.transform(fx.subscribers(spark, sf)))
+    v = m.assemble(m.transform(fx.subscribers(spark, sf)))
+    return v.select("customerID", "Churn", F.posexplode(vector_to_array("features")).alias("pos", "value"))
 
 
-@register("transform_splits")
+@register("transform_splits", W("SELECT f.*, s.split FROM feats f JOIN splits s USING (customerID)", labelled=False,
+                                extra=SPLIT_CTES + ",\n" + FIT_CTE + ",\n" + FEATS_CTE), doubles=_FEATURE_DOUBLES)
 def q_transform_splits(spark, sf):
     return FT.transform_splits(fitted_model(spark, sf), fixture_split(spark, sf))

@@ -11,6 +11,8 @@ from segmint import spec as S
 from segmint.operators import profile as P
 from segmint.operators import score as SC
 from segmint.plans import sqlkit as K
+from segmint.plans.q_features import FEATS_CTE, FEATURE_NAMES, FIT_CTE, fitted_model
+from segmint.plans.q_split import SPLIT_CTES, fixture_split
 from segmint.plans.registry import register
 from segmint.sources import fixtures as fx
 from segmint.streaming import stream as ST
@@ -60,10 +62,42 @@ _LOOKUP = W(f"""SELECT l.customerID, l.cluster_id, coalesce(n.cluster_name, 'Clu
 FROM labelled l LEFT JOIN named n USING (cluster_id)""", extra=K.PROFILE_CTES + ",\n" + K.NAMED_CTE)
 
 
-@register("score_customers", _LOOKUP, doubles=("churn_rate", "size_pct"))
+_F = FEATURE_NAMES
+_CENTS = "cents AS (SELECT row_number() OVER (ORDER BY Contract) - 1 AS cid, " + ", ".join(
+    f'avg(CAST(f."{c}" AS DOUBLE)) AS k_{i}' for i, c in enumerate(_F)) + """ FROM feats f
+  JOIN (SELECT customerID, Contract FROM splits WHERE split = 'train') t USING (customerID) GROUP BY Contract)"""
+_SCORED = "scored AS (SELECT customerID, CAST(cid AS INT) AS cluster_id FROM (SELECT f.customerID, cid, row_number() OVER (PARTITION BY f.customerID ORDER BY " + \
+    " + ".join(f'(f."{c}" - k_{i}) * (f."{c}" - k_{i})' for i, c in enumerate(_F)) + ", cid) AS rn FROM feats f CROSS JOIN cents) q WHERE rn = 1)"
+_REAL = W(_LOOKUP[_LOOKUP.index("SELECT l.customerID"):].replace("FROM labelled l", "FROM scored l"),
+          extra=",\n".join([K.PROFILE_CTES, K.NAMED_CTE, SPLIT_CTES, FIT_CTE, FEATS_CTE, _CENTS, _SCORED]))
+
+
+@lru_cache(maxsize=4)
+def given_centers(spark, sf):
+    """Centroids in feature space for the checks: means of the training rows
+    of each contract (three rows of 35 numbers)."""
+    m = fitted_model(spark, sf)
+    train = fixture_split(spark, sf).where("split = 'train'")
+    feats = m.transform(train).join(train.select("customerID", "Contract"), "customerID")
+    rows = feats.groupBy("Contract").agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"k_{i}") for i, c in enumerate(m.feature_names)])
+    return [[r[f"k_{i}"] for i in range(len(m.feature_names))] for r in rows.orderBy("Contract").collect()]
+
+
+def _score(spark, sf, customers):
+    named, actions = _tables(spark, sf)
+    return SC.score_report(SC.score_customers(customers, fitted_model(spark, sf), given_centers(spark, sf)), named, actions)
+
+
+@register("score_customers", _REAL, doubles=("churn_rate", "size_pct"))
 def q_score_customers(spark, sf):
-    """Assign every account to its segment and attach name, churn, share,
-    actions and risk level."""
+    """Fitted features of every account, the nearest of the given centroids,
+    and the segment's name, churn, share, actions and risk level."""
+    return _score(spark, sf, fx.subscribers(spark, sf))
+
+
+@register("score_report", _LOOKUP, doubles=("churn_rate", "size_pct"))
+def q_score_report(spark, sf):
+    """The same report for accounts that already have a segment."""
     named, actions = _tables(spark, sf)
     return SC.score_report(fx.labelled(spark, sf), named, actions)
 
@@ -103,19 +137,13 @@ def q_segment_overview(spark, sf):
     return SC.segment_overview(named)
 
 
-@register("score_stream", _LOOKUP, doubles=("churn_rate", "size_pct"))
+@register("score_stream", _REAL, doubles=("churn_rate", "size_pct"))
 def q_score_stream(spark, sf):
-    """The scoring of ``score_customers`` as a Structured Streaming job: the
-    orders file is the stream source, customers and line flags are static
-    sides, the k-row profile/action tables are broadcast; the stream runs
-    with ``availableNow`` and its sink is read back."""
-    named, actions = _tables(spark, sf)
+    """``score_customers`` as a Structured Streaming job: the orders file is
+    the stream source, customers and line flags are static tables; the stream
+    runs with ``availableNow`` and its sink is read back."""
+    sides = fx.static_sides(spark, sf)
     orders_schema = fx.read_table(spark, sf, "orders").schema
     src = (spark.readStream.schema(orders_schema).option("maxFilesPerTrigger", 1)
            .option("pathGlobFilter", "orders.parquet").parquet(sf))
-
-    def transform(orders_stream):
-        lab = fx.label_fixed(fx.subscribers_from_orders(spark, sf, orders_stream))
-        return SC.score_report(lab, named, actions)
-
-    return ST.run_stream(spark, src, transform)
+    return ST.run_stream(spark, src, lambda orders: _score(spark, sf, fx.subscribers_from_orders(spark, sf, orders, sides)))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from segmint.functions import rules
 from segmint.operators import profile as P
 from segmint.plans import sqlkit as K
 from segmint.plans.registry import register
+from segmint.session import ensure_checkpoint_dir
+from segmint.sources import customers as SRC
 from segmint.sources import fixtures as fx
 
 W = fx.with_fixture_ctes
@@ -16,10 +20,29 @@ W = fx.with_fixture_ctes
 @register("load_customers", W("SELECT * FROM subscribers", labelled=False),
           doubles=("MonthlyCharges", "TotalCharges"))
 def q_load_customers(spark, sf):
+    """The customer table written as CSV to the shared folder and loaded as a
+    user would, with the fixed schema."""
+    path = f"{ensure_checkpoint_dir(spark)}/csv/customers-{uuid.uuid4().hex[:12]}"
+    SRC.save_table(fx.subscribers(spark, sf).withColumn("TotalCharges", F.col("TotalCharges").cast("string")), path, "csv")
+    return SRC.load_customers(spark, path)
+
+
+@register("subscribers", W("SELECT * FROM subscribers", labelled=False), doubles=("MonthlyCharges", "TotalCharges"))
+def q_subscribers(spark, sf):
     """The 21-column customer table derived from orders x customer x lineitem."""
     return fx.subscribers(spark, sf)
 
 
+@register("load_profiles", W("SELECT p.*, n.cluster_name FROM profiles p JOIN named n USING (cluster_id)",
+                             extra=K.PROFILE_CTES + ",\n" + K.NAMED_CTE), doubles=K.PROFILE_DOUBLES)
+def q_load_profiles(spark, sf):
+    """Named profiles saved as CSV and loaded again."""
+    named = P.assign_names(P.cluster_profiles(fx.labelled(spark, sf))).drop("descriptors")
+    path = f"{ensure_checkpoint_dir(spark)}/csv/profiles-{uuid.uuid4().hex[:12]}"
+    SRC.save_profiles(named, path)
+    return SRC.load_profiles(spark, path, named.schema)
+
+
 @register("labelled", W("SELECT * FROM labelled"), doubles=("MonthlyCharges", "TotalCharges"))
 def q_labelled(spark, sf):
     return fx.labelled(spark, sf)
@@ -88,6 +111,14 @@ def q_business_actions(spark, sf):
     return P.business_actions(P.assign_names(P.cluster_profiles(fx.labelled(spark, sf))))
 
 
+@register("load_actions", _ACTIONS_SQL)
+def q_load_actions(spark, sf):
+    """Business actions saved as CSV and loaded again."""
+    path = f"{ensure_checkpoint_dir(spark)}/csv/actions-{uuid.uuid4().hex[:12]}"
+    SRC.save_actions(P.business_actions(P.assign_names(P.cluster_profiles(fx.labelled(spark, sf)))), path)
+    return SRC.load_actions(spark, path)
+
+
 @register("primary_insight", W(f"SELECT cluster_id, {K.insight_sql()} AS primary_insight FROM profiles",
                                extra=K.PROFILE_CTES))
 def q_primary_insight(spark, sf):

@@ -47,10 +47,11 @@ def q_churn_chart_data(spark, sf):
     return ST.churn_chart_data(ST.target_rate_by_cluster(fx.labelled(spark, sf)))
 
 
-@register("contingency", W("""SELECT cluster_id AS row_value, Churn AS col_value, count(*) AS n
-  FROM labelled GROUP BY 1, 2"""))
+@register("contingency", W("""SELECT r.cluster_id AS row_value, c.Churn AS col_value,
+    count(l.cluster_id) AS n FROM (SELECT DISTINCT cluster_id FROM labelled) r CROSS JOIN (SELECT DISTINCT Churn FROM labelled) c
+  LEFT JOIN labelled l ON l.cluster_id = r.cluster_id AND l.Churn = c.Churn GROUP BY 1, 2"""))
 def q_contingency(spark, sf):
-    return ST.contingency(fx.labelled(spark, sf), "cluster_id", "Churn")
+    return ST.contingency(fx.labelled(spark, sf), "cluster_id", "Churn", zeros=True)
 
 
 def _v_sql() -> str:

@@ -38,13 +38,26 @@ def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subscribers_from_orders(spark, sf_dir, read_table(spark, sf_dir, "orders"))
 
 
-def subscribers_from_orders(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+def static_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(customers, line flags per order) as tables of their own, so that the
+    micro-batches of a stream do not aggregate all lines again."""
+    from segmint.session import materialize
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus")
+    return materialize(customer, "static-customer"), materialize(_line_flags(lines), "static-lines")
+
+
+def subscribers_from_orders(spark: SparkSession, sf_dir: str, orders: DataFrame,
+                            sides: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """The same records for a given (batch or streaming) orders frame; the
-    customer and line-flag sides are static."""
+    customer and line-flag sides are static, ``sides`` where given."""
     orders = orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    li = _line_flags(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus"))
+    if sides is None:
+        customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+        li = _line_flags(read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus"))
+    else:
+        customer, li = sides
 
     # orders x lineitem-flags first: both sides are keyed by order key, so the
     # aggregate's shuffle partitioning is reused by the join.
