@@ -1,12 +1,16 @@
 """Every registered query with oracle SQL equals DuckDB on sf0.001."""
+import re
+
 import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle import compare, duck
 
-SLOW = {"kmeans_sweep", "elbow_curve", "select_k_business_rules"}
-ORACLE = sorted(E.oracle_sql())
+# many fits or merge rounds; their operators have tests of their own
+SLOW = {"kmeans_sweep", "elbow_curve", "select_k_business_rules", "silhouette_curve", "agglomerative_sweep", "best_linkage"}
+OWN = {n for n in E.queries() if n == "pipeline" or re.match(r"op\d+_", n)}  # tests/llm
+ORACLE = sorted(set(E.oracle_sql()) - OWN)
 
 
 @pytest.fixture(scope="module")
@@ -21,9 +25,11 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, msg
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(ORACLE) - SLOW - OWN))
 def test_rows_only_queries_run(spark, name):
-    assert E.queries()[name](spark, SF_SMALL).count() >= 0
+    df = E.queries()[name](spark, SF_SMALL)
+    rows = df.collect()
+    assert rows and all(any(v is not None for v in r) for r in rows)
 
 
 def test_entry_smoke(spark):
