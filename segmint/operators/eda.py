@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from segmint.operators.quantiles import quantile_row
+
 
 def _yes(col: str, positive: str = "Yes"):
     return F.when(F.col(col) == positive, 1).otherwise(0)
@@ -50,10 +52,10 @@ def category_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def category_share(df: DataFrame, col: str) -> DataFrame:
-    """(value, n, pct): pie slices. The total is a window over the few
-    category rows, not over the table."""
-    c = category_counts(df, col)
-    return c.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()))
+    """(value, n, pct): pie slices; the total is a one-row aggregate."""
+    total = df.where(F.col(col).isNotNull()).agg(F.count(F.lit(1)).alias("_total"))
+    c = category_counts(df, col).crossJoin(F.broadcast(total))
+    return c.select("value", "n", (F.col("n") * 100.0 / F.col("_total")).alias("pct"))
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -94,18 +96,17 @@ def boxplot_stats(df: DataFrame, cols: list[str], whis: float = 1.5, approx: boo
                   accuracy: int = 100000) -> DataFrame:
     """(column, n, q1, median, q3, iqr, whisker_lo, whisker_hi, n_fliers).
 
-    Quartiles by linear interpolation (exact ``percentile``; ``approx=True``
-    switches to ``percentile_approx`` for high-cardinality columns at scale).
+    Quartiles by linear interpolation, exact (``quantile_row``); with
+    ``approx=True`` by ``percentile_approx``.
     Whiskers are the most extreme values inside [q1 - whis*iqr, q3 + whis*iqr].
     Two passes: quartiles, then one conditional aggregate with the one-row
     quartile table broadcast."""
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    qs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        q = F.percentile_approx(x, probs, accuracy) if approx else F.percentile(x, probs)
-        qs.append(q.alias(f"q_{i}"))
-    quart = df.agg(*qs)
+    probs = [0.25, 0.5, 0.75]
+    if approx:
+        quart = df.agg(*[F.percentile_approx(F.col(c).cast("double"), F.array(*map(F.lit, probs)), accuracy).alias(f"q_{i}")
+                         for i, c in enumerate(cols)])
+    else:
+        quart = quantile_row(df, {f"q_{i}": F.col(c) for i, c in enumerate(cols)}, probs)
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")

@@ -1,12 +1,10 @@
 """Leak-free feature pipeline as a Spark ML Estimator / Model pair.
 
-``SegmentFeatures.fit(train)`` runs ONE aggregate pass over the training
-rows: the two high-value thresholds (q75), the one-hot vocabulary of every
-categorical column and the scaler moments (mean, population std) of the
-numerical columns. None of the scaled columns depends on a threshold, so all
-three fit steps share the pass. The fitted state is a few dozen numbers and
-strings; the vocabulary size is checked against ``max_categories`` before it
-becomes column names.
+``SegmentFeatures.fit(train)`` learns the two high-value thresholds (exact
+q75), the one-hot vocabulary of every categorical column and the scaler moments
+(mean, population std) of the numerical columns. Moments are one aggregate;
+thresholds and vocabulary start with a count per value, so no task holds a
+column. The vocabulary is counted before it is fetched.
 
 ``SegmentFeaturesModel.transform(df)`` is one ``select``: impute, engineer,
 one-hot from the FITTED vocabulary (so a one-row frame gets the same columns
@@ -24,6 +22,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segmint.operators.quantiles import quantile_row
+from segmint.session import materialize
 from segmint.spec import DEFAULT_SPEC, SegmentSpec
 
 ENGINEERED = ["avg_monthly_spend", "tenure_group", "service_diversity", "contract_commitment", "auto_payment",
@@ -161,23 +161,34 @@ def align_columns(df: DataFrame, feature_names: list[str], keep=("customerID", "
 # Fit steps (each is also usable on its own)
 # ---------------------------------------------------------------------------
 
-def _percentile(x: Column, p: float, approx: bool, accuracy: int) -> Column:
-    return F.percentile_approx(x, p, accuracy) if approx else F.percentile(x, F.lit(p))
+def _quantiles(df: DataFrame, columns: dict[str, Column], qs: list[float], approx: bool, accuracy: int) -> DataFrame:
+    """One row of arrays, exact or (``approx``) by ``percentile_approx``."""
+    if approx:
+        return df.agg(*[F.percentile_approx(c.cast("double"), F.array(*map(F.lit, qs)), accuracy).alias(n) for n, c in columns.items()])
+    return quantile_row(df, columns, qs)
 
 
 def fit_high_value_thresholds(df: DataFrame, spec: SegmentSpec = DEFAULT_SPEC, q: float = 0.75,
                               approx: bool = False, accuracy: int = 100000) -> DataFrame:
     """One row (monthly_threshold, tenure_threshold): linear-interpolated
     quantiles, nulls skipped."""
-    return df.agg(_percentile(_col(spec.monthly).cast("double"), q, approx, accuracy).alias("monthly_threshold"),
-                  _percentile(_col(spec.tenure).cast("double"), q, approx, accuracy).alias("tenure_threshold"))
+    row = _quantiles(df, {"monthly_threshold": _col(spec.monthly), "tenure_threshold": _col(spec.tenure)}, [q], approx, accuracy)
+    return row.select(*[F.col(c)[0].alias(c) for c in row.columns])
+
+
+def vocabulary_rows(df: DataFrame, cols) -> DataFrame:
+    """(column, value): the distinct non-null values, one row each."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _col(c).cast("string").alias("value")) for c in cols]))
+    return df.select(pairs.alias("p")).select("p.*").where("value is not null").distinct()
 
 
 def fit_onehot_vocab(df: DataFrame, cols) -> DataFrame:
-    """(column, values): sorted distinct non-null values per column."""
-    one = df.agg(*[F.array_sort(F.collect_set(_col(c).cast("string"))).alias(c) for c in cols])
-    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _col(c).alias("values"))
-                                          for c in cols])).alias("r")).select("r.*")
+    """(column, values): sorted distinct non-null values per column. The
+    values are made distinct by rows; only the result's arrays hold them."""
+    rows = vocabulary_rows(df, cols).groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("values"))
+    names = F.explode(F.array(*[F.lit(c) for c in cols])).alias("column")
+    all_cols = df.sparkSession.range(1).select(names)
+    return all_cols.join(rows, "column", "left").select("column", F.coalesce("values", F.array().cast("array<string>")).alias("values"))
 
 
 def numeric_frame(df: DataFrame, spec: SegmentSpec = DEFAULT_SPEC) -> DataFrame:
@@ -202,13 +213,11 @@ def fit_scaler(df: DataFrame, cols) -> DataFrame:
 def iqr_outliers(df: DataFrame, cols, whis: float = 1.5, approx: bool = False, accuracy: int = 100000) -> DataFrame:
     """(column, n_outliers, pct_outliers, lower_bound, upper_bound,
     min_outlier, max_outlier): strict < lower / > upper, percent of ALL rows."""
-    quart = df.agg(*[F.struct(_percentile(_col(c).cast("double"), 0.25, approx, accuracy).alias("q1"),
-                              _percentile(_col(c).cast("double"), 0.75, approx, accuracy).alias("q3")).alias(f"q_{i}")
-                     for i, c in enumerate(cols)])
+    quart = _quantiles(df, {f"q_{i}": _col(c) for i, c in enumerate(cols)}, [0.25, 0.75], approx, accuracy)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
         x = _col(c).cast("double")
-        q1, q3 = F.col(f"q_{i}.q1"), F.col(f"q_{i}.q3")
+        q1, q3 = F.col(f"q_{i}")[0], F.col(f"q_{i}")[1]
         lo, hi = q1 - whis * (q3 - q1), q3 + whis * (q3 - q1)
         out = (x < lo) | (x > hi)
         aggs += [F.sum(F.when(out, 1).otherwise(0)).cast("long").alias(f"n_{i}"),
@@ -280,7 +289,7 @@ class SegmentFeatures(Estimator):
     """Fits the feature pipeline on training rows."""
 
     def __init__(self, spec: SegmentSpec = DEFAULT_SPEC, quantile: float = 0.75, approx_quantiles: bool = False,
-                 max_categories: int = 1000, ignore=("split", "cluster_id")):
+                 max_categories: int | None = None, ignore=("split", "cluster_id")):
         super().__init__()
         self.ignore = tuple(ignore)
         self.spec = spec
@@ -292,7 +301,6 @@ class SegmentFeatures(Estimator):
         spec = self.spec
         cats = [c for c in spec.categorical if c in dataset.columns]
         num = numeric_frame(dataset, spec).columns
-        # one pass: thresholds + vocabulary + moments (none depends on another)
         base = dataset.select(*[_col(c) for c in dataset.columns],
                               *[c_.alias(f"__n_{i}") for i, c_ in enumerate(
                                   [imputed_total(spec), avg_monthly_spend(imputed_total(spec), _col(spec.tenure)),
@@ -300,23 +308,21 @@ class SegmentFeatures(Estimator):
         numcols = {spec.tenure: _col(spec.tenure).cast("double"), spec.monthly: _col(spec.monthly).cast("double"),
                    spec.total: F.col("__n_0"), "avg_monthly_spend": F.col("__n_1"),
                    "service_diversity": F.col("__n_2")}
-        aggs = [_percentile(_col(spec.monthly).cast("double"), self.quantile, self.approx_quantiles, 100000
-                            ).alias("monthly_threshold"),
-                _percentile(_col(spec.tenure).cast("double"), self.quantile, self.approx_quantiles, 100000
-                            ).alias("tenure_threshold")]
-        aggs += [F.array_sort(F.collect_set(_col(c).cast("string"))).alias(f"v__{c}") for c in cats]
-        aggs += [F.avg(numcols[c]).alias(f"m__{c}") for c in num]
+        aggs = [F.avg(numcols[c]).alias(f"m__{c}") for c in num]
         aggs += [F.stddev_pop(numcols[c]).alias(f"s__{c}") for c in num]
-        row = base.agg(*aggs).first()  # one row of fitted state
-        vocab = {}
-        for c in cats:
-            values = list(row[f"v__{c}"] or [])
-            if len(values) > self.max_categories:
-                raise ValueError(f"{c}: {len(values)} categories > max_categories={self.max_categories}")
-            vocab[c] = values
+        row = base.agg(*aggs).first()  # one row of moments
+        limits = fit_high_value_thresholds(dataset, spec, self.quantile, self.approx_quantiles).first()
+        words = materialize(vocabulary_rows(dataset, cats), "vocabulary")
+        sizes = {r["column"]: r["count"] for r in words.groupBy("column").count().collect()}  # one row per column
+        large = {c: n for c, n in sizes.items() if self.max_categories is not None and n > self.max_categories}
+        if large:  # known before any value is fetched
+            raise ValueError(f"more categories than max_categories={self.max_categories}: {large}")
+        vocab = {c: [] for c in cats}
+        for r in words.orderBy("column", "value").toLocalIterator():  # the model's own state
+            vocab[r["column"]].append(r["value"])
         moments = {c: [row[f"m__{c}"], row[f"s__{c}"] or 0.0] for c in num}
         state = {
-            "monthly_threshold": row["monthly_threshold"], "tenure_threshold": row["tenure_threshold"],
+            "monthly_threshold": limits["monthly_threshold"], "tenure_threshold": limits["tenure_threshold"],
             "vocab": vocab, "moments": moments,
         }
         state["feature_names"] = fitted_feature_names([c for c in dataset.columns if c not in self.ignore],

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from segmint import spec as S
 from segmint.functions import rules
+from segmint.operators.quantiles import modes
 from segmint.session import materialize
 from segmint.spec import DEFAULT_SPEC, SegmentSpec
 
@@ -30,7 +31,7 @@ def cluster_profiles(df: DataFrame, cluster_col: str = "cluster_id", spec: Segme
     their own statistics when present."""
     cols = set(df.columns)
     key_features = key_features or KEY_FEATURES
-    aggs = [F.count(F.lit(1)).alias("size")]
+    aggs, tops = [F.count(F.lit(1)).alias("size")], []
     if spec.target in cols:
         aggs.append(F.avg(_is_yes(spec.target, spec.positive_value).cast("double")).alias("churn_rate"))
     for feat in key_features:
@@ -44,14 +45,16 @@ def cluster_profiles(df: DataFrame, cluster_col: str = "cluster_id", spec: Segme
     for src, name in [(spec.contract, "contract_mode"), (spec.internet, "internet_mode"),
                       (spec.payment, "payment_mode"), ("tenure_group", "tenure_group_mode")]:
         if src in cols:
-            aggs.append(F.mode(src, True).alias(name))
+            tops.append((src, name))
     if "high_value_flag" in cols:
         aggs.append((F.avg("high_value_flag") * 100).alias("high_value_pct"))
     if "auto_payment" in cols:
         aggs.append((F.avg("auto_payment") * 100).alias("auto_payment_pct"))
     if "family_status" in cols:
-        aggs.append(F.mode("family_status", True).alias("family_status_mode"))
+        tops.append(("family_status", "family_status_mode"))
     prof = df.groupBy(F.col(cluster_col).alias("cluster_id")).agg(*aggs)
+    for src, name in tops:  # k rows each
+        prof = prof.join(modes(df, src, F.col(cluster_col), name), F.col("cluster_id").eqNullSafe(F.col("_by")), "left").drop("_by")
     # k rows: the total over an unpartitioned window is a single tiny task
     total = F.sum("size").over(Window.partitionBy())
     prof = prof.withColumn("size_pct", F.col("size") * 100.0 / total)
@@ -62,7 +65,9 @@ def cluster_profiles(df: DataFrame, cluster_col: str = "cluster_id", spec: Segme
 
 def cluster_mode(df: DataFrame, col: str, cluster_col: str = "cluster_id") -> DataFrame:
     """Most frequent value per cluster; ties take the lowest value."""
-    return df.groupBy(F.col(cluster_col).alias("cluster_id")).agg(F.mode(col, True).alias(f"{col}_mode"))
+    every = df.select(F.col(cluster_col).alias("cluster_id")).distinct()
+    top = modes(df, col, F.col(cluster_col), f"{col}_mode")
+    return every.join(top, F.col("cluster_id").eqNullSafe(F.col("_by")), "left").drop("_by")
 
 
 def assign_names(profiles: DataFrame) -> DataFrame:

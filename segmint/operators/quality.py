@@ -4,10 +4,12 @@ unpivoted, so the table is scanned once regardless of its width."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from segmint.operators.quantiles import quantile_row
+
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -62,8 +64,10 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """(value, n, pct) descending by n; nulls are dropped from counts and
     from the denominator."""
-    c = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return c.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy())).orderBy(
+    some = df.where(F.col(col).isNotNull())
+    c = some.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    total = some.agg(F.count(F.lit(1)).alias("_total"))  # one row
+    return c.crossJoin(F.broadcast(total)).select("value", "n", (F.col("n") * 100.0 / F.col("_total")).alias("pct")).orderBy(
         F.desc("n"), "value")
 
 
@@ -94,13 +98,16 @@ def category_cardinality(df: DataFrame, cols: list[str] | None = None) -> DataFr
 def numeric_summary(df: DataFrame, cols: list[str], approx: bool = False, accuracy: int = 100000) -> DataFrame:
     """(column, min, max, mean, median, std) with sample std; nulls and
     NaN skipped. ``approx=True`` uses ``percentile_approx`` for the median."""
+    clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
     aggs = []
-    for c in cols:
-        x = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
-        med = F.percentile_approx(x, 0.5, accuracy) if approx else F.percentile(x, F.lit(0.5))
-        aggs += [F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}"), F.avg(x).alias(f"mean__{c}"),
-                 med.alias(f"median__{c}"), F.stddev_samp(x).alias(f"std__{c}")]
+    for c, x in clean.items():
+        aggs += [F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}"), F.avg(x).alias(f"mean__{c}"), F.stddev_samp(x).alias(f"std__{c}")]
+        if approx:
+            aggs.append(F.percentile_approx(x, 0.5, accuracy).alias(f"median__{c}"))
     one = df.agg(*aggs)
+    if not approx:
+        half = quantile_row(df, clean, [0.5])
+        one = one.crossJoin(half.select(*[F.col(f"`{c}`")[0].alias(f"median__{c}") for c in cols]))  # one row each
     names = ["min", "max", "mean", "median", "std"]
     return _unpivot_one_row(one, cols, names, names)
 

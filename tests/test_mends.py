@@ -1,5 +1,6 @@
 """No silent drops, caps or wrong answers: one test for each."""
 import math
+import re
 
 import numpy as np
 import pytest
@@ -8,9 +9,13 @@ from pyspark.sql import functions as F
 
 from segmint.functions import special
 from segmint.operators import dbscan as DB
+from segmint.operators import eda as E
+from segmint.operators import features as FT
 from segmint.operators import kmeans as KM
 from segmint.operators import metrics as M
+from segmint.operators import profile as P
 from segmint.operators import projection as PR
+from segmint.operators import quality as Q
 from segmint.operators import split as SP
 from segmint.operators import stats as ST
 from segmint.operators.components import connected_components
@@ -180,3 +185,21 @@ def test_intermediate_tables_need_a_shared_folder_on_a_cluster():
     sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
     with pytest.raises(RuntimeError, match="checkpoint"):
         ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_quantiles_and_modes_hold_no_column(spark):
+    from segmint.operators.quantiles import modes, quantile_row
+    rng = np.random.default_rng(0)
+    v = [None if rng.random() < 0.1 else float(rng.integers(0, 50)) for _ in range(777)]
+    df = spark.createDataFrame([(x, float(i % 7), i % 3, None if i % 5 else "a" if i % 2 else "b") for i, x in enumerate(v)], "x double, y double, g int, s string")
+    qs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    row = quantile_row(df.repartition(8), {"x": F.col("x"), "y": F.col("y"), "none": F.lit(None).cast("double")}, qs).first()
+    known = [x for x in v if x is not None]
+    assert np.allclose(row.x, np.quantile(known, qs)) and np.allclose(row.y, np.quantile([i % 7 for i in range(777)], qs)) and row.none == [None] * 6
+    got = {r._by: r.m for r in modes(df, "x", F.col("g"), "m").collect()}
+    for g in range(3):
+        own = [x for i, x in enumerate(v) if i % 3 == g and x is not None]
+        best = max(own.count(x) for x in own)
+        assert got[g] == min(x for x in own if own.count(x) == best)
+
+    assert not re.search(r"F\.percentile\(|collect_set|F\.mode\(", "".join(open(m.__file__).read() for m in (FT, P, Q, E)))
