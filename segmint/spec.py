@@ -19,7 +19,6 @@ POSITIVE_VALUE = "Yes"
 
 NUMERICAL = ["tenure", "MonthlyCharges", "TotalCharges", "avg_monthly_spend", "service_diversity"]
 RAW_NUMERICAL = ["tenure", "MonthlyCharges", "TotalCharges"]
-BINARY = ["SeniorCitizen", "Partner", "Dependents", "PaperlessBilling", "PhoneService"]
 BINARY_YES_NO = ["Partner", "Dependents", "PhoneService", "PaperlessBilling"]
 CATEGORICAL = [
     "gender", "MultipleLines", "InternetService", "OnlineSecurity", "OnlineBackup",
@@ -61,16 +60,6 @@ DOMAINS = {
 TENURE_RANGE = (0, 72)
 MONTHLY_RANGE = (0.0, 150.0)
 
-# model selection grid and business rules
-KMEANS_K_RANGE = list(range(2, 11))
-AGGLOMERATIVE_K_RANGE = list(range(2, 11))
-LINKAGES = ["ward", "complete", "average"]
-DBSCAN_EPS = [0.3, 0.5, 0.7, 1.0]
-DBSCAN_MIN_SAMPLES = [3, 5, 7, 10]
-MIN_BUSINESS_CLUSTERS = 3
-MAX_BUSINESS_CLUSTERS = 6
-K2_TOLERANCE = 0.05
-
 # churn risk levels (scoring): >= 0.40 High, >= 0.25 Medium, else Low
 HIGH_CHURN = 0.40
 MEDIUM_CHURN = 0.25
@@ -95,8 +84,6 @@ INSIGHT_HIGH_SPEND = 80.0
 INSIGHT_LOW_SPEND = 40.0
 INSIGHT_HEAVY_SERVICE = 4.0
 INSIGHT_BASIC_SERVICE = 2.0
-TXT_HIGH_CHURN = "High churn risk (%.0f%%)"
-TXT_LOW_CHURN = "Low churn risk (%.0f%%)"
 TXT_NEW = "New customers"
 TXT_LOYAL = "Long-tenure loyal customers"
 TXT_HIGH_SPEND = "High spenders"
