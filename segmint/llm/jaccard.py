@@ -6,10 +6,14 @@ feature domain is split into n1 parts of n2 smaller ones, one part differs in
 at most k2 of them: one of the enumerated subsets of n2 - k2 smaller parts is
 equal on both sides, and its content is a signature that both sets have.
 
-Equal sets are one node. Signatures travel as sorted blocks, one node for each
-signature and task; what shares a signature is tied to the smallest node, ties
-give candidate clusters, and every cluster is verified exactly, in blocks, so
-that no group is held whole by a task and no list of all pairs is written.
+Equal sets are one node. A set is signed only if few enough of its elements are
+its own alone, which keeps texts with a common passage apart. Elements and
+signatures travel as sorted blocks, once for each block of documents; what
+shares a signature is tied to the first that has it, and ties give candidate
+clusters. Large clusters are first parted by parity sketches, whose distance is
+never more than that of the sets; then every cluster is verified exactly. Both
+are done in blocks, so that no group is held whole by a task, and tasks give
+back spanning forests, not pairs.
 """
 
 from __future__ import annotations
@@ -20,10 +24,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.text import free_name, grouped, mix, shingle_sets, slices, utf8
+from segmint.llm.text import by_part, forest, free_name, grouped, mix, pack_ints, pack_keys, shingle_sets, slices, unpack_ints, unpack_keys, utf8
 from segmint.operators.components import connected_components
 from segmint.session import materialize
 
@@ -35,8 +40,8 @@ class Join(NamedTuple):
     ``percent`` * union; parts of ``n2`` smaller ones, ``k2`` of which may differ."""
     words: int = 5
     percent: int = 80
-    n2: int = 3
-    k2: int = 1
+    n2: int = 5
+    k2: int = 2
 
 
 def bands(j: Join, largest: int) -> np.ndarray:
@@ -85,87 +90,172 @@ def signatures(sets: list[np.ndarray], j: Join) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(out), np.concatenate(who)
 
 
-def _least_of(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each signature once with its smallest node; and the (node, smallest)
-    ties of the others, once each."""
-    order = np.lexsort((node, sig))
-    sig, node = sig[order], node[order]
+def _least_of(sig: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each signature once, ascending, with its smallest owner; and the
+    (owner, smallest) ties of the others, once each."""
+    order = np.lexsort((who, sig))
+    sig, who = sig[order], who[order]
     new = np.ones(len(sig), bool)
     new[1:] = sig[1:] != sig[:-1]
-    least = node[new][np.cumsum(new) - 1]
-    tie = node != least
-    ties = np.unique(np.stack([node[tie], least[tie]], axis=1), axis=0) if tie.any() else np.zeros((0, 2), np.int64)
-    return sig[new], node[new], ties
-
-
-_FIRST = "kind int, doc_id {id}, key long, n long, node long, least long, part int, sigs binary, nodes binary"
-_NAMES = ["kind", "doc_id", "key", "n", "node", "least", "part", "sigs", "nodes"]
+    least = who[new][np.cumsum(new) - 1]
+    tie = who != least
+    ties = np.unique(np.stack([who[tie], least[tie]], axis=1), axis=0) if tie.any() else np.zeros((0, 2), np.int64)
+    return sig[new], who[new], ties
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _first_pass(src: DataFrame, j: Join, parts: int, hold: int = 1_500_000) -> DataFrame:
-    """kind 0: a document; 1: a tie inside a task; 2: a block of signatures."""
-    id_kind = src.schema["doc_id"].dataType.simpleString()
-
+def _documents(src: DataFrame, j: Join) -> DataFrame:
+    """(doc_id, key, n_shingles, node) for every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig, node, held, id_type = [], [], 0, pa.int64()
-
-        def rows(kind, size, **cols):
-            types = [pa.int32(), id_type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        for b in batches:
+            texts, n, node = b.column("t").to_pylist(), [], []
+            for at in slices([len(t) for t in texts], 1 << 20):
+                sets = shingle_sets(texts[at], j.words)
+                n += [len(s) for s in sets]
+                node += [int(_signed(set_hash(s))[0]) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(n, pa.int64()), pa.array(node, pa.int64())],
+                                             ["doc_id", "key", "n_shingles", "node"])
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return src.mapInArrow(run, f"doc_id {kind}, key long, n_shingles long, node long")
+
+
+def _probed(s: np.ndarray, percent: int) -> np.ndarray:
+    """The part of the domain that is counted: 2.5 times the share of a set
+    that may be missing from a similar one."""
+    return s[(mix(s, 9) >> np.uint64(32)) % np.uint64(1000) < np.uint64(min(1000, 25 * (100 - percent)))]
+
+
+def _with_company(src: DataFrame, j: Join, parts: int, hold: int = 1_500_000) -> DataFrame:
+    """(node) of the sets that can be similar to another one.
+
+    Of a set of n, at most n * (100 - percent) / 100 elements are missing from
+    a similar set. So a set with more elements that no other has, in whatever
+    part of the domain they are counted, is similar to none. Blocks of
+    documents send the elements of that part, cut to 48 bits (elements taken
+    as equal by chance only keep a set), to the task that counts them, and get
+    back how many of each set are its own alone."""
+    def ask(batches):
+        block, sets, nodes, size = TaskContext.get().partitionId() << 32, [], {}, 0
+
+        def rows():
+            keys = np.concatenate(sets) >> np.uint64(16)
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            up = np.argsort(keys, kind="stable")
+            keys, owner = keys[up], owner[up]
+            order, which, first = by_part(keys, parts)
+            some = np.split(order, first[1:]) if len(which) else [order]
+            which = which if len(which) else np.zeros(1, np.int64)
+            about = [np.array(list(nodes), np.int64).tobytes(), np.array(list(nodes.values()), np.int64).tobytes()]
+            once = lambda x: pa.array([x] + [None] * (len(which) - 1), pa.binary())
             return pa.RecordBatch.from_arrays(
-                [pa.array([kind] * size, pa.int32()) if c == "kind" else cols[c] if c in cols else pa.nulls(size, t)
-                 for c, t in zip(_NAMES, types, strict=True)], _NAMES)
+                [pa.array(which), pa.array(np.full(len(which), block)), pa.array([pack_keys(keys[o]) for o in some], pa.binary()),
+                 pa.array([pack_ints(owner[o].astype("<u4")) for o in some], pa.binary()), once(about[0]), once(about[1])],
+                ["part", "block", "keys", "owners", "nodes", "sizes"])
 
-        def blocks():
-            s, n, ties = _least_of(np.concatenate(sig), np.concatenate(node))
+        for b in batches:
+            texts = b.column("t").to_pylist()
+            for at in slices([len(t) for t in texts], 1 << 20):
+                for s in shingle_sets(texts[at], j.words):
+                    if len(s) and (node := int(_signed(set_hash(s))[0])) not in nodes:
+                        nodes[node] = len(s)
+                        sets.append(_probed(s, j.percent))
+                        size += len(sets[-1]) + 1
+                if size >= hold:
+                    yield rows()
+                    block, sets, nodes, size = block + 1, [], {}, 0
+        if sets:
+            yield rows()
+
+    def answer(batches):
+        for group in grouped(batches, ("part",)):
+            keys = [unpack_keys(r["keys"]) for r in group]
+            _, where, often = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+            alone = np.split(often[where] == 1, np.cumsum([len(k) for k in keys])[:-1])
+            lonely = [pack_ints(np.bincount(unpack_ints(r["owners"], "<u4")[x]).astype("<u4")) for r, x in zip(group, alone, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r["block"] for r in group], pa.int64()), pa.array(lonely, pa.binary()),
+                 *(pa.array([r[c] for r in group], pa.binary()) for c in ("nodes", "sizes"))], ["block", "lonely", "nodes", "sizes"])
+
+    def decide(batches):
+        for group in grouped(batches, ("block",)):
+            r = next(r for r in group if r["nodes"] is not None)
+            nodes, sizes = np.frombuffer(r["nodes"], np.int64), np.frombuffer(r["sizes"], np.int64)
+            lonely = np.zeros(len(nodes), np.int64)
+            for r in group:
+                x = unpack_ints(r["lonely"], "<u4")
+                lonely[:len(x)] += x
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[lonely <= sizes * (100 - j.percent) // 100])], ["node"])
+
+    asked = src.select("t").mapInArrow(ask, "part long, block long, keys binary, owners binary, nodes binary, sizes binary")
+    answers = asked.repartition("part").sortWithinPartitions("part").mapInArrow(answer, "block long, lonely binary, nodes binary, sizes binary")
+    return answers.repartition("block").sortWithinPartitions("block").mapInArrow(decide, "node long").distinct()
+
+
+def _signed_sets(texts: DataFrame, j: Join, parts: int, hold: int = 1_500_000) -> DataFrame:
+    """kind 1: a tie inside a block of documents; 2: signatures of a block,
+    ascending, and their owners' places in it; 3: a set, its node and its
+    place. Signatures are cut to 48 bits besides their part: chance ties cost
+    a comparison, no more."""
+    names = ["kind", "node", "least", "block", "at", "n", "s", "part", "sigs", "owners"]
+    types = dict.fromkeys(names, pa.int64()) | {"s": pa.binary(), "part": pa.int32(), "sigs": pa.binary(), "owners": pa.binary()}
+
+    def table_of(kind, size, **cols):
+        return pa.RecordBatch.from_arrays([pa.array([kind] * size, pa.int32()) if c == "kind" else cols[c] if c in cols
+                                           else pa.nulls(size, types[c]) for c in names], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, size = TaskContext.get().partitionId() << 32, {}, 0
+
+        def rows():
+            node, some = np.array(list(held), np.int64), list(held.values())
+            yield table_of(3, len(some), node=pa.array(node), block=pa.array(np.full(len(some), block)), at=pa.array(np.arange(len(some))),
+                           n=pa.array([len(s) for s in some], pa.int64()), s=pa.array([s.tobytes() for s in some], pa.binary()))
+            s, who, ties = _least_of(*signatures(some, j))
             if len(ties):
-                yield rows(1, len(ties), node=pa.array(ties[:, 0]), least=pa.array(ties[:, 1]))
+                yield table_of(1, len(ties), node=pa.array(node[ties[:, 0]]), least=pa.array(node[ties[:, 1]]))
             part = (s % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
-            cut = np.flatnonzero(np.diff(part[order])) + 1
-            s, n, which = np.split(s[order], cut), np.split(n[order], cut), part[order][np.concatenate([[0], cut])]
-            yield rows(2, len(which), part=pa.array(which.astype(np.int32)), sigs=pa.array([x.tobytes() for x in s], pa.binary()),
-                       nodes=pa.array([x.tobytes() for x in n], pa.binary()))
+            which, first = np.unique(part[order], return_index=True)
+            own = np.split(order, first[1:])
+            yield table_of(2, len(which), part=pa.array(which.astype(np.int32)), block=pa.array(np.full(len(which), block)),
+                           sigs=pa.array([pack_keys(s[o] >> np.uint64(16)) for o in own], pa.binary()),
+                           owners=pa.array([pack_ints(who[o].astype("<u4")) for o in own], pa.binary()))
 
         for b in batches:
-            id_type = b.schema.field("doc_id").type
             texts = b.column("t").to_pylist()
             for at in slices([len(t) for t in texts], 1 << 20):
-                sets = shingle_sets(texts[at], j.words)
-                some = [s for s in sets if len(s)]
-                own = np.array([_signed(set_hash(s))[0] for s in some], np.int64)
-                k = iter(own.tolist())
-                every = [next(k) if len(s) else None for s in sets]
-                yield rows(0, len(sets), doc_id=b.column("doc_id").slice(at.start, len(sets)),
-                           key=b.column("key").slice(at.start, len(sets)),
-                           n=pa.array([len(s) for s in sets], pa.int64()), node=pa.array(every, pa.int64()))
-                if some:
-                    _, once = np.unique(own, return_index=True)
-                    x, who = signatures([some[i] for i in once], j)
-                    sig.append(x)
-                    node.append(own[once][who])
-                    held += len(x)
-                if held >= hold:
-                    yield from blocks()
-                    sig, node, held = [], [], 0
+                for s in shingle_sets(texts[at], j.words):
+                    if len(s) and (node := int(_signed(set_hash(s))[0])) not in held:
+                        held[node] = s
+                        size += len(s)
+                if size >= hold:
+                    yield from rows()
+                    block, held, size = block + 1, {}, 0
         if held:
-            yield from blocks()
+            yield from rows()
 
-    return src.mapInArrow(run, _FIRST.format(id=id_kind))
+    return texts.mapInArrow(run, "kind int, node long, least long, block long, at long, n long, s binary, part int, sigs binary, owners binary")
 
 
 def _ties(blocks: DataFrame) -> DataFrame:
-    """The signatures of one part at a time: (node, least) where they meet."""
+    """The signatures of one part at a time: (block, at) and the first (block,
+    at) where they meet."""
+    names = ["block", "at", "block0", "at0"]
+
     def run(batches):
         for rows in grouped(batches, ("part",)):
-            sig = np.concatenate([np.frombuffer(r["sigs"], np.uint64) for r in rows])
-            node = np.concatenate([np.frombuffer(r["nodes"], np.int64) for r in rows])
-            _, _, ties = _least_of(sig, node)
-            yield pa.RecordBatch.from_arrays([pa.array(ties[:, 0]), pa.array(ties[:, 1])], ["node", "least"])
-    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(run, "node long, least long")
+            sig = np.concatenate([unpack_keys(r["sigs"]) for r in rows])
+            at = [unpack_ints(r["owners"], "<u4") for r in rows]
+            # blocks by their number among the part's, owners below it
+            who = np.concatenate([(np.int64(i) << 32) | a.astype(np.int64) for i, a in enumerate(at)])
+            _, _, ties = _least_of(sig, who)
+            number = np.array([r["block"] for r in rows], np.int64)
+            cols = [number[ties[:, 0] >> 32], ties[:, 0] & 0xFFFFFFFF, number[ties[:, 1] >> 32], ties[:, 1] & 0xFFFFFFFF]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def linked_pairs(sets: list[np.ndarray], percent: int, group: list, columns: int = 8192) -> list[tuple[int, int]]:
@@ -206,6 +296,68 @@ def linked_pairs(sets: list[np.ndarray], percent: int, group: list, columns: int
     return out
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of the numbers of elements in about as many cells."""
+    cells = 1 << max(6, int(len(s) - 1).bit_length())
+    return np.packbits(np.bincount((mix(s, 8) & np.uint64(cells - 1)).astype(np.int64), minlength=cells).astype(np.uint8) & 1).tobytes()
+
+
+def _fold(bits: np.ndarray, cells: int) -> np.ndarray:
+    """The sketch that the sets would have with fewer cells."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), -1, cells), axis=1)
+
+
+def possible_pairs(n: np.ndarray, sketches: list[bytes], m: np.ndarray, others: list[bytes], percent: int) -> np.ndarray:
+    """Which pairs can be similar enough by their sizes and sketches."""
+    out = 100 * np.minimum(n[:, None], m[None, :]) >= percent * np.maximum(n[:, None], m[None, :])
+    most = (n[:, None] + m[None, :]) * (100 - percent) // (100 + percent)
+    left, right = np.array([8 * len(x) for x in sketches]), np.array([8 * len(x) for x in others])
+    bits = lambda xs, at: np.unpackbits(np.frombuffer(b"".join(xs[i] for i in at), np.uint8)).reshape(len(at), -1)
+    for a in np.unique(left):
+        for b in np.unique(right):
+            i, j = np.flatnonzero(left == a), np.flatnonzero(right == b)
+            block = np.ix_(i, j)
+            if out[block].any():
+                cells = int(min(a, b))
+                u, v = _fold(bits(sketches, i), cells), _fold(bits(others, j), cells)
+                same = np.zeros((len(i), len(j)))
+                for k in range(0, cells, 8192):
+                    same += (1 - 2 * u[:, k:k + 8192].astype(np.float32)) @ (1 - 2 * v[:, k:k + 8192].astype(np.float32)).T
+                out[block] &= (cells - same) / 2 <= most[block]
+    return out
+
+
+def _parted(sets: DataFrame, j: Join, block: int = 1024) -> DataFrame:
+    """(u, v): a forest of the pairs of each cluster that can be similar."""
+    def drawn(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("cluster"), b.column("node"), b.column("n"), pa.array(
+                [sketch(np.frombuffer(x, np.uint64)) for x in b.column("s").to_pylist()], pa.binary())], ["cluster", "node", "n", "sketch"])
+
+    def compared(batches):
+        for group in grouped(batches, ("cluster", "block", "other")):
+            same = group[0]["block"] == group[0]["other"]
+            left = [r for r in group if r["own"] == group[0]["block"]]
+            right = left if same else [r for r in group if r["own"] == group[0]["other"]]
+            if not left or not right:
+                continue
+            get = lambda rows, c: [r[c] for r in rows]
+            may = possible_pairs(np.array(get(left, "n")), get(left, "sketch"), np.array(get(right, "n")), get(right, "sketch"), j.percent)
+            if same:
+                np.fill_diagonal(may, False)
+            found = forest(may)
+            yield pa.RecordBatch.from_arrays([pa.array([left[a]["node"] for a, _ in found], pa.int64()),
+                                              pa.array([right[b]["node"] for _, b in found], pa.int64())], ["u", "v"])
+
+    s = sets.select("cluster", "node", "n", "s").mapInArrow(drawn, "cluster long, node long, n long, sketch binary")
+    size = materialize(sets.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "partenum-parts")
+    s = s.join(size, "cluster").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    s = s.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
+        {"block": F.least("own", "to"), "other": F.greatest("own", "to")}).drop("to", "blocks")
+    keys = ("cluster", "block", "other")
+    return s.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compared, "u long, v long")
+
+
 def _verified(rows: DataFrame, j: Join) -> DataFrame:
     """(u, v) links inside each (cluster, block, other)."""
     keys = ("cluster", "block", "other")
@@ -230,33 +382,27 @@ def row_key(id_col: str, text_col: str):
 def _components(docs: DataFrame, join: Join, id_col: str, text_col: str, block: int, block_elements: int) -> DataFrame:
     """(doc_id, key, n_shingles, node, component_id, first_key) for every row."""
     spark = docs.sparkSession
-    parts = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), row_key(id_col, text_col).alias("key"), utf8(text_col).alias("t"))
-    first = materialize(_first_pass(src, join, parts), "partenum")
-    rows = first.where("kind = 0").select("doc_id", "key", F.col("n").alias("n_shingles"), "node")
-    ties = first.where("kind = 1").select("node", "least").unionByName(
-        _ties(first.where("kind = 2").select("part", "sigs", "nodes"))).distinct()
+    rows = materialize(_documents(src, join), "partenum-documents")
+    company = materialize(_with_company(src, join, parts), "partenum-company")
+    chosen = rows.groupBy("node").agg(F.min("key").alias("key")).join(company, "node").select("key")  # one row of equal sets
+    second = materialize(_signed_sets(src.join(chosen, "key", "left_semi").select("t"), join, parts), "partenum-signatures")
+    places = second.where("kind = 3").select("block", "at", "node")
+    found = _ties(second.where("kind = 2").select("part", "block", "sigs", "owners")).distinct()
+    found = found.join(places, ["block", "at"]).join(
+        places.select(F.col("block").alias("block0"), F.col("at").alias("at0"), F.col("node").alias("least")), ["block0", "at0"])
+    ties = second.where("kind = 1").select("node", "least").unionByName(found.select("node", "least")).distinct()
     clusters = connected_components(ties, "node", "least").withColumnRenamed("component", "cluster")
-
-    # one document for each node of a cluster gives the node's set again
-    chosen = rows.where("node is not null").join(clusters, "node").groupBy("node", "cluster").agg(F.min("doc_id").alias("doc_id"))
-    texts = src.join(chosen.withColumnRenamed("doc_id", "c_id"), F.col("doc_id").eqNullSafe(F.col("c_id")))
-
-    def again(batches):
-        for b in batches:
-            texts, nodes = b.column("t").to_pylist(), b.column("node").to_pylist()
-            for at in slices([len(t) for t in texts], 1 << 20):
-                sets = shingle_sets(texts[at], join.words)
-                keep = [i for i, s in enumerate(sets) if len(s) and int(_signed(set_hash(s))[0]) == nodes[at.start + i]]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("node").take(pa.array([at.start + i for i in keep], pa.int64())),
-                     b.column("cluster").take(pa.array([at.start + i for i in keep], pa.int64())),
-                     pa.array([len(sets[i]) for i in keep], pa.int64()), pa.array([sets[i].tobytes() for i in keep], pa.binary())],
-                    ["node", "cluster", "n", "s"])
-
-    sets = texts.select("t", "node", "cluster").mapInArrow(again, "node long, cluster long, n long, s binary")
-    sets = sets.groupBy("node", "cluster").agg(F.first("n").alias("n"), F.first("s").alias("s"))
-    sets = materialize(sets, "partenum-sets")
+    sets = second.where("kind = 3").select("node", "n", "s").join(clusters, "node")
+    sets = materialize(sets.groupBy("node", "cluster").agg(F.first("n").alias("n"), F.first("s").alias("s")), "partenum-sets")
+    size = sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"))
+    several = materialize(size.where(F.col("m") > block), "partenum-several").select("cluster")
+    if not several.isEmpty():
+        large = materialize(sets.join(several, "cluster", "left_semi"), "partenum-several-sets")
+        parted = connected_components(_parted(large, join)).withColumnRenamed("component", "cluster")
+        sets = materialize(sets.join(several, "cluster", "left_anti").unionByName(
+            large.drop("cluster").join(parted, "node").select("node", "cluster", "n", "s")), "partenum-parted")
     blocks = materialize(sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
                          .select("cluster", F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("total") / block_elements)).cast("int").alias("blocks")),
                          "partenum-blocks")

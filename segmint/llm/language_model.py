@@ -25,12 +25,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.text import grouped, mix, utf8, word_hashes, words
+from segmint.llm.text import by_part, grouped, mix, pack_ints, pack_keys, unpack_ints, unpack_keys, utf8, word_hashes, words
 from segmint.session import materialize
 
 END, START = np.uint64(0x51ED270B9A3F4D17), np.uint64(0xA0761D6478BD642F)
@@ -47,26 +46,6 @@ class Totals(NamedTuple):
         return max(1.0, self.pairs / max(1, self.words))
 
 
-def pack_ints(x: np.ndarray) -> bytes:
-    """Bytes of equal weight stand together, which packs well."""
-    planes = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpack_ints(b: bytes, kind) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).reshape(-1)
-
-
-def pack_keys(sorted_keys: np.ndarray) -> bytes:
-    return pack_ints(np.diff(sorted_keys, prepend=np.uint64(0)))
-
-
-def unpack_keys(b: bytes) -> np.ndarray:
-    return np.cumsum(unpack_ints(b, np.uint64), dtype=np.uint64)
-
-
 def text_hashes(text: bytes) -> np.ndarray:
     return np.append(word_hashes(words(text)), END)
 
@@ -167,21 +146,13 @@ def _block(r: dict) -> Block:
                  np.array(r["lengths"], np.int64), np.array(r["held"], bool))
 
 
-def _by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The order that puts keys of a part together, ascending; part numbers and ends."""
-    part = mix(keys, 24) % np.uint64(parts)
-    order = np.argsort(part, kind="stable")
-    which, first = np.unique(part[order], return_index=True)
-    return order, which.astype(np.int64), first
-
-
 def _asked(blocks: DataFrame, parts: int) -> DataFrame:
     """(part, block, keys, counts): what each block has and asks."""
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
                 keys, counts = block_counts(_block(r))
-                order, which, first = _by_part(keys, parts)
+                order, which, first = by_part(keys, parts)
                 some = np.split(order, first[1:])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(which), pa.array([r["block"]] * len(which), pa.int64()),
@@ -238,7 +209,7 @@ def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches, ("block",)):
             b = _block(rows[0])
-            order, which, first = _by_part(b.keys()[0], parts)
+            order, which, first = by_part(b.keys()[0], parts)
             assert [r["part"] for r in rows[1:]] == which.tolist(), "an answer is missing"
             totals = np.empty(len(order), np.int64)
             totals[order] = np.concatenate([unpack_ints(r["totals"], np.int64) for r in rows[1:]])

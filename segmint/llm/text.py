@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,3 +105,53 @@ def grouped(parts: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[
             rows.append(row)
     if rows:
         yield rows
+
+
+def pack_ints(x: np.ndarray) -> bytes:
+    """Bytes of equal weight stand together, which packs well."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack_ints(b: bytes, kind) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).reshape(-1)
+
+
+def pack_keys(sorted_keys: np.ndarray) -> bytes:
+    return pack_ints(np.diff(sorted_keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(b: bytes) -> np.ndarray:
+    return np.cumsum(unpack_ints(b, np.uint64), dtype=np.uint64)
+
+
+def by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that puts keys of a part together, ascending; part numbers and ends."""
+    part = mix(keys, 24) % np.uint64(parts)
+    order = np.argsort(part, kind="stable")
+    which, first = np.unique(part[order], return_index=True)
+    return order, which.astype(np.int64), first
+
+
+def forest(part: np.ndarray) -> list[tuple[int, int]]:
+    """Row and column pairs of ``part`` that connect what it connects, by
+    breadth-first search over rows and columns."""
+    rows_left, cols_left = np.ones(part.shape[0], bool), np.ones(part.shape[1], bool)
+    out = []
+    for start in range(part.shape[0]):
+        if not rows_left[start]:
+            continue
+        rows_left[start], queue = False, [start]
+        while queue:
+            r = queue.pop()
+            new = np.flatnonzero(part[r] & cols_left)
+            cols_left[new] = False
+            for c in new.tolist():
+                out.append((r, c))
+                more = np.flatnonzero(part[:, c] & rows_left)
+                rows_left[more] = False
+                queue += more.tolist()
+                out += [(m, c) for m in more.tolist()]
+    return out

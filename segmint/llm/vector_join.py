@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.text import grouped
+from segmint.llm.text import forest, grouped
 from segmint.operators.components import connected_components
 from segmint.session import materialize
 
@@ -212,7 +212,7 @@ def _compared(rows: DataFrame, f: Filters, store: str) -> DataFrame:
             some = count > 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes[some]), pa.nulls(int(some.sum()), pa.int64()), pa.array(count[some].astype(np.int64))], ["node", "other", "links"])
-            edges = _forest(part)
+            edges = forest(part)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a_nodes[[e[0] for e in edges]].astype(np.int64)), pa.array(b_nodes[[e[1] for e in edges]].astype(np.int64)),
                  pa.nulls(len(edges), pa.int64())], ["node", "other", "links"])
@@ -221,28 +221,6 @@ def _compared(rows: DataFrame, f: Filters, store: str) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "node long, other long, links long")
 
 
-def _forest(part: np.ndarray) -> list[tuple[int, int]]:
-    """Row and column pairs of ``part`` that connect what it connects, by
-    breadth-first search over rows and columns."""
-    rows_left, cols_left = np.ones(part.shape[0], bool), np.ones(part.shape[1], bool)
-    out = []
-    for start in range(part.shape[0]):
-        if not rows_left[start]:
-            continue
-        rows_left[start], queue = False, [start]
-        while queue:
-            r = queue.pop()
-            new = np.flatnonzero(part[r] & cols_left)
-            cols_left[new] = False
-            for c in new.tolist():
-                out.append((r, c))
-                more = np.flatnonzero(part[:, c] & rows_left)
-                rows_left[more] = False
-                queue += more.tolist()
-                out += [(m, c) for m in more.tolist()]
-    return out
-
-
 def vector_components(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", filters: Filters | None = None,
                       chunk: int = 1024) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``.
