@@ -83,7 +83,7 @@ def fit(features: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, g:
 class _Words(dict):
     """word -> its part of the score, remembered for up to ``keep`` words."""
 
-    def __init__(self, m: Model, keep: int = 600_000):
+    def __init__(self, m: Model, keep: int = 400_000):
         super().__init__()
         self.model, self.keep = m, keep
 
