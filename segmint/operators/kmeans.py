@@ -90,7 +90,7 @@ def canonical_labels(df: DataFrame, cols: list[str], label: str = "cluster_id",
 
 
 def kmeans_sweep(df: DataFrame, cols: list[str], k_range=range(2, 11), id_col: str = "customerID", seed: int = 42,
-                 n_init: int = 10, silhouette_mode: str = "exact", parallelism: int = 4, **sil_kw) -> DataFrame:
+                 n_init: int = 10, silhouette_mode: str = "exact", parallelism: int = 8, **sil_kw) -> DataFrame:
     """(k, silhouette, davies_bouldin, calinski_harabasz, inertia, n_iter)
     per K, fitted and scored on ``df``. All K labelings are attached as
     columns and their silhouettes share ONE distance pass."""
