@@ -40,8 +40,8 @@ class Join(NamedTuple):
     ``percent`` * union; parts of ``n2`` smaller ones, ``k2`` of which may differ."""
     words: int = 5
     percent: int = 80
-    n2: int = 5
-    k2: int = 2
+    n2: int = 4
+    k2: int = 1
 
 
 def bands(j: Join, largest: int) -> np.ndarray:
@@ -387,7 +387,8 @@ def _components(docs: DataFrame, join: Join, id_col: str, text_col: str, block:
     rows = materialize(_documents(src, join), "partenum-documents")
     company = materialize(_with_company(src, join, parts), "partenum-company")
     chosen = rows.groupBy("node").agg(F.min("key").alias("key")).join(company, "node").select("key")  # one row of equal sets
-    second = materialize(_signed_sets(src.join(chosen, "key", "left_semi").select("t"), join, parts), "partenum-signatures")
+    # fewer parts here: sets that meet in several signatures of a part are tied once
+    second = materialize(_signed_sets(src.join(chosen, "key", "left_semi").select("t"), join, parts // 2), "partenum-signatures")
     places = second.where("kind = 3").select("block", "at", "node")
     found = _ties(second.where("kind = 2").select("part", "block", "sigs", "owners")).distinct()
     found = found.join(places, ["block", "at"]).join(
