@@ -144,7 +144,7 @@ class _Pieces(dict):
 class _Chunks(dict):
     """chunk -> the ids of a space and the chunk, for up to ``keep`` chunks."""
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 500_000):
         self.pieces, self.keep = _Pieces(path, keep // 2), keep
 
     def ids(self, text: str) -> bytes:
