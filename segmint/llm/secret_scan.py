@@ -3,8 +3,10 @@
 Rules find assignments, access keys and long hex runs. Beside them, every run
 of key characters is encoded with a byte-pair vocabulary: words and ordinary
 identifiers are few tokens, random strings are many, so a low ratio of
-characters to tokens exposes them. Known digests and identifiers are left out
-of that test. The work is one pass over the rows, without a shuffle.
+characters to tokens exposes them. Where words of a path or a key's name hide
+a random part from the ratio of the whole run, its pieces are tested one by
+one. Known digests and identifiers are left out of that test. The work is one
+pass over the rows, without a shuffle.
 """
 
 from __future__ import annotations
@@ -31,6 +33,9 @@ RUN = re.compile(rb"[A-Za-z0-9+/_=-]{20,}")
 DIGEST = re.compile(rb"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
 UUID = re.compile(rb"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
+UUID_IN = re.compile(rb"(?<![A-Za-z0-9+])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9+])")
+PIECE = re.compile(rb"[A-Za-z0-9+]+")
+LEAST_PIECE = 12
 CLASSES = (re.compile(rb"[a-z]"), re.compile(rb"[A-Z]"), re.compile(rb"[0-9]"))
 
 # A cheap necessary condition for each pattern, so that most texts need no regex.
@@ -57,11 +62,42 @@ def is_random(run: bytes, vocabulary: str, max_ratio: float) -> bool:
         return False
     if UUID.match(run) or len(run) in DIGEST_LENGTHS and DIGEST.match(run):
         return False
-    if max(map(len, re.split(rb"[/_=-]+", run))) < 12:
+    if max(map(len, re.split(rb"[/_=-]+", run))) < LEAST_PIECE:
         return False
+    return _is_dense(run, vocabulary, max_ratio)
+
+
+def _is_dense(run: bytes, vocabulary: str, max_ratio: float) -> bool:
     return len(run) <= max_ratio * len(_encoder(vocabulary).encode_ordinary(run.decode("ascii")))
 
 
+def random_parts(run: bytes, vocabulary: str, max_ratio: float) -> list[tuple[int, int]]:
+    """The whole run if it is random; otherwise its random pieces between
+    ``/_=-``, each with the neighbours of few characters a token that one
+    ``/``, ``_`` or ``-`` joins to it (base64 has these too) and its padding."""
+    if is_random(run, vocabulary, max_ratio):
+        return [(0, len(run))]
+    known = [m.span() for m in UUID_IN.finditer(run)]
+    pieces = [m.span() for m in PIECE.finditer(run)]
+    pieces = [(s, e) for s, e in pieces if not any(a <= s and e <= b for a, b in known)] if known else pieces
+
+    def joined(i: int) -> bool:  # piece i to the one after it
+        return pieces[i + 1][0] - pieces[i][1] == 1 and run[pieces[i][1]] != ord("=")
+
+    out: list[tuple[int, int]] = []
+    for i, (s, e) in enumerate(pieces):
+        if e - s < LEAST_PIECE or out and s < out[-1][1] or not is_random(run[s:e], vocabulary, max_ratio):
+            continue
+        a = b = i
+        while a and joined(a - 1) and (not out or pieces[a - 1][0] >= out[-1][1]) and _is_dense(run[slice(*pieces[a - 1])], vocabulary, max_ratio):
+            a -= 1
+        while b + 1 < len(pieces) and joined(b) and _is_dense(run[slice(*pieces[b + 1])], vocabulary, max_ratio):
+            b += 1
+        end = pieces[b][1]
+        out.append((pieces[a][0], len(run) if run[end:] in (b"=", b"==") else end))
+    return out
+
+
 def spans_of(text: bytes, vocabulary: str, max_ratio: float) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and then by kind."""
     found = []
@@ -76,8 +112,9 @@ def spans_of(text: bytes, vocabulary: str, max_ratio: float) -> list[tuple[str,
         base = list(found)
         for m in RUN.finditer(text):
             s, e = m.span()
-            if not any(a <= s and e <= b for _, a, b in base) and is_random(m.group(), vocabulary, max_ratio):
-                found.append((3, s, e))
+            if not any(a <= s and e <= b for _, a, b in base):
+                parts = [(s + x, s + y) for x, y in random_parts(m.group(), vocabulary, max_ratio)]
+                found += [(3, x, y) for x, y in parts if not any(a <= x and y <= b for _, a, b in base)]
     if not found:
         return []
     if not text.isascii():
@@ -102,7 +139,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", vocabulary: str | None
     rows each get their row; the new column gets underscores if the name is
     taken; an empty table gives an empty table. ``vocabulary`` is a file of
     ranks on every executor, ``max_ratio`` the characters a token up to which
-    a run counts as random.
+    a run, or a piece of 12 or more characters in it, counts as random.
     """
     vocabulary = vocabulary or vocabulary_path()
     out, raw = free_name(docs, "secret_spans"), free_name(docs, "utf8")

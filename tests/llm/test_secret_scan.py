@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import pytest
 from conftest import SF_SMALL
@@ -54,3 +56,34 @@ def test_redaction(spark):
     assert out[1].text == "é [SECRET]' end" and out[1].n_chars == len(out[1].text)
     assert out[2].text == "plain" and out[2].n_chars == 5 and out[3].text is None
     assert S.redact_secrets(awkward(spark)).columns == awkward(spark).columns
+
+
+@pytest.mark.parametrize("before,after", [("authorization_bearer_value=", ""), ("/usr/local/share/application/settings/", ""),
+                                          ("https://example.com/callback/of/application/", "/settings?x=1"), ("client-credential-value=", " end")])
+@pytest.mark.parametrize("length", [20, 24])
+def test_random_parts_behind_words_are_found(before, after, length):
+    rnd = random.Random(5)
+    for _ in range(100):
+        key = "".join(rnd.choices(string.ascii_letters + string.digits, k=length))
+        spans = S.spans_of(f"é {before}{key}{after}".encode(), S.vocabulary_path(), 1.9)
+        at = 2 + len(before)
+        assert any(s <= at and at + length <= e for _, s, e in spans), key
+
+
+def test_base64_behind_words_is_found_whole():
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYq8Zk1KEY9="
+    text = f"/usr/local/share/application/settings/authorization/credentials={key}"
+    assert S.spans_of(text.encode(), S.vocabulary_path(), 1.9) == [("random", text.index(key), len(text))]
+
+
+@pytest.mark.parametrize("text", ["/usr/local/share/application/settings/authorization/values", "https://example.com/users/123e4567-e89b-12d3-a456-4a6b1c1d40f0/application/settings",
+                                  "use_application_settings=ThisIsACamelCaseIdentifier2Name", "backup/of/the/database-2024-01-31/part-00017", "/usr/local/share/application/settings/D41D8CD98F00B204E9800998ECF8427E"])
+def test_words_and_known_forms_in_paths_stay(text):
+    assert S.spans_of(text.encode(), S.vocabulary_path(), 1.9) == []
+
+
+def test_redaction_behind_words(spark):
+    key = "q7Zk2VbX9LmT4RwJ8sPd"
+    docs = docs_of(spark, [(1, f"see /usr/local/share/application/settings/of/authorization/{key}/and/other/things now")])
+    text = S.redact_secrets(docs).first().text
+    assert text.startswith("see ") and text.endswith(" now") and "[SECRET]" in text and key not in text
