@@ -108,6 +108,27 @@ def phone(text: str, key: bytes) -> str | None:
     return code + _refill(rest, "".join(str(x + y) for x, y in zip(new, low, strict=True)))
 
 
+def other_phone(text: str, key: bytes) -> str | None:
+    """Ten digits after +1 that ``phone`` rejects: an area or exchange that
+    starts with 0 or 1. They are permuted among themselves."""
+    code, rest = text[:2], text[2:]
+    d = [int(c) for c in rest if c.isdigit()]
+    if code != "+1" or len(d) != 10 or d[0] >= 2 and d[3] >= 2:
+        return None
+    number = lambda of: int("".join(map(str, of)))
+    area, size = 2 * 10**9, 2 * 10**9 + 8 * 100 * 2 * 10**6  # areas under 200, then exchanges under 200 in other areas
+    rank = number(d) if d[0] < 2 else area + (number(d[:3]) - 200) * 2 * 10**6 + number(d[3:])
+    rank = permute(rank, size, key, "other phone+1")
+    if rank < area:
+        return code + _refill(rest, f"{rank:010d}")
+    a, low = divmod(rank - area, 2 * 10**6)
+    return code + _refill(rest, f"{a + 200}{low:07d}")
+
+
+def any_phone(text: str, key: bytes) -> str | None:
+    return phone(text, key) or other_phone(text, key)
+
+
 def ipv4(text: str, key: bytes) -> str | None:
     """Four numbers up to 255, without leading zeros."""
     n = text.split(".")
@@ -192,7 +213,7 @@ KINDS = (
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"), iban),
     ("card", re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])"), card),
     ("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), ssn),
-    ("phone", re.compile(r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,5}\)?){2,5}(?![0-9])"), phone),
+    ("phone", re.compile(r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,5}\)?){2,5}(?![0-9])"), any_phone),
     ("date", re.compile(r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])"), date),
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])"), ipv4),
 )

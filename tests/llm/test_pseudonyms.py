@@ -62,3 +62,18 @@ def test_awkward_rows(spark):
     out = P.pseudonymize(awkward(spark), KEY)
     assert out.columns == [*awkward(spark).columns, "pseudonyms_"] and out.count() == 10
     assert P.pseudonymize(awkward(spark).limit(0), KEY).count() == 0
+
+
+@pytest.mark.parametrize("text", ["+1 (017) 555-7713", "+1 (132) 555-1352", "+1 743 155 3824", "+10175557713"])
+def test_every_ten_digit_number_gets_a_pseudonym(text):
+    new, found = P.pseudonymize_text(f"call {text}.", KEY)
+    assert [x[:3] for x in found] == [("phone", 5, 5 + len(text))] and text not in new
+    assert re.sub("[0-9]", "9", new) == re.sub("[0-9]", "9", f"call {text}.")
+    assert P.phone(found[0][3], KEY) is None and P.other_phone(found[0][3], KEY) is not None
+
+
+def test_numbers_outside_the_plan_stay_different():
+    texts = [f"+1{a:03d}{x:03d}{n:04d}" for a in (0, 17, 199, 200, 999) for x in (0, 1, 100, 199) for n in (0, 9999)]
+    new = {P.other_phone(t, KEY) for t in texts}
+    assert None not in new and len(new) == len(texts) and all(re.fullmatch(r"\+1\d{10}", x) for x in new)
+    assert P.other_phone("+1 743 555 3824", KEY) is None
