@@ -126,7 +126,12 @@ def other_phone(text: str, key: bytes) -> str | None:
 
 
 def any_phone(text: str, key: bytes) -> str | None:
-    return phone(text, key) or other_phone(text, key)
+    """With + and the country's code, or ten digits that are read as +1."""
+    if text[0] == "+":
+        return phone(text, key) or other_phone(text, key)
+    lead = re.match(r"(?:1[ .-])?", text).group()
+    new = any_phone("+1" + text[len(lead):], key)
+    return new and lead + new[2:]
 
 
 def ipv4(text: str, key: bytes) -> str | None:
@@ -172,6 +177,15 @@ def iban(text: str, key: bytes) -> str | None:
     return f"{text[:2]}{98 - number(body + text[:2] + '00') % 97:02d}{body}"
 
 
+def any_iban(text: str, key: bytes) -> str | None:
+    """In one piece or in groups of four."""
+    new = iban(text.replace(" ", ""), key)
+    if new is None:
+        return None
+    it = iter(new)
+    return "".join(c if c == " " else next(it) for c in text)
+
+
 _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
 
@@ -207,21 +221,38 @@ def date(text: str, key: bytes) -> str | None:
     return d and f"{d.month:02d}/{d.day:02d}/{d.year}"
 
 
-#: kind, its form, and its validating permutation; earlier kinds win.
+#: kind, its form, and its validating permutation; earlier kinds win. Where a
+#: form takes groups, a match that is rejected is tried again with fewer.
 KINDS = (
     ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"), email),
-    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"), iban),
+    ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"), any_iban),
     ("card", re.compile(r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])"), card),
     ("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), ssn),
-    ("phone", re.compile(r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,5}\)?){2,5}(?![0-9])"), any_phone),
+    ("phone", re.compile(r"\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,5}\)?){2,5}(?![0-9])"
+                         r"|(?<![0-9A-Za-z+.-])(?:1[ .-])?(?:\([0-9]{3}\) ?[0-9]{3}[.-]|[0-9]{3}([.-])[0-9]{3}\1)[0-9]{4}(?![0-9]|[.-][0-9])"), any_phone),
     ("date", re.compile(r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])"), date),
     ("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])"), ipv4),
 )
+GROUPED = ("phone", "iban")
+_GROUP = re.compile(r"[A-Za-z0-9]+\)?")
 _ANY = re.compile(r"[0-9@]")
 FOUND = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
                                   T.StructField("end", T.IntegerType()), T.StructField("pseudonym", T.StringType())]))
 
 
+def _ends(kind: str, m: re.Match) -> list[int]:
+    """Where a match may end: as it is, or after one of its groups. A phone
+    rather ends before a date or an address that starts inside the match."""
+    s, e = m.span()
+    if kind not in GROUPED:
+        return [e]
+    ends = sorted({e, *(g.end() for g in _GROUP.finditer(m.string, s, e))}, reverse=True)
+    if kind == "phone" and m.group()[0] == "+":
+        later = [x.start() for _, form, _ in KINDS[-2:] for x in form.finditer(m.string, s + 1, min(len(m.string), e + 20)) if x.start() < e]
+        ends.sort(key=lambda x: x > min(later, default=e))
+    return ends
+
+
 def pseudonymize_text(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int, str]]]:
     """The new text, and (kind, start, end, pseudonym) in the old one."""
     if not _ANY.search(text):
@@ -229,10 +260,15 @@ def pseudonymize_text(text: str, key: bytes) -> tuple[str, list[tuple[str, int,
     found: list[tuple[int, int, str, str]] = []
     for kind, form, change in KINDS:
         taken = list(found)
-        for m in form.finditer(text):
-            s, e = m.span()
-            if not any(a < e and s < b for a, b, _, _ in taken) and (new := change(m.group(), key)) is not None:
-                found.append((s, e, kind, new))
+        at = 0
+        while m := form.search(text, at):
+            s = m.start()
+            at = s + 1 if kind in GROUPED else m.end()
+            for e in _ends(kind, m):
+                if not any(a < e and s < b for a, b, _, _ in taken) and (new := change(text[s:e], key)) is not None:
+                    found.append((s, e, kind, new))
+                    at = e
+                    break
     found.sort()
     out, last = [], 0
     for s, e, _, new in found:

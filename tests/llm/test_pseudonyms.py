@@ -77,3 +77,21 @@ def test_numbers_outside_the_plan_stay_different():
     new = {P.other_phone(t, KEY) for t in texts}
     assert None not in new and len(new) == len(texts) and all(re.fullmatch(r"\+1\d{10}", x) for x in new)
     assert P.other_phone("+1 743 555 3824", KEY) is None
+
+
+@pytest.mark.parametrize("text,found", [
+    ("+1 (826) 555-4081 190.137.223.204", ["+1 (826) 555-4081", "190.137.223.204"]), ("+1 (826) 555-4081 42 cats", ["+1 (826) 555-4081"]),
+    ("+1 (826) 555-4081 123-45-6789", ["+1 (826) 555-4081", "123-45-6789"]), ("+1 826 555 4081 2020-02-29", ["+1 826 555 4081", "2020-02-29"]),
+    ("+49 30 1234567 10.20.30.40", ["+49 30 1234567", "10.20.30.40"]), ("+49 30 1234567 4111 1111 1111 1111", ["+49 30 1234567", "4111 1111 1111 1111"]),
+    ("+1 (826) 555-4081 555-123-4567", ["+1 (826) 555-4081", "555-123-4567"]), ("(555) 123-4567 or 1-800-555-0199", ["(555) 123-4567", "1-800-555-0199"]),
+    ("GB82 WEST 1234 5698 7654 32 THEN", ["GB82 WEST 1234 5698 7654 32"]), ("BE68 5390 0754 7034 BE68 5390 0754 7034", ["BE68 5390 0754 7034"] * 2),
+    ("version 1.2.3 of 10 200 3000, part 12-345-6789, +1 826 555 40811, GB82 WEST 1234 5698 7654 33", [])])
+def test_values_beside_others_and_in_groups(text, found):
+    new, spans = P.pseudonymize_text(f"é {text} x", KEY)
+    assert [f"é {text} x"[s:e] for _, s, e, _ in spans] == found
+    assert not any(f in new for f in found) and re.sub("[A-Z]", "A", re.sub("[0-9]+", "9", new)) == re.sub("[A-Z]", "A", re.sub("[0-9]+", "9", f"é {text} x"))
+
+
+def test_forms_of_one_value_stay_linked():
+    assert P.any_phone("826-555-4081", KEY).replace("-", "") == P.any_phone("+1 (826) 555-4081", KEY)[2:].translate({ord(c): None for c in "() -"})
+    assert P.any_iban("GB82 WEST 1234 5698 7654 32", KEY).replace(" ", "") == P.iban("GB82WEST12345698765432", KEY)
