@@ -96,15 +96,27 @@ def _variants(templates: dict[str, tuple[str, ...]], each: int, rng: np.random.G
     return out
 
 
-def _ordinary(docs: DataFrame, text_col: str, id_col: str, vocabulary: list[str], sample: int, lines: int) -> list[list[str]]:
-    """The vocabulary's grams in at most ``lines`` paragraphs, without notices,
-    of at most ``sample`` documents, the first by a hash of their id."""
+def _resembles(grams: Column, known: Column, templates: dict[str, tuple[str, ...]]) -> Column:
+    """Whether a line has half of a template's grams, or most of its own grams
+    (6 at least) are those of one template, as in a notice cut into lines."""
+    parts = _literal([_grams(t) for texts in templates.values() for t in texts], "array<array<string>>")
+    shared = F.transform(parts, lambda t: F.struct(F.size(F.array_intersect(t, known)).alias("n"), F.size(t).alias("of")))
+    return F.exists(shared, lambda x: (x["n"] >= 0.5 * x["of"]) | ((x["n"] >= 6) & (x["n"] >= 0.6 * F.size(grams))))
+
+
+def _ordinary(docs: DataFrame, text_col: str, id_col: str, templates: dict[str, tuple[str, ...]], vocabulary: list[str],
+              sample: int, lines: int) -> list[list[str]]:
+    """The vocabulary's grams in at most ``lines`` paragraphs, without notices
+    and what resembles a template, of at most ``sample`` documents, the first
+    by a hash of their id."""
     ids = docs.select(F.col(f"`{id_col}`").alias("id")).where("id is not null").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
     known = F.array_distinct(F.from_json(F.lit(json.dumps(vocabulary)), "array<string>"))
     rows = (docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t")).join(F.broadcast(ids), "id")
             .select("id", F.posexplode(F.split("t", "\n")).alias("at", "line"))
             .where(~F.col("line").rlike(r"(?i)licen[cs]|copyright|spdx|all rights reserved") & (F.trim("line") != ""))
-            .select(F.xxhash64("line").alias("h"), "id", "at", F.array_intersect(known, grams_of(words_of(F.col("line")))).alias("g"))
+            .select(F.xxhash64("line").alias("h"), "id", "at", grams_of(words_of(F.col("line"))).alias("all"))
+            .select("h", "id", "at", "all", F.array_intersect(known, F.col("all")).alias("g"))
+            .where(~_resembles(F.col("all"), F.col("g"), templates)).select("h", "id", "at", "g")
             .orderBy("h", "id", "at").limit(lines))
     return [r["g"] for r in rows.collect()]
 
@@ -117,7 +129,7 @@ def fit(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, samp
     rng = np.random.default_rng(seed)
     notices = _variants(templates, each, rng)
     vocabulary = sorted({g for _, t in notices for g in _grams(t)})
-    ordinary = _ordinary(docs, text_col, id_col, vocabulary, sample, lines)
+    ordinary = _ordinary(docs, text_col, id_col, templates, vocabulary, sample, lines)
     seen: dict[str, int] = {}
     for grams in ordinary:
         for g in grams:

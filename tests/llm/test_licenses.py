@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 
 import pytest
 from conftest import SF_SMALL
@@ -63,3 +64,20 @@ def test_awkward_rows(spark, model):
     assert L.fit(awkward(spark).limit(0)).classes[-1] == L.NONE
     twice = docs_of(spark, [(None, "Released under the MIT License."), (None, "Released under the MIT License.")])
     assert [(r.doc_id, r.family, r.start) for r in L.scan_licenses(twice, model).collect()] == [(None, "mit", 0)] * 2
+
+
+MIT_BODY = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+
+
+@pytest.mark.parametrize("wrapped", [False, True])
+def test_a_frequent_licence_is_still_found(spark, wrapped):
+    body = "\n".join(textwrap.wrap(MIT_BODY.split("\n")[0], 72)) if wrapped else MIT_BODY
+    bodies = [f"code {i}\n{body}\nmore code {i}" for i in range(100)]
+    docs = docs_of(spark, [(i, bodies[i // 3] if i % 3 == 0 else f"def f{i}(x):\n    return the value of x + {i}\nand so on") for i in range(300)])
+    frequent = L.fit(docs)
+    assert {"hereby", "obtaining", "hereby granted"} <= set(frequent.weights)
+    if not wrapped:
+        found = [r for r in L.scan_licenses(docs, frequent).collect() if r.family == "mit" and r.confirmed]
+        assert {r.doc_id for r in found} == set(range(0, 300, 3))
