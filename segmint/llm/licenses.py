@@ -7,6 +7,8 @@ like a licence but like no known one are a class of their own, and
 probabilities are calibrated on notices left out of the fit. A prediction is
 confirmed by comparison with the family's templates.
 
+A notice wrapped over lines is judged with its lines joined.
+
 The scan is column expressions only: it runs in the scan's own stage without
 Python, joins or shuffles. Only the fit, on a bounded sample, is done by the
 driver.
@@ -177,11 +179,31 @@ def _literal(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _reach(lines: Column, at: Column, words: int) -> Column:
+    """How many lines a notice that begins in line ``at`` may take: the lines
+    with words that follow, until they hold ``words`` words."""
+    step = lambda a, line: F.when(
+        a["open"], _let(F.size(words_of(line)), lambda n: F.struct(
+            (a["k"] + (n > 0).cast("int")).alias("k"), (a["n"] + n).alias("n"), ((n > 0) & (a["n"] + n < words)).alias("open")))).otherwise(a)
+    return F.aggregate(F.slice(lines, at + 2, words), F.struct(F.lit(1).alias("k"), F.lit(0).alias("n"), F.lit(True).alias("open")), step)["k"]
+
+
 def scan_licenses(docs: DataFrame, model: Model, templates: dict[str, tuple[str, ...]] = TEMPLATES, id_col: str = "doc_id",
                   text_col: str = "text", least: float = 0.6) -> DataFrame:
-    """One row for each paragraph (line) with a licence notice: doc_id,
-    paragraph (from 0), start (in characters), text, family, probability,
-    similarity, confirmed.
+    """One row for each paragraph with a licence notice: doc_id, paragraph
+    (its first line, from 0), start (in characters), text, family,
+    probability, similarity, confirmed.
+
+    A paragraph is a line, or neighbouring lines without a blank one between
+    them over which a notice is wrapped: joined they are confirmed, and more
+    similar than any confirmed line among them. Such a window begins at a line
+    with a feature; of windows that overlap the most similar and then the
+    shortest is taken, and its lines have no rows of their own.
 
     ``family`` is the likeliest one, or "unknown" if its probability is under
     the model's limit; ``similarity`` is the largest share of a template's
@@ -193,29 +215,68 @@ def scan_licenses(docs: DataFrame, model: Model, templates: dict[str, tuple[str,
     n = len(model.classes)
     stems = sorted({w for g in model.weights for w in g.split() if w in model.weights})
     any_word = r"(?i)(?<![a-z0-9])(?:" + "|".join(s.replace(".", r"\.") for s in stems) + r")(?![a-z0-9])"
-    lines = (docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("t"))
-             .where(F.col("t").rlike(any_word)).select("doc_id", F.split("t", "\n").alias("lines")))
-    lines = lines.select("doc_id", "lines", F.posexplode("lines").alias("paragraph", "text")).where(F.col("text").rlike(any_word))
-    start = F.aggregate(F.slice("lines", 1, F.col("paragraph")), F.lit(0), lambda a, x: a + F.length(x) + 1)
-    lines = lines.select("doc_id", "paragraph", start.alias("start"), "text", grams_of(words_of(F.col("text"))).alias("grams"))
+    # a notice is no longer than the longest template and a quarter for words put in
+    reach = 5 * max((len(t.split()) for ts in templates.values() for t in ts), default=0) // 4 + 1
     weights = _literal(model.weights, "map<string,array<double>>")
     bias = _literal(model.bias, "array<double>")
-    score = F.aggregate(F.array_intersect(F.map_keys(weights), F.col("grams")), bias,
-                        lambda acc, g: F.zip_with(acc, F.element_at(weights, g), lambda a, b: a + b))
-    lines = lines.withColumn("score", score)
-    top = F.array_max("score")
-    best = F.array_position("score", top)
-    total = F.aggregate("score", F.lit(0.0), lambda a, s: a + F.exp((s - F.array_max("score")) / model.temperature))
-    lines = lines.withColumns({"best": best, "probability": 1 / total}).where(F.col("best") < n)
-    family = F.when(F.col("probability") < model.accept, "unknown").otherwise(
-        F.element_at(_literal(list(model.classes), "array<string>"), F.col("best").cast("int")))
+    classes = _literal(list(model.classes), "array<string>")
     parts = _literal({f: [_grams(t) for t in texts] for f, texts in templates.items()}, "map<string,array<array<string>>>")
-    share = lambda of: F.array_max(F.transform(of, lambda t: F.size(F.array_intersect(t, F.col("grams"))) / F.size(t)))
-    lines = lines.withColumn("family", family)
-    lines = lines.withColumn("similarity", F.when(F.col("family") == "unknown", share(F.flatten(F.map_values(parts))))
-                             .otherwise(share(F.element_at(parts, F.col("family")))))
-    return lines.select("doc_id", "paragraph", "start", "text", "family", "probability", "similarity",
-                        ((F.col("family") != "unknown") & (F.col("similarity") >= least)).alias("confirmed"))
+
+    def judged(grams: Column, at: Column, k: Column) -> Column:
+        score = F.aggregate(F.array_intersect(F.map_keys(weights), grams), bias,
+                            lambda acc, g: F.zip_with(acc, F.element_at(weights, g), lambda a, b: a + b))
+        share = lambda of: F.array_max(F.transform(of, lambda t: F.size(F.array_intersect(t, grams)) / F.size(t)))
+
+        def named(x: Column) -> Column:
+            family = F.when(x["p"] < model.accept, "unknown").otherwise(F.element_at(classes, x["best"].cast("int")))
+            return F.when(x["best"] < n, _let(family, lambda f: _let(
+                F.when(f == "unknown", share(F.flatten(F.map_values(parts)))).otherwise(share(F.element_at(parts, f))),
+                lambda s: F.struct(at.alias("at"), k.alias("k"), f.alias("family"), x["p"].alias("probability"), s.alias("similarity"),
+                                   ((f != "unknown") & (s >= least)).alias("confirmed")))))
+
+        return _let(score, lambda s: _let(F.array_max(s), lambda top: _let(F.struct(
+            F.array_position(s, top).alias("best"),
+            (1 / F.aggregate(s, F.lit(0.0), lambda a, v: a + F.exp((v - top) / model.temperature))).alias("p")), named)))
+
+    found = lambda of: F.filter(of, lambda x: x.isNotNull())
+    text = lambda at, k, by: F.array_join(F.slice("lines", at + 1, k), by)
+    docs = (docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("t"))
+            .where(F.col("t").rlike(any_word)).select("doc_id", F.split("t", "\n").alias("lines")))
+    docs = docs.withColumn("hits", F.filter(F.transform("lines", lambda x, i: F.when(x.rlike(any_word), i)), lambda i: i.isNotNull()))
+    docs = docs.withColumn("alone", found(F.transform("hits", lambda i: _let(
+        grams_of(words_of(F.element_at("lines", i + 1))), lambda g: judged(g, i, F.lit(1))))))
+    docs = docs.withColumn("solo", F.filter("alone", lambda x: x["confirmed"]))
+
+    def windows(i: Column) -> Column:
+        """The confirmed windows of two or more lines that begin at line i."""
+        def window(first: Column, k: Column) -> Column:
+            rest = F.slice(words_of(text(i + 1, k - 1, " ")), 1, reach)
+            return _let(grams_of(F.concat(first, rest)), lambda g: judged(g, i, k))
+
+        def more(x: Column) -> Column:  # than its lines
+            return ~F.exists("solo", lambda s: (x["at"] <= s["at"]) & (s["at"] < x["at"] + x["k"]) & (s["similarity"] >= x["similarity"]))
+
+        whole = F.array_min(F.transform(F.filter("solo", lambda s: (s["at"] >= i) & (s["similarity"] >= 1)), lambda s: s["at"]))
+        most = _let(whole, lambda stop: F.when(stop == i, 1).otherwise(F.least(_reach(F.col("lines"), i, reach), stop - i)))
+        return _let(most, lambda m: F.when(m > 1, _let(words_of(F.element_at("lines", i + 1)), lambda w: _let(
+            F.slice(w, F.greatest(F.size(w) - reach, F.lit(0)) + 1, reach), lambda first: F.filter(
+                F.transform(F.sequence(F.lit(2), m), lambda k: window(first, k)), lambda x: x.isNotNull() & x["confirmed"] & more(x)))))
+            .otherwise(F.filter(F.slice("alone", 1, 0), lambda x: x.isNotNull())))
+
+    def better(acc: Column, x: Column) -> Column:
+        """Windows come by first line; one that overlaps the last replaces it or goes."""
+        last = F.get(acc, F.size(acc) - 1)
+        wins = (x["similarity"] > last["similarity"]) | (x["similarity"] == last["similarity"]) & (x["k"] < last["k"])
+        return (F.when((F.size(acc) == 0) | (last["at"] + last["k"] <= x["at"]), F.concat(acc, F.array(x)))
+                .when(wins, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(x))).otherwise(acc))
+
+    docs = docs.withColumn("wrapped", F.flatten(F.transform("hits", windows)))
+    docs = docs.withColumn("wrapped", F.when(F.size("wrapped") > 0, F.aggregate("wrapped", F.slice("wrapped", 1, 0), better)).otherwise(F.col("wrapped")))
+    rows = F.concat("wrapped", F.filter("alone", lambda x: ~F.exists("wrapped", lambda w: (w["at"] <= x["at"]) & (x["at"] < w["at"] + w["k"]))))
+    rows = docs.select("doc_id", "lines", F.explode(rows).alias("x"))
+    start = F.aggregate(F.slice("lines", 1, F.col("x.at")), F.lit(0), lambda a, x: a + F.length(x) + 1)
+    return rows.select("doc_id", F.col("x.at").alias("paragraph"), start.alias("start"), text(F.col("x.at"), F.col("x.k"), "\n").alias("text"),
+                       "x.family", "x.probability", "x.similarity", "x.confirmed")
 
 
 def license_paragraphs(docs: DataFrame) -> DataFrame:

@@ -81,3 +81,42 @@ def test_a_frequent_licence_is_still_found(spark, wrapped):
     if not wrapped:
         found = [r for r in L.scan_licenses(docs, frequent).collect() if r.family == "mit" and r.confirmed]
         assert {r.doc_id for r in found} == set(range(0, 300, 3))
+
+
+WRAPPED = {
+    "gpl-3.0": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.""",
+    "gpl-2.0": """ * You can redistribute it and/or modify it under the terms of the GNU
+ * General Public License as published by the Free Software Foundation,
+ * version 2""",
+    "bsd": """// Redistribution and use in source and binary forms, with or without
+// modification, are permitted provided that the following conditions are met:""",
+    "mit": """Permission is hereby granted, free of
+charge, to any person obtaining
+a copy of this software and
+associated documentation files""",
+}
+
+
+@pytest.mark.parametrize("family", WRAPPED)
+def test_wrapped_notices(spark, model, family):
+    notice = WRAPPED[family]
+    k = notice.count("\n") + 1
+    docs = docs_of(spark, [(1, f"import os\n\n{notice}\n\nx = 1"), (2, "a b\n" * 3 + f"{notice}\nthe end of it"), (3, notice.replace("\n", "\n\n")),
+                           (4, f"{notice}\n\n{notice}"), (5, f"{notice}\nReleased under the MIT License.")])
+    got = {}
+    for r in L.scan_licenses(docs, model).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for d, rows in got.items():
+        for r in rows:
+            assert texts[d][r.start:].startswith(r.text) and texts[d][:r.start].count("\n") == r.paragraph
+    named = {d: [(r.paragraph, r.family) for r in sorted(rows, key=lambda r: r.paragraph) if r.confirmed] for d, rows in got.items()}
+    assert [f for _, f in named[1]] == [f for _, f in named[2]] == [family]
+    assert [f for _, f in named[4]] == [family] * 2 and named[4][1][0] >= k + 1
+    assert [f for _, f in named[5]] == [family, "mit"] and named[5][1][0] == k
+    best = next(r for r in got[1] if r.confirmed)
+    assert best.similarity > 0.9 and best.text.count("\n") >= 1
+    assert not any(best.paragraph <= r.paragraph < best.paragraph + best.text.count("\n") + 1 for r in got[1] if r is not best)
