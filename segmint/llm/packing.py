@@ -42,13 +42,14 @@ class Placed(NamedTuple):
     offset: int
 
 
-def dot_product_pack(tokens: np.ndarray, loss: np.ndarray, limits: Limits, cut: bool) -> list[Placed]:
+def dot_product_pack(tokens: np.ndarray, loss: np.ndarray, limits: Limits, cut: bool, last: bool = True) -> list[Placed]:
     """Places items of ``tokens`` and ``loss`` needs into numbered bins.
 
     Without ``cut`` an item must fit an empty bin. With it, a document's loss
     is its length less one (its first id is not predicted); an item that does
     not fit the last gap gives its head to it, and what is left in the last
-    bin goes to bins of a power of two, which need no padding.
+    bin goes to bins of a power of two, which need no padding, or if more
+    items follow (not ``last``) is not placed.
     """
     need = np.stack([tokens, np.ones(len(tokens)), loss], axis=1).astype(float)
     if not cut and (need > np.array(limits)).any():
@@ -71,7 +72,8 @@ def dot_product_pack(tokens: np.ndarray, loss: np.ndarray, limits: Limits, cut:
         scarce = need[alive].sum(axis=0)
         scarce /= max(scarce.max(), 1e-12)
         if cut and left[alive].sum() < limits.tokens and alive.sum() <= limits.segments:
-            number = _tail(out, ids[alive], start[alive], left[alive], number)
+            if last:
+                number = _tail(out, ids[alive], start[alive], left[alive], number)
             break
         room, used = np.ones(3), 0
         while True:
@@ -201,7 +203,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
-        used, rest = 0, []  # rest: (doc_id, start, ids, doc_tokens)
+        used, rest, kept = 0, [], 0  # rest: (doc_id, start, ids, doc_tokens), the first kept ones from the pool before
 
         def batch(rows):
             # row: doc_id, start, ids, doc_tokens, sequence, offset
@@ -213,13 +215,16 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 pa.array([max(0, x - 1) for x in n], pa.int64())],
                 ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "n_loss"])
 
-        def flush(first):
+        def flush(first, last):
+            """Rows, the next sequence's number, and what is left for the next pool."""
             n = np.array([len(r[2]) // 4 for r in rest])
-            rows = []
-            for p in dot_product_pack(n, np.maximum(0, n - 1), limits, cut=True):
+            rows, done = [], [0] * len(rest)
+            for p in dot_product_pack(n, np.maximum(0, n - 1), limits, cut=True, last=last):
                 d, s, ids, total = rest[p.item]
                 rows.append((d, s + p.start, ids[4 * p.start:4 * (p.start + p.length)], total, first + p.bin, p.offset))
-            return rows, 1 + max(r[4] for r in rows)
+                done[p.item] = p.start + p.length
+            left = [(d, s + x, ids[4 * x:], total) for (d, s, ids, total), x in zip(rest, done, strict=True) if 4 * x < len(ids)]
+            return rows, max((r[4] + 1 for r in rows), default=first), left
 
         id_type = pa.int64()
         for b in parts:
@@ -236,14 +241,15 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         rows = []
                 if at < total:
                     rest.append((d, at, ids[4 * at:], total))
-                if len(rest) >= pool:
-                    more, used = flush(used)
-                    yield batch(more)
-                    rest = []
+                if len(rest) - kept >= pool:
+                    more, used, rest = flush(used, last=False)
+                    kept = len(rest)
+                    if more:
+                        yield batch(more)
             if rows:
                 yield batch(rows)
         if rest:
-            yield batch(flush(used)[0])
+            yield batch(flush(used, last=True)[0])
 
     return src.mapInArrow(run, PIECES.format(id=docs.schema[id_col].dataType.simpleString()))
 

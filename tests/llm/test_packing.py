@@ -102,3 +102,17 @@ def test_examples(spark):
     assert sorted(r.id for r in out if r.sequence_id is None) == [3, 4, 8]
     with pytest.raises(ValueError):
         P.dot_product_pack(np.array([5]), np.array([1]), P.Limits(4, 1, 4), cut=False)
+
+
+def test_short_sequences_only_end_a_task(spark):
+    docs = docs_of(spark, [(i, f"short text number {i} of many") for i in range(600)]).coalesce(1)
+    limits = P.Limits(128, 64, 128)
+    rows = P.pack_documents(docs, limits=limits, pool=40).collect()
+    size, ids = {}, {}
+    for r in rows:
+        size[r.sequence_id] = size.get(r.sequence_id, 0) + r.length
+        ids.setdefault(r.doc_id, []).append((r.start, r.length, r.doc_tokens))
+    assert sum(n < 128 for n in size.values()) <= 7
+    for pieces in ids.values():
+        ends = [0, *(s + n for s, n, _ in sorted(pieces))]
+        assert [s for s, _, _ in sorted(pieces)] == ends[:-1] and ends[-1] == pieces[0][2]
