@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segmint.llm import url_reputation
+from segmint.llm import chat, url_reputation
 from segmint.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,11 @@ def op7_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from segmint.llm.licenses import license_paragraphs
     return license_paragraphs(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_digests(chat.with_example(table(spark, sf_dir, "conversations")))
+
+
+ORACLE["op11_chat_format"] = chat.oracle()
