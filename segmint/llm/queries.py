@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segmint.llm import chat, url_reputation
+from segmint.llm import chat, collocations, url_reputation
 from segmint.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,17 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_chat_format"] = chat.oracle()
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from segmint.llm.alignment import alignment_digests
+    return alignment_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_collocations"] = collocations.ORACLE
