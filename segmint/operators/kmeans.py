@@ -79,14 +79,14 @@ def kmeans_assign(df: DataFrame, cols: list[str], centers, out: str = "cluster_i
 
 def canonical_labels(df: DataFrame, cols: list[str], label: str = "cluster_id", out: str = "cluster_id") -> DataFrame:
     """Relabel clusters so ids follow the lexicographic order of their
-    centroids (the k-row centroid table is ranked and broadcast back)."""
-    cents = M.centroids(df, cols, label)
+    centroids, equal ones by the old label. Rows with a null label keep a null
+    one, and no other row is dropped or repeated."""
+    cents = M.centroids(df.where(F.col(_q(label)).isNotNull()), cols, label)
     order = [F.col(f"c_{i}") for i in range(len(cols))]
-    ranked = cents.select(F.col("cluster_id").alias("_old"),
-                          (F.row_number().over(Window.orderBy(*order)) - 1).cast("int").alias("_new"))
-    j = df.join(F.broadcast(ranked), F.col(_q(label)) == F.col("_old"))
-    return j.drop("_old", label).withColumnRenamed("_new", out) if out == label else j.drop("_old").withColumnRenamed(
-        "_new", out)
+    ranked = cents.select(F.col("cluster_id").alias("_old"),  # one row per cluster
+                          (F.row_number().over(Window.orderBy(*order, "cluster_id")) - 1).cast("int").alias("_new"))
+    j = df.withColumn("_was", F.col(_q(label))).join(ranked, F.col("_was") == F.col("_old"), "left").drop("_old", "_was")
+    return j.drop(out).withColumnRenamed("_new", out)
 
 
 def kmeans_sweep(df: DataFrame, cols: list[str], k_range=range(2, 11), id_col: str = "customerID", seed: int = 42,

@@ -3,13 +3,11 @@
 * inertia, Davies-Bouldin and Calinski-Harabasz: one groupBy(cluster) for the
   centroids (k rows, broadcast back: the size is bounded by the model's K),
   then one pass over the points.
-* silhouette: exact and quadratic by nature. Points are hashed into B blocks;
-  each point is sent to the B block pairs it belongs to and every pair is
-  one ``applyInPandas`` group, which turns a block x block distance matrix
-  into partial sums (point, labeling, other cluster, sum of distances). No
-  pair of points is ever emitted, a task holds two blocks at most, and the
-  blocks are by id hash, so a cluster holding a third of the rows spreads
-  over all tasks like any other. Several labelings share ONE distance pass.
+* silhouette: exact and quadratic by nature. A task holds a block of points and
+  streams all points past it in packed chunks (see ``strips``), so it ends with
+  the whole sums of its points and gives back one row for each; several
+  labelings share ONE distance pass. Rows have no key, so ids may repeat or be
+  null. ``silhouette_sampled`` is the estimator with a standard error.
 """
 
 from __future__ import annotations
@@ -17,12 +15,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from segmint.functions import rules
+from segmint.operators.strips import hold_and_stream, in_blocks, pack, sq_distances, tasks_wanted, to_all, unpack
 from segmint.session import materialize
 
 
@@ -131,104 +129,153 @@ def db_ch_multi(df: DataFrame, cols: list[str], labels: list[str]) -> DataFrame:
 # Silhouette
 # ---------------------------------------------------------------------------
 
-_PARTIAL = T.StructType([T.StructField("_id", T.StringType()), T.StructField("_l", T.IntegerType()),
-                         T.StructField("_other", T.IntegerType()), T.StructField("_sum", T.DoubleType())])
-
-
-def sq_distances(a: np.ndarray, b: np.ndarray, exact_at: tuple[float, ...] = (0.0,)) -> np.ndarray:
-    """Squared distances by one matrix product; entries so close to one of
-    ``exact_at`` that rounding could matter are computed from differences."""
-    na, nb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
-    g = na[:, None] + nb[None, :] - 2.0 * (a @ b.T)
-    slack = 1e-9 * (1.0 + float(na.max(initial=0.0)) + float(nb.max(initial=0.0)))
-    near = np.zeros(g.shape, dtype=bool)
-    for v in exact_at:
-        near |= np.abs(g - v) <= slack
-    r, c = np.nonzero(near)
-    for s in range(0, len(r), 100_000):
-        diff = a[r[s:s + 100_000]] - b[c[s:s + 100_000]]
-        g[r[s:s + 100_000], c[s:s + 100_000]] = np.einsum("ij,ij->i", diff, diff)
-    return np.maximum(g, 0.0, out=g)
-
-
-def _block_sums(n_labelings: int, tile: int = 512):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        bi, bj = int(pdf["_bi"].iloc[0]), int(pdf["_bj"].iloc[0])
-        x = np.stack(pdf["_x"].to_numpy()).astype(np.float64)
-        x -= x.mean(axis=0)  # distances do not change, cancellation does
-        labs = np.stack(pdf["_c"].to_numpy()).astype(np.int64).reshape(len(pdf), n_labelings)
-        ids, blk = pdf["_id"].to_numpy(), pdf["_b"].to_numpy()
-        ia = np.nonzero(blk == bi)[0]
-        ib = np.nonzero(blk == bj)[0]
-
-        def one_hot(rows):
-            """Columns: the clusters of every labeling; noise (-1) has none."""
-            names, cols = [], []
-            for li in range(n_labelings):
-                for c in np.unique(labs[rows, li]):
-                    if c >= 0:
-                        names.append((li, c))
-                        cols.append(labs[rows, li] == c)
-            return names, (np.stack(cols, axis=1).astype(np.float64) if cols else np.zeros((len(rows), 0)))
-
-        names_a, hot_a = one_hot(ia)
-        names_b, hot_b = one_hot(ib)
-        sum_a = np.zeros((len(ia), len(names_b)))
-        sum_b = np.zeros((len(ib), len(names_a)))
-        for s in range(0, len(ia), tile):
-            d = np.sqrt(sq_distances(x[ia[s:s + tile]], x[ib]))
-            sum_a[s:s + tile] = d @ hot_b
-            if bi != bj:
-                sum_b += d.T @ hot_a[s:s + tile]
-        out = []
-        for rows, names, sums in ((ia, names_b, sum_a), (ib, names_a, sum_b)) if bi != bj else ((ia, names_b, sum_a),):
-            out.append(pd.DataFrame({"_id": np.repeat(ids[rows], len(names)),
-                                     "_l": np.tile(np.array([n[0] for n in names], np.int32), len(rows)),
-                                     "_other": np.tile(np.array([n[1] for n in names], np.int32), len(rows)),
-                                     "_sum": sums.reshape(-1)}))
-        return pd.concat(out, ignore_index=True)
-    return fn
+_POINT = "ids string, s array<struct<l:int,c:int,a:double,b:double,silhouette:double>>"
+
+
+class _Sums:
+    """Sums of distances from the held points to every cluster of every
+    labeling; label values < 0 belong to no cluster. Clusters get a column
+    when they first come by."""
+
+    def __init__(self, held: list[dict], labelings: int):
+        self.labelings = labelings
+        self.x, self.own = unpack(held, "x", "<f8"), unpack(held, "labels", "<i4").astype(np.int64)
+        self.ids = [i for r in held for i in r["ids"]]
+        self.keys, self.columns = np.zeros(0, np.int64), np.zeros(0, np.int64)  # ascending, and their columns
+        self.sums, self.count = np.zeros((len(self.x), 8)), np.zeros(8, np.int64)
+
+    def _columns(self, keys: np.ndarray) -> np.ndarray:
+        new = np.setdiff1d(keys, self.keys, assume_unique=True)
+        if len(new):
+            used = len(self.keys)
+            if used + len(new) > self.sums.shape[1]:
+                more = max(len(new), self.sums.shape[1])
+                self.sums = np.pad(self.sums, ((0, 0), (0, more)))
+                self.count = np.pad(self.count, (0, more))
+            at = np.searchsorted(self.keys, new)
+            self.keys = np.insert(self.keys, at, new)
+            self.columns = np.insert(self.columns, at, np.arange(used, used + len(new)))
+        return self.columns[np.searchsorted(self.keys, keys)]
+
+    def add(self, row: dict) -> None:
+        y, c = np.frombuffer(row["x"], "<f8").reshape(row["n"], -1), np.frombuffer(row["labels"], "<i4").reshape(row["n"], -1)
+        point, labeling = np.nonzero(c >= 0)
+        if not len(point):
+            return
+        keys, which = np.unique((labeling.astype(np.int64) << 32) | c[point, labeling], return_inverse=True)
+        hot = np.zeros((len(c), len(keys)))
+        hot[point, which] = 1.0
+        at = self._columns(keys)
+        self.count[at] += hot.sum(axis=0).astype(np.int64)
+        for s in range(0, len(self.x), 256):
+            self.sums[s:s + 256, at] += np.sqrt(sq_distances(self.x[s:s + 256], y)) @ hot
+
+    def finish(self):
+        n = len(self.x)
+        parts = []
+        for li in range(self.labelings):
+            on = np.flatnonzero(self.own[:, li] >= 0)
+            lo, hi = np.searchsorted(self.keys, [li << 32, (li + 1) << 32])
+            cols = self.columns[lo:hi]
+            mine = np.searchsorted(self.keys[lo:hi], (li << 32) | self.own[on, li])
+            sums, size = self.sums[np.ix_(on, cols)], self.count[cols]
+            rows = np.arange(len(on))
+            own = size[mine]
+            a = np.where(own > 1, sums[rows, mine] / np.maximum(own - 1, 1), 0.0)
+            means = sums / np.maximum(size, 1)
+            if len(cols) > 1:
+                means[rows, mine] = np.inf
+                b = means.min(axis=1)
+            else:
+                b = np.full(len(on), np.nan)
+            top = np.maximum(a, b)
+            s = np.where((own <= 1) | np.isnan(b) | (top == 0), 0.0, (b - a) / np.where(top == 0, 1.0, top))
+            parts.append((on, np.full(len(on), li), self.own[on, li], a, b, s))
+        point, li, c, a, b, s = (np.concatenate(p) for p in zip(*parts, strict=True))
+        by = np.argsort(point, kind="stable")
+        at = np.searchsorted(point[by], np.arange(n + 1))
+        cells = pa.StructArray.from_arrays([pa.array(li[by], pa.int32()), pa.array(c[by], pa.int32()), pa.array(a[by]),
+                                            pa.array(b[by], mask=np.isnan(b[by])), pa.array(s[by])], ["l", "c", "a", "b", "silhouette"])
+        yield pa.RecordBatch.from_arrays([pa.array(self.ids, pa.string()), pa.ListArray.from_arrays(pa.array(at, pa.int32()), cells)], ["ids", "s"])
+
+
+def _labelled_chunks(df: DataFrame, cols: list[str], labels: list[str], id_col: str) -> tuple[DataFrame, int, int]:
+    """(chunks, points, clusters of all labelings)."""
+    pts = df.select(F.monotonically_increasing_id().alias("_row"), F.col(_q(id_col)).cast("string").alias("ids"),
+                    F.array(*[F.coalesce(F.col(_q(c)).cast("int"), F.lit(-1)) for c in labels]).alias("labels"),
+                    F.array(*[F.col(_q(c)).cast("double") for c in cols]).alias("_x"))
+    chunks = materialize(pack(pts, {"labels": "<i4"}, payload="ids"), "silhouette-points")
+    n = chunks.agg(F.sum("n")).first()[0] or 0
+    known = df.agg(*[F.approx_count_distinct(F.col(_q(c))).alias(f"k{i}") for i, c in enumerate(labels)]).first()
+    return chunks, int(n), int(sum(known))
+
+
+def _silhouettes(held: DataFrame, chunks: DataFrame, n_held: int, d: int, labelings: int, clusters: int) -> DataFrame:
+    """One row for each held point: its id and (labeling, cluster, a, b,
+    silhouette) of every labeling in which it has a cluster. A task keeps
+    about four million numbers whatever the number of clusters."""
+    rows = min((1 << 22) // (d + clusters + 1), math.ceil(n_held / tasks_wanted(chunks)))
+    held, blocks = in_blocks(held, n_held, max(64, rows))
+    streamed = to_all(chunks.select("chunk", "n", "x", "labels"), blocks)
+    return hold_and_stream(held, streamed, blocks, lambda rows: _Sums(rows, labelings), _POINT)
 
 
 def silhouette_samples(df: DataFrame, cols: list[str], labels: list[str] | str = "cluster_id",
-                       id_col: str = "customerID", block_rows: int = 8192) -> DataFrame:
-    """(id, labeling, cluster_id, a, b, silhouette) per point and labeling.
+                       id_col: str = "customerID") -> DataFrame:
+    """(id, labeling, cluster_id, a, b, silhouette) per row and labeling.
+
+    Label values < 0 or null are noise: such rows get no value for that
+    labeling and are not part of any cluster. A row alone in its cluster gets
+    0. Repeated and null ids are rows like any other. Features must not be
+    null. The work is quadratic at any size: each task holds a block of rows
+    and streams all others past it, and gives back one row for each it holds."""
+    labels = [labels] if isinstance(labels, str) else list(labels)
+    chunks, n, clusters = _labelled_chunks(df, cols, labels, id_col)
+    out = _silhouettes(chunks, chunks, n, len(cols), len(labels), clusters).select("ids", F.explode("s").alias("s"))
+    return out.select(F.col("ids").alias(id_col), _named(labels, F.col("s.l")).alias("labeling"), F.col("s.c").alias("cluster_id"), "s.a", "s.b",
+                      "s.silhouette")
+
 
-    Label values < 0 are noise: such points get no value for that labeling
-    and are not part of any cluster. A point alone in its cluster gets 0. The
-    work is quadratic at any size; a task holds two blocks of ``block_rows``
-    and one tile of their distances."""
+def _named(labels: list[str], number: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in labels]), number + 1)
+
+
+def silhouette_sampled(df: DataFrame, cols: list[str], labels: list[str] | str = "cluster_id", id_col: str = "customerID",
+                       sample: int = 500, seed: int = 42) -> DataFrame:
+    """(labeling, silhouette, std_error, n, n_sampled, mode) per labeling: an
+    estimate of the mean from ``sample`` random rows of every cluster, whose
+    own values are exact (against all rows).
+
+    Clusters are strata: the estimate is the mean of their sample means by
+    size, so it is unbiased, and ``std_error`` is the usual one of a
+    stratified sample without replacement (0 where a cluster has no more than
+    ``sample`` rows). The cost is linear in the rows for a number of clusters."""
+    if sample < 2:
+        raise ValueError("a standard error needs two rows of every cluster")
     labels = [labels] if isinstance(labels, str) else list(labels)
-    pts = df.select(F.col(_q(id_col)).cast("string").alias("_id"),
-                    F.array(*[F.col(_q(c)).cast("int") for c in labels]).alias("_c"),
-                    F.array(*[F.col(_q(c)).cast("double") for c in cols]).alias("_x"))
-    pts = materialize(pts, "silhouette-points")  # read by every step below
-    n = pts.count()
-    nb = max(1, math.ceil(n / block_rows))
-    pts = pts.withColumn("_b", F.pmod(F.xxhash64("_id"), F.lit(nb)).cast("int"))
-    rep = pts.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))).select(
-        "_id", "_c", "_x", "_b", F.least("_b", "_j").alias("_bi"), F.greatest("_b", "_j").alias("_bj"))
-    part = rep.groupBy("_bi", "_bj").applyInPandas(_block_sums(len(labels)), _PARTIAL)
-    sums = part.groupBy("_id", "_l", "_other").agg(F.sum("_sum").alias("_s"))
-    # cluster sizes per labeling: (labeling, cluster) rows, bounded by the K of each labeling
-    own = pts.select("_id", F.posexplode("_c").alias("_l", "cluster_id")).where(F.col("cluster_id") >= 0)
-    sizes = own.groupBy("_l", "cluster_id").agg(F.count(F.lit(1)).alias("_nc"))
-    j = (sums.join(own, ["_id", "_l"])
-         .join(F.broadcast(sizes.withColumnRenamed("cluster_id", "_other").withColumnRenamed("_nc", "_no")),
-               ["_l", "_other"])
-         .join(F.broadcast(sizes), ["_l", "cluster_id"]))
-    per = j.groupBy("_id", "_l", "cluster_id").agg(
-        F.max(F.when(F.col("_other") == F.col("cluster_id"),
-                     F.when(F.col("_nc") > 1, F.col("_s") / (F.col("_nc") - 1)).otherwise(F.lit(0.0)))).alias("a"),
-        F.min(F.when(F.col("_other") != F.col("cluster_id"), F.col("_s") / F.col("_no"))).alias("b"),
-        F.max("_nc").alias("_nc"))
-    a = F.coalesce(F.col("a"), F.lit(0.0))
-    s = (F.when((F.col("_nc") <= 1) | F.col("b").isNull(), F.lit(0.0))
-         .when(F.greatest(a, F.col("b")) == 0, F.lit(0.0))
-         .otherwise((F.col("b") - a) / F.greatest(a, F.col("b"))))
-    names = F.element_at(F.array(*[F.lit(c) for c in labels]), F.col("_l") + 1)
-    return per.select(F.col("_id").alias(id_col), names.alias("labeling"), "cluster_id", a.alias("a"), "b",
-                      s.alias("silhouette"))
+    x = [F.col(_q(c)).cast("double") for c in cols]
+    pts = materialize(df.select(F.array(*[F.coalesce(F.col(_q(c)).cast("int"), F.lit(-1)) for c in labels]).alias("labels"), F.array(*x).alias("_x"),
+                                F.monotonically_increasing_id().alias("_row")), "silhouette-points")
+    own = pts.select("_row", F.posexplode("labels").alias("l", "c")).where("c >= 0")
+    sizes = own.groupBy("l", "c").agg(F.count(F.lit(1)).alias("n"))
+    # the first rows of every cluster by a hash; Spark limits the groups before it shuffles them
+    first = Window.partitionBy("l", "c").orderBy(F.xxhash64(F.lit(seed), "_row", "l"), "_row")
+    drawn = own.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= sample)
+    drawn = drawn.groupBy("_row").agg(F.collect_set("l").alias("in"))
+    some = materialize(pts.join(drawn, "_row").withColumn("ids", F.concat_ws(",", F.transform("in", lambda v: v.cast("string")))), "silhouette-sample")
+    chunks = materialize(pack(pts, {"labels": "<i4"}), "silhouette-chunks")
+    held = pack(some, {"labels": "<i4"}, payload="ids", size=256)
+    known = sizes.count()
+    out = _silhouettes(held, chunks, some.count(), len(cols), len(labels), known)
+    out = out.select(F.split("ids", ",").alias("in"), F.explode("s").alias("s")).where(F.array_contains("in", F.col("s.l").cast("string")))
+    per = out.groupBy(F.col("s.l").alias("l"), F.col("s.c").alias("c")).agg(
+        F.count(F.lit(1)).alias("m"), F.avg("s.silhouette").alias("mean"), F.coalesce(F.var_samp("s.silhouette"), F.lit(0.0)).alias("v"))
+    per = per.join(sizes, ["l", "c"])
+    whole = F.sum("n")
+    return per.groupBy("l").agg((F.sum(F.col("n") * F.col("mean")) / whole).alias("silhouette"),
+                                (F.sqrt(F.sum(F.col("n") * (F.col("n") - F.col("m")) * F.col("v") / F.col("m"))) / whole).alias("std_error"),
+                                whole.alias("n"), F.sum("m").alias("n_sampled")).select(
+        _named(labels, F.col("l")).alias("labeling"), "silhouette", "std_error", "n", "n_sampled", F.lit("sampled").alias("mode"))
 
 
 def silhouette_score(df: DataFrame, cols: list[str], labels: list[str] | str = "cluster_id",
@@ -236,6 +283,8 @@ def silhouette_score(df: DataFrame, cols: list[str], labels: list[str] | str = "
     """(labeling, silhouette, n, mode) per labeling.
 
     ``mode='exact'``: mean of ``silhouette_samples`` over all points.
+    ``mode='sampled'``: ``silhouette_sampled``, with a standard error; never
+    chosen by size.
     ``mode='squared'``: Spark's ClusteringEvaluator (squared Euclidean), a
     different number, linear cost, over all points too."""
     labels = [labels] if isinstance(labels, str) else list(labels)
@@ -243,6 +292,8 @@ def silhouette_score(df: DataFrame, cols: list[str], labels: list[str] | str = "
         smp = silhouette_samples(df, cols, labels, id_col, **kw)
         return smp.groupBy("labeling").agg(F.avg("silhouette").alias("silhouette"),
                                            F.count(F.lit(1)).alias("n")).withColumn("mode", F.lit("exact"))
+    if mode == "sampled":
+        return silhouette_sampled(df, cols, labels, id_col, **kw)
     if mode == "squared":
         from pyspark.ml.evaluation import ClusteringEvaluator
         from pyspark.ml.feature import VectorAssembler
