@@ -11,24 +11,37 @@ import numpy as np
 import public_tokenizers
 import tiktoken
 
-#: The byte-level pattern (fixed values).
-PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The byte-level pattern (fixed values), possessive so that long runs need no stack.
+PIECE = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
 
 class ByteBpe(NamedTuple):
+    path: str
     encoding: tiktoken.Encoding
     pieces: list[bytes]   # the bytes of each id
     added: re.Pattern | None  # strings that are ids of their own
 
     def ordinary(self, text: str) -> np.ndarray:
         """Ids; strings of added tokens are ordinary text."""
-        return self.encoding.encode_to_numpy(text, disallowed_special=())
+        return self._encode(text, False)
 
     def whole(self, text: str) -> np.ndarray:
         """Ids; an added token's string is its id, wherever it stands."""
-        if self.added is None or not self.added.search(text):
-            return self.ordinary(text)
-        return self.encoding.encode_to_numpy(text, allowed_special="all")
+        return self._encode(text, self.added is not None and self.added.search(text) is not None)
+
+    def _encode(self, text: str, added: bool) -> np.ndarray:
+        try:
+            return self.encoding.encode_to_numpy(text, allowed_special="all" if added else set(), disallowed_special=())
+        except ValueError:  # about a million blanks in a row are too many for the pattern's engine; the other library takes them
+            return np.array(_library(self.path, not added).encode(text, add_special_tokens=False).ids, np.uint32)
+
+
+@functools.lru_cache(4)
+def _library(path: str, ordinary: bool):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = ordinary
+    return t
 
 
 def byte_letters() -> dict[int, str]:
@@ -60,7 +73,7 @@ def byte_bpe(path: str) -> ByteBpe:
         pieces[i] = piece
     for text, i in added.items():
         pieces[i] = text.encode()
-    return ByteBpe(tiktoken.Encoding(path, pat_str=PIECE, mergeable_ranks=ranks, special_tokens=added), pieces,
+    return ByteBpe(path, tiktoken.Encoding(path, pat_str=PIECE, mergeable_ranks=ranks, special_tokens=added), pieces,
                    re.compile("|".join(map(re.escape, added))) if added else None)
 
 

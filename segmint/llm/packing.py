@@ -11,20 +11,17 @@ bounded pools and nothing is shuffled.
 
 from __future__ import annotations
 
-import functools
-import re
+import bisect
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmint.llm.text import utf8
+from segmint.llm.byte_bpe import byte_bpe, tokenizer_path
 
 
 class Limits(NamedTuple):
@@ -113,74 +110,35 @@ def _tail(out: list[Placed], ids, start, left, number: int) -> int:
     return number
 
 
-def _byte_letters() -> dict[int, str]:
-    """Latin-1 character -> the visible character that stands for this byte in
-    a byte-level vocabulary: printable ones stand for themselves, the others
-    follow from 256 on in order."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in own]
-    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(other)}
-
-
-#: The byte-level pattern (fixed values).
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-
-
-class _Pieces(dict):
-    """piece of the pattern -> its ids as little-endian 32-bit bytes, for up to ``keep`` pieces."""
-
-    def __init__(self, path: str, keep: int):
-        from tokenizers import Tokenizer
-        self.model, self.letters, self.keep = Tokenizer.from_file(path).model, _byte_letters(), keep
-
-    def __missing__(self, piece: str) -> bytes:
-        visible = piece.encode().decode("latin-1").translate(self.letters)
-        ids = np.array([t.id for t in self.model.tokenize(visible)], "<u4").tobytes()
-        if len(piece) <= 64:
-            if len(self) >= self.keep:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
-class _Chunks(dict):
-    """chunk -> the ids of a space and the chunk, for up to ``keep`` chunks."""
-
-    def __init__(self, path: str, keep: int = 500_000):
-        self.pieces, self.keep = _Pieces(path, keep // 2), keep
-
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, PIECE.findall(text)))
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.ids(" " + chunk)
-        if len(chunk) <= 64:
-            if len(self) >= self.keep:
-                self.clear()
-            self[chunk] = ids
-        return ids
-
-
-@functools.lru_cache(2)
-def _chunks(path: str) -> _Chunks:
-    return _Chunks(path)
-
-
-_DOUBLE = re.compile(r"\s\s")
-_SINGLE = re.compile(r"(?<=\S) (?=\S)")
-
-
-def encode(text: str, path: str) -> bytes:
-    """The text's ids as bytes; strings of special tokens are ordinary text.
-    The pattern always starts a new piece at a single space between other
-    characters, so the text is cut there and each part encoded once."""
-    chunks = _chunks(path)
-    parts = _SINGLE.split(text) if _DOUBLE.search(text) else text.split(" ")
-    return chunks.ids(parts[0]) + b"".join(map(chunks.__getitem__, parts[1:]))
-
-
-def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
-    return public_tokenizers.path(name)
+def longest_fit_pack(tokens: np.ndarray, limits: Limits, last: bool = True) -> list[Placed]:
+    """``dot_product_pack`` with ``cut`` for pieces that all bear loss but for
+    their first id. All three needs of such a piece grow with its length, so
+    the largest dot product is that of the longest piece that fits, which
+    stands in a sorted list."""
+    waiting = sorted((-int(n), i, 0) for i, n in enumerate(tokens))  # (-length, item, start)
+    total, number = int(np.sum(tokens)), 0
+    out: list[Placed] = []
+    while waiting:
+        if total < limits.tokens and len(waiting) <= limits.segments:
+            if last:
+                ids, start, left = (np.array(x, np.int64) for x in zip(*((i, s, -n) for n, i, s in waiting), strict=True))
+                number = _tail(out, ids, start, left, number)
+            break
+        used, segments, loss = 0, 0, 0
+        while waiting and segments < limits.segments:
+            gap = min(limits.tokens - used, limits.loss - loss + 1)
+            k = bisect.bisect_left(waiting, (-gap, -1, -1))
+            if gap <= 0 or (k == len(waiting) and -waiting[0][0] <= gap):
+                break
+            n, i, s = waiting.pop(k if k < len(waiting) else 0)
+            size = min(-n, gap)
+            out.append(Placed(i, s, size, number, used))
+            used, segments, loss, total = used + size, segments + 1, loss + size - 1, total - size
+            if size < -n:
+                bisect.insort(waiting, (n + size, i, s + size))
+                break
+        number += 1
+    return out
 
 
 PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, n_loss long"
@@ -191,7 +149,9 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Pieces of documents in sequences: doc_id, start, length, ids (unsigned
     little-endian 32-bit), doc_tokens, sequence_id, offset, n_loss.
 
-    A null or empty text is the end id alone; null ids and repeated rows are
+    Ids are those of the tokenizer's library without special tokens around the
+    text; an added token's string inside a text is its id, as there. A null or
+    empty text is the end id alone; null ids and repeated rows are
     packed as rows of their own; other columns are not read; an empty table
     gives an empty table. ``sequence_id`` holds the task's number above bit 40
     and a counter below. ``pool`` is how many rest pieces are packed together.
@@ -202,7 +162,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 40
+        base, tokenizer = TaskContext.get().partitionId() << 40, byte_bpe(path)
         used, rest, kept = 0, [], 0  # rest: (doc_id, start, ids, doc_tokens), the first kept ones from the pool before
 
         def batch(rows):
@@ -219,7 +179,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             """Rows, the next sequence's number, and what is left for the next pool."""
             n = np.array([len(r[2]) // 4 for r in rest])
             rows, done = [], [0] * len(rest)
-            for p in dot_product_pack(n, np.maximum(0, n - 1), limits, cut=True, last=last):
+            for p in longest_fit_pack(n, limits, last):
                 d, s, ids, total = rest[p.item]
                 rows.append((d, s + p.start, ids[4 * p.start:4 * (p.start + p.length)], total, first + p.bin, p.offset))
                 done[p.item] = p.start + p.length
@@ -231,7 +191,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             id_type = b.schema.field("doc_id").type
             rows = []
             for d, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                ids = encode(text, path) + end
+                ids = tokenizer.whole(text).astype("<u4").tobytes() + end
                 total, at = len(ids) // 4, 0
                 while total - at >= full:
                     rows.append((d, at, ids[4 * at:4 * (at + full)], total, used, 0))

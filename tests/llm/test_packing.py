@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -8,22 +9,43 @@ from tokenizers import Tokenizer
 
 from fixtures import awkward, docs_of, table
 from segmint.llm import packing as P
+from segmint.llm.byte_bpe import byte_bpe
 
 
 def tokenizer():
-    t = Tokenizer.from_file(P.tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(P.tokenizer_path())
 
 
 TRICKY = ["", " ", "  a  b ", "it's 's\n\n x", "<|endoftext|> z<|endoftext|>", "\x1c a\x85b 　c", "1 2  3, ,,  .", "é  ñ\t x", "\n \n", "a​b c"]
 
 
 def test_encoding_equals_the_library(spark):
-    t = tokenizer()
+    t, own = tokenizer(), byte_bpe(P.tokenizer_path())
     texts = TRICKY + [r.text for r in table(spark, SF_SMALL, "documents").limit(60).collect()]
+    rng = random.Random(2)
+    texts += ["".join(rng.choices([*"abz '’sS\n\t  é東ا़0٣²½,.!_-|<>", "<|endoftext|>", "don't", "\r\n", "😀", "\u200b"], k=rng.randrange(40))) for _ in range(3000)]
+    for x in texts:
+        assert own.whole(x).tolist() == t.encode(x, add_special_tokens=False).ids, x
+    t.encode_special_tokens = True
     for x in texts:
-        assert P.encode(x, P.tokenizer_path()) == np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes(), x
+        assert own.ordinary(x).tolist() == t.encode(x, add_special_tokens=False).ids, x
+
+
+@pytest.mark.parametrize("bit", ["a", " ", "ab", "\n", "-", "é", "9", "a ", "<|endoftext|>"])
+def test_very_long_texts(bit):
+    ids = byte_bpe(P.tokenizer_path()).whole(bit * 1_000_000)
+    assert b"".join(byte_bpe(P.tokenizer_path()).pieces[i] for i in ids.tolist()) == (bit * 1_000_000).encode()
+
+
+@pytest.mark.parametrize("limits", [P.Limits(128, 4, 100), P.Limits(128, 200, 128), P.Limits(100, 2, 30)])
+def test_the_longest_that_fits_has_the_largest_product(limits):
+    rng = np.random.default_rng(4)
+    for size in (1, 7, 300):
+        n = rng.integers(1, min(limits.tokens, limits.loss + 1) + 1, size)
+        shape = lambda placed: [(p.length, p.bin, p.offset) for p in placed]  # noqa: E731  equal lengths are interchangeable
+        assert shape(P.dot_product_pack(n, n - 1, limits, cut=True, last=False)) == shape(P.longest_fit_pack(n, limits, last=False))
+        whole = P.longest_fit_pack(n, limits)
+        assert sum(p.length for p in whole) == n.sum()
 
 
 def check_pieces(rows, texts, most=2048):
