@@ -133,20 +133,24 @@ def boxplot_stats(df: DataFrame, cols: list[str], whis: float = 1.5, approx: boo
 
 def crosstab_row_pct(df: DataFrame, row: str, col: str) -> DataFrame:
     """Long form (row_value, col_value, n, row_pct): share of each column
-    value inside its row value, in percent. Pairs that never occur are
-    absent (their share is 0); ``crosstab_pivot`` gives the filled matrix."""
+    value inside its row value, in percent. Every row value has every column
+    value, with n and share 0 where the two never meet; rows with a null in
+    either are left out."""
     cnt = (df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
            .groupBy(F.col(row).alias("row_value"), F.col(col).alias("col_value"))
            .agg(F.count(F.lit(1)).alias("n")))
-    return cnt.withColumn("row_pct", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy("row_value")))
+    # the table itself: its rows are the distinct values of one by those of the other
+    cells = cnt.select("row_value").distinct().crossJoin(cnt.select("col_value").distinct())
+    full = cells.join(cnt, ["row_value", "col_value"], "left").na.fill(0, ["n"])
+    return full.withColumn("row_pct", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy("row_value")))
 
 
 def crosstab_pivot(df: DataFrame, row: str, col: str, values: list | None = None) -> DataFrame:
-    """Wide form of ``crosstab_row_pct`` with zero-filled cells. Pass the
-    column domain as ``values`` to skip the distinct-value job; otherwise
-    Spark collects it (bounded by ``spark.sql.pivotMaxValues``)."""
-    long = crosstab_row_pct(df, row, col)
-    g = long.groupBy("row_value")
+    """Wide form of ``crosstab_row_pct``. Pass the column domain as ``values``
+    to skip the distinct-value job; otherwise Spark collects it (bounded by
+    ``spark.sql.pivotMaxValues``). A value of ``values`` that never occurs has
+    0."""
+    g = crosstab_row_pct(df, row, col).groupBy("row_value")
     p = g.pivot("col_value", values) if values is not None else g.pivot("col_value")
     return p.agg(F.first("row_pct")).na.fill(0.0)
 
@@ -166,7 +170,8 @@ def overall_rate(df: DataFrame, target: str = "Churn", positive: str = "Yes") ->
 def eda_report(df: DataFrame, numeric=("tenure", "MonthlyCharges", "TotalCharges"),
                services=("OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport", "StreamingTV",
                          "StreamingMovies"), target: str = "Churn") -> dict[str, DataFrame]:
-    """All panels as lazily evaluated DataFrames (run on the training split)."""
+    """All panels as DataFrames (run on the training split); quartiles are
+    computed at once, the rest when it is read."""
     return {
         "01_tenure_hist": histogram(df, "tenure"),
         "02_monthly_hist": histogram(df, "MonthlyCharges"),
@@ -183,3 +188,18 @@ def eda_report(df: DataFrame, numeric=("tenure", "MonthlyCharges", "TotalCharges
         "11_overall_rate": overall_rate(df, target),
         "12_service_corr": service_correlation(df, list(services)),
     }
+
+
+def eda_table(panels: dict[str, DataFrame]) -> DataFrame:
+    """The panels in one table (panel, position, cells): a row of a panel as
+    JSON, in the order of the
+    JSON text. Panels are small but for the scatter, whose rows
+    are counted in its place."""
+    out = None
+    for name, p in sorted(panels.items()):
+        if name.endswith("scatter"):
+            p = p.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+        p = p.select(F.lit(name).alias("panel"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in p.columns])).alias("cells"))
+        p = p.withColumn("position", (F.row_number().over(Window.orderBy("cells")) - 1).cast("int")).select("panel", "position", "cells")
+        out = p if out is None else out.unionByName(p)
+    return out

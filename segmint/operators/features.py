@@ -3,8 +3,9 @@
 ``SegmentFeatures.fit(train)`` learns the two high-value thresholds (exact
 q75), the one-hot vocabulary of every categorical column and the scaler moments
 (mean, population std) of the numerical columns. Moments are one aggregate;
-thresholds and vocabulary start with a count per value, so no task holds a
-column. The vocabulary is counted before it is fetched.
+the first pass of the exact quantiles is the same job. The vocabulary is
+fetched up to a bound, and beyond it is an error (``operators/sparse.py`` encodes
+any number of categories).
 
 ``SegmentFeaturesModel.transform(df)`` is one ``select``: impute, engineer,
 one-hot from the FITTED vocabulary (so a one-row frame gets the same columns
@@ -16,16 +17,21 @@ projection; nothing shuffles.
 from __future__ import annotations
 
 import json
+from dataclasses import asdict
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segmint.operators.quantiles import quantile_row
-from segmint.session import materialize
+from segmint.operators.quantiles import quantile_row, quantile_values
 from segmint.spec import DEFAULT_SPEC, SegmentSpec
 
+#: Of saved estimators and models.
+FORMAT_VERSION = 1
+
 ENGINEERED = ["avg_monthly_spend", "tenure_group", "service_diversity", "contract_commitment", "auto_payment",
               "high_value_flag", "family_status"]
 
@@ -236,7 +242,59 @@ def iqr_outliers(df: DataFrame, cols, whis: float = 1.5, approx: bool = False, a
 # Estimator / Model
 # ---------------------------------------------------------------------------
 
-class SegmentFeaturesModel(Model):
+class _StateWriter(MLWriter):
+    """Spark ML metadata (class, params, uid, ``format_version``) and the state
+    as one JSON row beside it."""
+
+    def __init__(self, instance):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        one = self.instance
+        sc = self.sparkSession.sparkContext
+        DefaultParamsWriter.saveMetadata(one, path, sc, {"format_version": FORMAT_VERSION})
+        state = {"spec": asdict(one.spec), "state": getattr(one, "state", None), "ignore": list(getattr(one, "ignore", ()))}
+        self.sparkSession.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.text(f"{path}/state")
+
+
+class _StateReader(MLReader):
+    def __init__(self, cls):
+        super().__init__()
+        self.cls = cls
+
+    def load(self, path: str):
+        sc = self.sparkSession.sparkContext
+        metadata = DefaultParamsReader.loadMetadata(path, sc)
+        if metadata["class"].rsplit(".", 1)[-1] != self.cls.__name__:
+            raise ValueError(f"{path} holds a {metadata['class']}")
+        if metadata.get("format_version") != FORMAT_VERSION:
+            raise ValueError(f"{path} has format {metadata.get('format_version')}, not {FORMAT_VERSION}")
+        saved = json.loads(self.sparkSession.read.text(f"{path}/state").first()[0])
+        one = self.cls._from_saved(saved)
+        one._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(one, metadata)
+        return one
+
+
+class _Saved(MLWritable, MLReadable):
+    """Saves and loads alone or as a stage of a Pipeline."""
+
+    def write(self) -> MLWriter:
+        return _StateWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _StateReader(cls)
+
+
+class _FeatureParams(Params):
+    quantile = Param(Params._dummy(), "quantile", "quantile of the high-value thresholds", TypeConverters.toFloat)
+    approxQuantiles = Param(Params._dummy(), "approxQuantiles", "thresholds by percentile_approx", TypeConverters.toBoolean)
+    maxCategories = Param(Params._dummy(), "maxCategories", "most values of a categorical column", TypeConverters.toInt)
+
+
+class SegmentFeaturesModel(Model, _FeatureParams, _Saved):
     """Fitted feature pipeline. ``state`` holds thresholds, vocabulary,
     scaler moments and the feature order."""
 
@@ -245,6 +303,10 @@ class SegmentFeaturesModel(Model):
         self.state = state
         self.spec = spec
 
+    @classmethod
+    def _from_saved(cls, saved: dict) -> "SegmentFeaturesModel":
+        return cls(saved["state"], SegmentSpec(**saved["spec"]))
+
     @property
     def feature_names(self) -> list[str]:
         self._check()
@@ -272,62 +334,62 @@ class SegmentFeaturesModel(Model):
         return assemble_features(df, self.feature_names, out, keep or (self.spec.id, self.spec.target))
 
     def save(self, path: str) -> None:
-        """Writes the fitted state as one JSON line with Spark (any shared
-        file system the session can write)."""
+        """Replaces what is at ``path``."""
         self._check()
-        spark = SparkSession.getActiveSession()
-        spark.createDataFrame([(json.dumps(self.state),)], "state string").coalesce(1).write.mode(
-            "overwrite").text(path)
-
-    @classmethod
-    def load(cls, path: str, spec: SegmentSpec = DEFAULT_SPEC) -> "SegmentFeaturesModel":
-        spark = SparkSession.getActiveSession()
-        return cls(json.loads(spark.read.text(path).first()[0]), spec)
+        self.write().overwrite().save(path)
 
 
-class SegmentFeatures(Estimator):
+class SegmentFeatures(Estimator, _FeatureParams, _Saved):
     """Fits the feature pipeline on training rows."""
 
     def __init__(self, spec: SegmentSpec = DEFAULT_SPEC, quantile: float = 0.75, approx_quantiles: bool = False,
-                 max_categories: int | None = None, ignore=("split", "cluster_id")):
+                 max_categories: int = 10_000, ignore=("split", "cluster_id")):
         super().__init__()
         self.ignore = tuple(ignore)
         self.spec = spec
-        self.quantile = quantile
-        self.approx_quantiles = approx_quantiles
-        self.max_categories = max_categories
+        self._setDefault(quantile=0.75, approxQuantiles=False, maxCategories=10_000)
+        self._set(quantile=quantile, approxQuantiles=approx_quantiles, maxCategories=max_categories)
+
+    @classmethod
+    def _from_saved(cls, saved: dict) -> "SegmentFeatures":
+        return cls(SegmentSpec(**saved["spec"]), ignore=saved["ignore"])
 
     def _fit(self, dataset: DataFrame) -> SegmentFeaturesModel:
-        spec = self.spec
+        spec, q = self.spec, self.getOrDefault("quantile")
         cats = [c for c in spec.categorical if c in dataset.columns]
         num = numeric_frame(dataset, spec).columns
-        base = dataset.select(*[_col(c) for c in dataset.columns],
-                              *[c_.alias(f"__n_{i}") for i, c_ in enumerate(
-                                  [imputed_total(spec), avg_monthly_spend(imputed_total(spec), _col(spec.tenure)),
-                                   service_diversity(spec.services).cast("double")])])
-        numcols = {spec.tenure: _col(spec.tenure).cast("double"), spec.monthly: _col(spec.monthly).cast("double"),
-                   spec.total: F.col("__n_0"), "avg_monthly_spend": F.col("__n_1"),
-                   "service_diversity": F.col("__n_2")}
-        aggs = [F.avg(numcols[c]).alias(f"m__{c}") for c in num]
-        aggs += [F.stddev_pop(numcols[c]).alias(f"s__{c}") for c in num]
-        row = base.agg(*aggs).first()  # one row of moments
-        limits = fit_high_value_thresholds(dataset, spec, self.quantile, self.approx_quantiles).first()
-        words = materialize(vocabulary_rows(dataset, cats), "vocabulary")
-        sizes = {r["column"]: r["count"] for r in words.groupBy("column").count().collect()}  # one row per column
-        large = {c: n for c, n in sizes.items() if self.max_categories is not None and n > self.max_categories}
-        if large:  # known before any value is fetched
-            raise ValueError(f"more categories than max_categories={self.max_categories}: {large}")
-        vocab = {c: [] for c in cats}
-        for r in words.orderBy("column", "value").toLocalIterator():  # the model's own state
-            vocab[r["column"]].append(r["value"])
-        moments = {c: [row[f"m__{c}"], row[f"s__{c}"] or 0.0] for c in num}
+        total = imputed_total(spec)
+        numcols = {spec.tenure: _col(spec.tenure).cast("double"), spec.monthly: _col(spec.monthly).cast("double"), spec.total: total,
+                   "avg_monthly_spend": avg_monthly_spend(total, _col(spec.tenure)),
+                   "service_diversity": service_diversity(spec.services).cast("double")}
+        aggs = [F.avg(numcols[c]).alias(f"m__{c}") for c in num] + [F.stddev_pop(numcols[c]).alias(f"s__{c}") for c in num]
+        limits = {"monthly_threshold": _col(spec.monthly), "tenure_threshold": _col(spec.tenure)}
+        if self.getOrDefault("approxQuantiles"):
+            row = dataset.agg(*aggs, *[F.percentile_approx(c.cast("double"), q, 100_000).alias(n) for n, c in limits.items()]).first()
+            found = {n: [row[n]] for n in limits}
+        else:
+            found, row = quantile_values(dataset, limits, [q], also=aggs)
+        vocab = fetch_vocabulary(dataset, cats, self.getOrDefault("maxCategories"))
         state = {
-            "monthly_threshold": limits["monthly_threshold"], "tenure_threshold": limits["tenure_threshold"],
-            "vocab": vocab, "moments": moments,
+            "monthly_threshold": found["monthly_threshold"][0], "tenure_threshold": found["tenure_threshold"][0],
+            "vocab": vocab, "moments": {c: [row[f"m__{c}"], row[f"s__{c}"] or 0.0] for c in num},
         }
         state["feature_names"] = fitted_feature_names([c for c in dataset.columns if c not in self.ignore],
                                                       vocab, spec)
-        return SegmentFeaturesModel(state, spec)
+        return self._copyValues(SegmentFeaturesModel(state, spec))
+
+
+def fetch_vocabulary(df: DataFrame, cols: list[str], most: int) -> dict[str, list[str]]:
+    """Each column's sorted values; an error if a column has more than
+    ``most``, so that at most ``most`` + 1 of each are fetched."""
+    nth = F.row_number().over(Window.partitionBy("column").orderBy("value"))  # Spark limits the groups before it shuffles them
+    vocab: dict[str, list[str]] = {c: [] for c in cols}
+    for r in vocabulary_rows(df, cols).withColumn("nth", nth).where(F.col("nth") <= most + 1).collect():
+        vocab[r["column"]].append(r["value"])
+    large = [c for c, v in vocab.items() if len(v) > most]
+    if large:
+        raise ValueError(f"more than max_categories={most} values in {large}; operators/sparse.py encodes them")
+    return {c: sorted(v) for c, v in vocab.items()}
 
 
 def fitted_feature_names(columns: list[str], vocab: dict[str, list[str]], spec: SegmentSpec = DEFAULT_SPEC):

@@ -1,24 +1,27 @@
 """K-Means fitting, sweeps and model selection.
 
-Fitting is Spark ML's distributed K-Means (k-means|| initialisation, Lloyd
-iterations as map-side partial sums per centroid). ``n_init`` restarts keep
-the fit with the lowest training cost; the assembled features are persisted
-once for all restarts and all K. Everything after a fit works on the k x d
-centroid table (bounded by K), so assignment is a column expression and
-never a join against the data.
+``fit_many`` runs Lloyd's iterations of all K and all starts together: one pass
+over packed points adds up the partial sums of every model, so a sweep costs as
+many passes as its slowest model has iterations, and the same rows give the
+same result. ``kmeans_fit`` is Spark ML's estimator (k-means|| start), for one
+K as a pipeline stage. Everything after a fit works on the k x d centroid table
+(bounded by K), so assignment is a column expression and never a join against
+the data.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmint.operators import metrics as M
+from segmint.operators.strips import pack, sq_distances
 from segmint.session import materialize
 
 
@@ -89,34 +92,134 @@ def canonical_labels(df: DataFrame, cols: list[str], label: str = "cluster_id",
     return j.drop(out).withColumnRenamed("_new", out)
 
 
+def start_centers(points: DataFrame, ks: list[int], n_init: int, seed: int = 42, sample: int = 1024) -> list[np.ndarray]:
+    """k-means++ starts, ``n_init`` for each k, drawn from the ``sample`` rows
+    with the smallest hash of their coordinates: the bound of what the driver
+    sees. The same rows give the same starts in any order and partitioning.
+    Fewer different points than k: the rest are repeated."""
+    rows = points.select("_x").distinct().select("_x", F.xxhash64(F.lit(seed), "_x").alias("_h")).orderBy("_h", "_x").limit(sample).collect()
+    x = np.array([r["_x"] for r in rows], float)
+    out = []
+    for k in ks:
+        for i in range(n_init):
+            rng = np.random.default_rng([seed, k, i])
+            chosen = [int(rng.integers(len(x)))]
+            d = ((x - x[chosen[0]]) ** 2).sum(axis=1)
+            while len(chosen) < k:
+                chosen.append(int(rng.choice(len(x), p=d / d.sum())) if d.sum() > 0 else chosen[-1])
+                d = np.minimum(d, ((x - x[chosen[-1]]) ** 2).sum(axis=1))
+            out.append(x[chosen])
+    return out
+
+
+def _lloyd_pass(chunks: DataFrame, models: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """(sums, counts, inertia) of every model's clusters, from one pass over the
+    chunks: a task adds up all models, and the partial sums of a model meet in
+    one row. Equal distances go to the first center."""
+    flat = np.concatenate(models)
+    edges = np.cumsum([0] + [len(m) for m in models])
+    d = flat.shape[1]
+
+    def run(batches):
+        sums, counts, cost = np.zeros((len(flat), d)), np.zeros(len(flat)), np.zeros(len(edges) - 1)
+        for b in batches:
+            for n, raw in zip(b.column("n").to_pylist(), b.column("x").to_pylist(), strict=True):
+                x = np.frombuffer(raw, "<f8").reshape(n, -1)
+                g = sq_distances(x, flat)
+                hot = np.zeros(g.shape)
+                for m in range(len(edges) - 1):
+                    at = g[:, edges[m]:edges[m + 1]].argmin(axis=1) + edges[m]
+                    hot[np.arange(n), at] = 1.0
+                    cost[m] += g[np.arange(n), at].sum()
+                sums += hot.T @ x
+                counts += hot.sum(axis=0)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(range(len(edges) - 1), pa.int32()), pa.array([sums[i:j].tobytes() for i, j in zip(edges, edges[1:], strict=False)]),
+            pa.array([counts[i:j].tobytes() for i, j in zip(edges, edges[1:], strict=False)]), pa.array(cost)], ["m", "sums", "counts", "cost"])
+
+    def add(batches):
+        total = {}
+        for b in batches:
+            for r in b.to_pylist():
+                s, c = np.frombuffer(r["sums"]), np.frombuffer(r["counts"])
+                old = total.get(r["m"])
+                total[r["m"]] = (s, c, r["cost"]) if old is None else (old[0] + s, old[1] + c, old[2] + r["cost"])
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v[0].tobytes() for v in total.values()]),
+                                              pa.array([v[1].tobytes() for v in total.values()]), pa.array([v[2] for v in total.values()])],
+                                             ["m", "sums", "counts", "cost"])
+
+    schema = "m int, sums binary, counts binary, cost double"
+    parts = min(len(models), int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = {r["m"]: r for r in chunks.select("n", "x").mapInArrow(run, schema).repartition(parts, "m").mapInArrow(add, schema).collect()}  # a row per model
+    return [(np.frombuffer(rows[m]["sums"]).reshape(-1, d), np.frombuffer(rows[m]["counts"]), rows[m]["cost"]) for m in range(len(models))]
+
+
+class Fit(NamedTuple):
+    centers: np.ndarray
+    inertia: float
+    n_iter: int
+
+
+def lloyd(points: DataFrame, starts: list[np.ndarray], max_iter: int = 300, tol: float = 1e-4) -> list[Fit]:
+    """Lloyd's iterations from every given start, all models in one pass over
+    the points at a time, so a sweep takes as many jobs as its slowest model
+    has iterations. ``points`` has ``_x``. A model ends when its centers move
+    by no more than ``tol`` times the mean variance (squared, all together), or
+    after ``max_iter``; an empty cluster keeps its center."""
+    d = len(starts[0][0])
+    spread = points.agg(*[F.var_pop(F.col("_x")[i]) for i in range(d)]).first()
+    limit = tol * float(np.mean([v or 0.0 for v in spread]))
+    # equal points travel once, but sums must not depend on how rows are dealt: chunks are made of sorted rows
+    rows = points.select("_x", F.lit(0).cast("long").alias("_row"))
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = materialize(pack(rows.repartitionByRange(parts, "_x").sortWithinPartitions("_x"), size=2048), "lloyd-points")
+    models, iters = [np.array(s, float) for s in starts], [0] * len(starts)
+    going = list(range(len(starts)))
+    for _ in range(max_iter):
+        if not going:
+            break
+        still = []
+        for m, (sums, counts, _) in zip(going, _lloyd_pass(chunks, [models[m] for m in going]), strict=True):
+            new = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], models[m])
+            moved = ((new - models[m]) ** 2).sum()
+            models[m], iters[m] = new, iters[m] + 1
+            if moved > limit:
+                still.append(m)
+        going = still
+    return [Fit(c, float(cost), n) for c, n, (_, _, cost) in zip(models, iters, _lloyd_pass(chunks, models), strict=True)]
+
+
+def fit_many(df: DataFrame, cols: list[str], ks: list[int], n_init: int = 10, seed: int = 42, max_iter: int = 300, tol: float = 1e-4) -> dict[int, Fit]:
+    """For each k the best of ``n_init`` fits by inertia (the first of equal
+    ones). Rows with a null or NaN feature are an error, no rows too."""
+    check_features(df, cols)
+    points = materialize(df.select(F.array(*[F.col(_q(c)).cast("double") for c in cols]).alias("_x")), "kmeans-points")
+    if points.isEmpty():
+        raise ValueError("no rows to cluster")
+    fits = lloyd(points, start_centers(points, list(ks), n_init, seed), max_iter, tol)
+    return {k: min(fits[i * n_init:(i + 1) * n_init], key=lambda f: f.inertia) for i, k in enumerate(ks)}
+
+
 def kmeans_sweep(df: DataFrame, cols: list[str], k_range=range(2, 11), id_col: str = "customerID", seed: int = 42,
-                 n_init: int = 10, silhouette_mode: str = "exact", parallelism: int = 8, **sil_kw) -> DataFrame:
+                 n_init: int = 10, silhouette_mode: str = "exact", **sil_kw) -> DataFrame:
     """(k, silhouette, davies_bouldin, calinski_harabasz, inertia, n_iter)
-    per K, fitted and scored on ``df``. All K labelings are attached as
-    columns and their silhouettes share ONE distance pass."""
+    per K, fitted and scored on ``df``. All fits advance together, all K
+    labelings are attached as columns and their silhouettes share ONE distance
+    pass. The same rows give the same result in any order."""
     spark = df.sparkSession
     labelled = materialize(df.select(_q(id_col), *[F.col(_q(c)) for c in cols]), "sweep-points")
-    vec = as_vectors(labelled, cols, keep=(id_col,)).persist(StorageLevel.MEMORY_AND_DISK)
-    ks = list(k_range)
-    # the fits are independent jobs: submit them concurrently so small fits
-    # do not leave the cluster idle between iterations
-    with ThreadPoolExecutor(max_workers=max(1, min(len(ks), parallelism))) as pool:
-        results = list(pool.map(lambda k: kmeans_fit(vec, k, seed, n_init), ks))
-    fits = []
-    for k, (model, cost, iters) in zip(ks, results):
-        centers = canonical_centers(model.clusterCenters())
-        labelled = labelled.withColumn(f"k_{k}", M.assign_nearest(cols, centers))
-        fits.append((k, float(cost), int(iters)))
+    best = fit_many(labelled, cols, list(k_range), n_init, seed)
+    for k, f in best.items():
+        labelled = labelled.withColumn(f"k_{k}", M.assign_nearest(cols, canonical_centers(f.centers)))
     labelled = materialize(labelled, "sweep-labels")  # every metric below starts from a plain scan
-    names = [f"k_{k}" for k, _, _ in fits]
+    names = [f"k_{k}" for k in best]
     sil = M.silhouette_score(labelled, cols, names, id_col, mode=silhouette_mode, **sil_kw)
     other = M.db_ch_multi(labelled, cols, names)
-    rows = spark.createDataFrame(fits, "k int, inertia double, n_iter int")
+    rows = spark.createDataFrame([(k, f.inertia, f.n_iter) for k, f in best.items()], "k int, inertia double, n_iter int")
     kk = F.expr("cast(substring(labeling, 3) as int)").alias("k")
-    res = (rows.join(sil.select(kk, "silhouette"), "k").join(other.select(kk, "davies_bouldin", "calinski_harabasz"), "k")
-           .select("k", "silhouette", "davies_bouldin", "calinski_harabasz", "inertia", "n_iter").orderBy("k"))
-    vec.unpersist()
-    return res
+    return (rows.join(sil.select(kk, "silhouette"), "k").join(other.select(kk, "davies_bouldin", "calinski_harabasz"), "k")
+            .select("k", "silhouette", "davies_bouldin", "calinski_harabasz", "inertia", "n_iter").orderBy("k"))
 
 
 def elbow_curve(sweep: DataFrame) -> DataFrame:
@@ -195,15 +298,25 @@ def algorithm_comparison(kmeans_sweep_df: DataFrame, agg_sweep: DataFrame | None
     return out.withColumn("is_best", F.row_number().over(w) == 1).drop("_o")
 
 
-def silhouette_curve(sweep: DataFrame, by: str = "k", top: int | None = None) -> DataFrame:
-    """Scores of a sweep with their ranks: (by, silhouette, rank, is_best),
-    highest first; equal scores by ``by``. Null or NaN scores have no rank.
-    ``top`` limits the report."""
-    s = sweep.select(by, F.when(~F.isnan("silhouette"), F.col("silhouette")).alias("silhouette"))
-    w = Window.orderBy(F.col("silhouette").desc_nulls_last(), by)  # one row per configuration
-    out = s.withColumn("rank", F.when(F.col("silhouette").isNotNull(), F.row_number().over(w)))
-    out = out.withColumn("is_best", F.coalesce(F.col("rank") == 1, F.lit(False)))
-    return out if top is None else out.where(F.col("rank") <= top)
+def silhouette_curve(kmeans: DataFrame, trees: DataFrame | None = None, linkages=("ward", "complete", "average")) -> DataFrame:
+    """(algorithm, linkage, k, silhouette, is_best, rank_by_max, rank_by_mean)
+    of all configurations. ``is_best`` marks each curve's highest score (the
+    first K of equal ones). Curves are ranked by their highest and by their
+    mean score, which need not agree; equal ones go by the order K-Means, then
+    ``linkages``. Null or NaN scores are not counted and are never the best."""
+    rows = kmeans.select(F.lit("K-Means").alias("algorithm"), F.lit(None).cast("string").alias("linkage"), F.col("k").cast("int").alias("k"), "silhouette")
+    if trees is not None:
+        rows = rows.unionByName(trees.select(F.lit("Agglomerative").alias("algorithm"), "linkage", F.col("k").cast("int").alias("k"), "silhouette"))
+    s = rows.withColumn("silhouette", F.when(~F.isnan("silhouette"), F.col("silhouette")))
+    # one row per configuration in all windows below
+    own = Window.partitionBy("algorithm", "linkage").orderBy(F.col("silhouette").desc_nulls_last(), "k")
+    s = s.withColumn("is_best", (F.row_number().over(own) == 1) & F.col("silhouette").isNotNull())
+    place = F.coalesce(F.array_position(F.array(*map(F.lit, linkages)), F.col("linkage")), F.lit(0))
+    per = s.groupBy("algorithm", "linkage").agg(F.max("silhouette").alias("top"), F.avg("silhouette").alias("mean")).withColumn("place", place)
+    by = lambda c: F.row_number().over(Window.orderBy(F.col(c).desc_nulls_last(), "place", "linkage"))
+    per = per.select("algorithm", F.col("linkage").alias("_l"), by("top").alias("rank_by_max"), by("mean").alias("rank_by_mean"))
+    return s.join(per, (s["algorithm"] == per["algorithm"]) & s["linkage"].eqNullSafe(per["_l"])).select(
+        s["algorithm"], "linkage", "k", "silhouette", "is_best", "rank_by_max", "rank_by_mean")
 
 
 def save_model(model: KMeansModel, path: str) -> None:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmint.functions import rules
-from segmint.operators.strips import hold_and_stream, in_blocks, pack, sq_distances, tasks_wanted, to_all, unpack
+from segmint.operators.strips import TILE, hold_and_stream, in_blocks, pack, sq_distances, tasks_wanted, to_all, unpack
 from segmint.session import materialize
 
 
@@ -167,8 +167,14 @@ class _Sums:
         hot[point, which] = 1.0
         at = self._columns(keys)
         self.count[at] += hot.sum(axis=0).astype(np.int64)
-        for s in range(0, len(self.x), 256):
-            self.sums[s:s + 256, at] += np.sqrt(sq_distances(self.x[s:s + 256], y)) @ hot
+        every = len(keys) == len(self.keys) and (at == np.arange(len(at))).all()
+        for s in range(0, len(self.x), TILE):
+            d = sq_distances(self.x[s:s + TILE], y)
+            part = np.sqrt(d, out=d) @ hot
+            if every:
+                self.sums[s:s + TILE, :len(at)] += part
+            else:
+                self.sums[s:s + TILE, at] += part
 
     def finish(self):
         n = len(self.x)

@@ -16,7 +16,7 @@ from segmint.operators import metrics as M
 from segmint.operators import profile as P
 from segmint.operators import split as SP
 from segmint.operators import stats as ST
-from segmint.session import materialize
+from segmint.operators.stages import Stages, fingerprint
 from segmint.spec import DEFAULT_SPEC, SegmentSpec
 
 
@@ -29,13 +29,14 @@ class Selection(NamedTuple):
 
 
 def run_selection(df: DataFrame, cols: list[str], k_range=range(2, 11), linkages=H.LINKAGES, eps_list=(0.3, 0.5, 0.7, 1.0),
-                  min_samples_list=(3, 5, 7, 10), id_col: str = "customerID", n_init: int = 10) -> Selection:
+                  min_samples_list=(3, 5, 7, 10), id_col: str = "customerID", n_init: int = 10, stages: Stages | None = None) -> Selection:
     """All configurations of the three algorithms, their comparison, and the
     choice by the business rules (always K-Means)."""
-    points = materialize(df.select(id_col, *[f"`{c}`" for c in cols]), "selection-points")
-    sweep = materialize(KM.kmeans_sweep(points, cols, k_range, id_col, n_init=n_init), "selection-kmeans")
-    trees = H.agglomerative_sweep(points, cols, linkages, k_range, id_col)
-    grid = materialize(DB.dbscan_grid(points, cols, eps_list, min_samples_list, id_col), "selection-dbscan")
+    st = stages or Stages(df.sparkSession)
+    points = st.table("selection-points", lambda: df.select(id_col, *[f"`{c}`" for c in cols]))
+    sweep = st.table("selection-kmeans", lambda: KM.kmeans_sweep(points, cols, k_range, id_col, n_init=n_init))
+    trees = st.table("selection-trees", lambda: H.agglomerative_sweep(points, cols, linkages, k_range, id_col))
+    grid = st.table("selection-dbscan", lambda: DB.dbscan_grid(points, cols, eps_list, min_samples_list, id_col))
     return Selection(sweep, trees, grid, KM.algorithm_comparison(sweep, trees, grid), KM.select_k_business_rules(sweep))
 
 
@@ -48,23 +49,31 @@ class Protocol(NamedTuple):
 
 
 def train_protocol(splits: DataFrame, k: int, spec: SegmentSpec = DEFAULT_SPEC, split_col: str = "split", n_init: int = 10,
-                   seed: int = 42) -> Protocol:
+                   seed: int = 42, stages: Stages | None = None) -> Protocol:
     """Fits on train and scores validation, then refits on train and
     validation and scores test. Feature state is of the training rows in both.
     ``internal`` has a row for each stage: silhouette, Davies-Bouldin,
     Calinski-Harabasz, inertia and iterations of its fit."""
-    model = FT.SegmentFeatures(spec, ignore=(split_col, "cluster_id")).fit(splits.where(F.col(split_col) == "train"))
-    feats = materialize(FT.transform_splits(model, splits, split_col), "protocol-features")
+    st = stages or Stages(splits.sparkSession)
+    fit = lambda: FT.SegmentFeatures(spec, ignore=(split_col, "cluster_id")).fit(splits.where(F.col(split_col) == "train")).state
+    model = FT.SegmentFeaturesModel(st.value("protocol-state", fit), spec)
+    feats = st.table("protocol-features", lambda: FT.transform_splits(model, splits, split_col))
     names, rows = model.feature_names, None
     for stage, fit_on, score_on in (("validation", ("train",), "validation"), ("test", ("train", "validation"), "test")):
-        fitted, cost, iters = KM.kmeans_fit(KM.as_vectors(feats.where(F.col(split_col).isin(*fit_on)), names), k, seed, n_init)
-        centers = KM.canonical_centers(fitted.clusterCenters())
-        scored = materialize(KM.kmeans_assign(feats.where(F.col(split_col) == score_on), names, centers), "protocol-scored")
+        def fitted():
+            best = KM.fit_many(feats.where(F.col(split_col).isin(*fit_on)), names, [k], n_init, seed)[k]
+            return [KM.canonical_centers(best.centers), best.inertia, best.n_iter]
+
+        def scored_rows():
+            return KM.kmeans_assign(feats.where(F.col(split_col) == score_on), names, centers)
+
+        centers, cost, iters = st.value(f"protocol-fit-{stage}", fitted)
+        scored = st.table(f"protocol-scored-{stage}", scored_rows)
         row = M.internal_metrics(scored, names, "cluster_id", spec.id).select(
             F.lit(stage).alias("stage"), "*", F.lit(float(cost)).alias("inertia"), F.lit(int(iters)).alias("n_iter"))
         rows = row if rows is None else rows.unionByName(row)
     both = KM.kmeans_assign(feats.where(F.col(split_col).isin("train", "validation")), names, centers)
-    return Protocol(model, centers, materialize(rows, "protocol-internal"), scored, both)
+    return Protocol(model, centers, st.table("protocol-internal", lambda: rows), scored, both)
 
 
 class Profiling(NamedTuple):
@@ -75,13 +84,14 @@ class Profiling(NamedTuple):
 
 
 def run_profiling(labelled: DataFrame, features: DataFrame | None = None, feature_names: list[str] | None = None,
-                  cluster_col: str = "cluster_id", spec: SegmentSpec = DEFAULT_SPEC) -> Profiling:
+                  cluster_col: str = "cluster_id", spec: SegmentSpec = DEFAULT_SPEC, stages: Stages | None = None) -> Profiling:
     """Named profiles and actions of labelled raw records, and the ANOVA of
     the numerical columns, or of all fitted features where they are given."""
-    named = materialize(P.assign_names(P.cluster_profiles(labelled, cluster_col, spec)), "profiles")
+    st = stages or Stages(labelled.sparkSession)
+    named = st.table("profiles", lambda: P.assign_names(P.cluster_profiles(labelled, cluster_col, spec)))
     on = labelled if features is None else features
-    anova = materialize(ST.anova_f(on, list(feature_names or [*spec.raw_numerical, "SeniorCitizen"]), cluster_col), "anova")
-    return Profiling(named, materialize(P.business_actions(named), "actions"), anova, ST.feature_importance(anova))
+    anova = st.table("anova", lambda: ST.anova_f(on, list(feature_names or [*spec.raw_numerical, "SeniorCitizen"]), cluster_col))
+    return Profiling(named, st.table("actions", lambda: P.business_actions(named)), anova, ST.feature_importance(anova))
 
 
 class Result(NamedTuple):
@@ -93,27 +103,36 @@ class Result(NamedTuple):
 
 
 def run_pipeline(spark: SparkSession, customers: DataFrame, out: str | None = None, k: int | None = None,
-                 spec: SegmentSpec = DEFAULT_SPEC, **selection) -> Result:
+                 spec: SegmentSpec = DEFAULT_SPEC, folder: str | None = None, **selection) -> Result:
     """Raw records to segments: split, features, selection (unless ``k`` is
     given), training protocol, validation against the target, profiles and
-    actions; result tables go to ``out``."""
+    actions; result tables go to ``out``, and a version of the scoring model to
+    ``out``/model.
+
+    With ``folder`` (shared) every stage is kept there: a run that was stopped
+    goes on after the last whole stage, with the same result; other input or
+    parameters start anew."""
+    from segmint.operators.scorer import publish
     from segmint.sources.customers import save_actions, save_profiles, save_table
-    splits = materialize(SP.split_stratified(customers, spec.target, spec.id), "pipeline-splits")
+    st = Stages(spark, folder, fingerprint(customers, k=k, spec=spec, selection=selection) if folder else "")
+    splits = st.table("pipeline-splits", lambda: SP.split_stratified(customers, spec.target, spec.id))
     chosen = None
     if k is None:
-        model = FT.SegmentFeatures(spec).fit(splits.where("split = 'train'"))
+        train = splits.where("split = 'train'")
+        model = FT.SegmentFeaturesModel(st.value("selection-state", lambda: FT.SegmentFeatures(spec).fit(train).state), spec)
         val = model.transform(splits.where("split = 'validation'"))
-        chosen = run_selection(val, model.feature_names, id_col=spec.id, **selection)
-        k = int(chosen.choice.first()["final_k"])
-    protocol = train_protocol(splits, k, spec)
-    raw = splits.join(protocol.labelled_train_val.select(spec.id, "cluster_id"), spec.id)
-    prof = run_profiling(materialize(raw, "pipeline-labelled"), protocol.labelled_train_val, protocol.features.feature_names, spec=spec)
-    test = SP.binarize_target(splits.where("split = 'test'"), spec.target).join(
-        protocol.labelled_test.select(spec.id, "cluster_id"), spec.id)
-    test = materialize(test, "pipeline-test")
+        chosen = run_selection(val, model.feature_names, id_col=spec.id, stages=st, **selection)
+        k = int(st.value("selection-k", lambda: int(chosen.choice.first()["final_k"])))
+    protocol = train_protocol(splits, k, spec, stages=st)
+
+    # labels go back to the records by id: repeated ids get each record once for each of their segments
+    raw = st.table("pipeline-labelled", lambda: splits.join(protocol.labelled_train_val.select(spec.id, "cluster_id").distinct(), spec.id))
+    prof = run_profiling(raw, protocol.labelled_train_val, protocol.features.feature_names, spec=spec, stages=st)
+    test = st.table("pipeline-test", lambda: SP.binarize_target(splits.where("split = 'test'"), spec.target).join(
+        protocol.labelled_test.select(spec.id, "cluster_id").distinct(), spec.id))
     if out:
         save_profiles(prof.profiles, f"{out}/profiles")
         save_actions(prof.actions, f"{out}/actions")
         save_table(prof.anova, f"{out}/anova", "csv")
-        protocol.features.save(f"{out}/features")
+        publish(f"{out}/model", protocol.features, protocol.centers, prof.profiles, prof.actions)
     return Result(chosen, protocol, prof, ST.target_rate_by_cluster(test), ST.chi_square(test, "cluster_id", spec.target))

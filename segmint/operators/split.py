@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segmint.session import ensure_checkpoint_dir
+from segmint.session import ensure_checkpoint_dir, materialize
 from segmint.spec import DEFAULT_SPEC, SegmentSpec
 
 
@@ -91,38 +91,46 @@ def split_stratified(df: DataFrame, stratum: str = "Churn", id_col: str = "custo
                      seed: int = 42, order_key: Column | None = None, out: str = "split",
                      n_parts: int | None = None, negative="No") -> DataFrame:
     """Adds a ``split`` column ('train' / 'validation' / 'test'). Rows with a
-    null stratum belong to the stratum ``negative``."""
+    null stratum belong to the stratum ``negative``. Quotas hold exactly also
+    where ids repeat or are null: rows that are equal in key and id are told
+    apart by their place in the table, which is written once for it."""
     check_ratios(train_ratio, val_ratio, test_ratio)
-    spark = df.sparkSession
     key = order_key if order_key is not None else F.xxhash64(F.lit(seed), F.col(id_col))
-    base = df.withColumn("_k", key).withColumn("_id", F.col(id_col))
-    raw, stratum = stratum, "_stratum"
     # a null target counts as the other class, as in binarize_target
-    value = (F.when(F.col(raw).isNull(), F.lit(negative).cast(dict(df.dtypes)[raw])).otherwise(F.col(raw)))
-    base = base.withColumn(stratum, value)
-    strata = base.groupBy(stratum).agg(F.count(F.lit(1)).alias("n_c"))
-    quotas = split_quotas(strata, stratum, train_ratio, val_ratio, test_ratio)
-
-    n_parts = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    ordered = (base.select(stratum, "_k", "_id")
-               .repartitionByRange(n_parts, stratum, "_k", "_id")
-               .sortWithinPartitions(stratum, "_k", "_id")
-               .withColumn("_pid", F.spark_partition_id())
-               .checkpoint(eager=True))
-    targets = (quotas.select(stratum, F.col("n_train").alias("pos"), F.lit("train").alias("which"))
-               .unionByName(quotas.select(stratum, F.col("n_keep").alias("pos"), F.lit("keep").alias("which"))))
-    bounds = _nth_keys(ordered, targets, stratum)
-    # one row per stratum: first key of validation and first key of test
-    b = bounds.groupBy(stratum).agg(
-        F.max(F.when(F.col("which") == "train", F.struct("_k", "_id"))).alias("_b_val"),
-        F.max(F.when(F.col("which") == "keep", F.struct("_k", "_id"))).alias("_b_test"))
+    value = F.when(F.col(stratum).isNull(), F.lit(negative).cast(dict(df.dtypes)[stratum])).otherwise(F.col(stratum))
+    base = df.withColumn("_k", key).withColumn("_id", F.struct(F.col(id_col))).withColumn("_stratum", value)
+    strata = base.groupBy("_stratum").agg(F.count(F.lit(1)).alias("n_c"))
+    quotas = split_quotas(strata, "_stratum", train_ratio, val_ratio, test_ratio)
+    n_parts = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    b, ordered = _boundaries(base, quotas, n_parts)
+    at_edge = (F.struct("_k", "_id") == F.col("_b_val")) | (F.struct("_k", "_id") == F.col("_b_test"))
+    tied = ordered.join(F.broadcast(b), "_stratum").where(at_edge).groupBy("_stratum", "_k", "_id").count().where("count > 1")
+    if not tied.isEmpty():
+        base = materialize(base.withColumn("_id", F.struct(F.col(id_col), F.monotonically_increasing_id().alias("place"))), "split-rows")
+        b, _ = _boundaries(base, quotas, n_parts)
     row = F.struct("_k", "_id")
     label = (F.when(F.col("_b_test").isNotNull() & (row >= F.col("_b_test")), "test")
              .when(F.col("_b_val").isNotNull() & (row >= F.col("_b_val")), "validation")
              .otherwise("train"))
     # strata x 2 boundary keys: bounded by the number of strata of the target
-    return base.join(F.broadcast(b), stratum, "left").withColumn(out, label).drop("_k", "_id", "_b_val", "_b_test", stratum)
+    return base.join(F.broadcast(b), "_stratum", "left").withColumn(out, label).drop("_k", "_id", "_b_val", "_b_test", "_stratum")
+
+
+def _boundaries(base: DataFrame, quotas: DataFrame, n_parts: int) -> tuple[DataFrame, DataFrame]:
+    """(one row per stratum with the first key of validation and of test, the
+    keys in order)."""
+    ensure_checkpoint_dir(base.sparkSession)
+    ordered = (base.select("_stratum", "_k", "_id")
+               .repartitionByRange(n_parts, "_stratum", "_k", "_id")
+               .sortWithinPartitions("_stratum", "_k", "_id")
+               .withColumn("_pid", F.spark_partition_id())
+               .checkpoint(eager=True))
+    targets = (quotas.select("_stratum", F.col("n_train").alias("pos"), F.lit("train").alias("which"))
+               .unionByName(quotas.select("_stratum", F.col("n_keep").alias("pos"), F.lit("keep").alias("which"))))
+    bounds = _nth_keys(ordered, targets, "_stratum")
+    edge = lambda which: F.max(F.when(F.col("which") == which, F.struct("_k", "_id")))
+    b = bounds.groupBy("_stratum").agg(edge("train").alias("_b_val"), edge("keep").alias("_b_test"))
+    return materialize(b, "split-bounds"), ordered
 
 
 def split_summary(df: DataFrame, split_col: str = "split", target: str = "Churn", positive: str = "Yes") -> DataFrame:

@@ -44,24 +44,33 @@ def numbered(df: DataFrame, order: list[str], out: str = "_row", name: str = "nu
     return rows.withColumn(out, F.col("_off") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_p", "_off", "_at"), int(n)
 
 
+#: Rows of a tile of distances: 64 x 512 numbers stay in a core's cache.
+TILE = 64
+
+
 def sq_distances(a: np.ndarray, b: np.ndarray, exact_at: tuple[float, ...] = (0.0,)) -> np.ndarray:
     """Squared distances: from differences for a few dimensions, else by one
     matrix product of centred points, where entries so close to one of
     ``exact_at`` that rounding could matter are computed from differences."""
     if a.shape[1] <= 4:
-        g = np.zeros((len(a), len(b)))
-        for k in range(a.shape[1]):
-            d = a[:, k, None] - b[None, :, k]
-            d *= d
-            g += d
+        y = np.ascontiguousarray(b.T)
+        g = a[:, 0, None] - y[0]
+        np.multiply(g, g, out=g)
+        d = np.empty_like(g)
+        for k in range(1, a.shape[1]):
+            np.subtract(a[:, k, None], y[k], out=d)
+            np.multiply(d, d, out=d)
+            np.add(g, d, out=g)
         return g
     centre = b.mean(axis=0) if len(b) else 0.0
     x, y = a - centre, b - centre
     na, nb = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", y, y)
-    g = na[:, None] + nb[None, :] - 2.0 * (x @ y.T)
+    g = x @ (-2.0 * y.T)
+    g += na[:, None]
+    g += nb
     slack = 1e-9 * (1.0 + float(na.max(initial=0.0)) + float(nb.max(initial=0.0)))
     for v in exact_at:
-        r, c = np.nonzero(np.abs(g - v) <= slack)
+        r, c = np.nonzero(g <= slack if v == 0 else np.abs(g - v) <= slack)
         for s in range(0, len(r), 100_000):
             diff = a[r[s:s + 100_000]] - b[c[s:s + 100_000]]
             g[r[s:s + 100_000], c[s:s + 100_000]] = np.einsum("ij,ij->i", diff, diff)
@@ -123,7 +132,8 @@ def unpack(rows: list[dict], name: str, kind: str) -> np.ndarray:
 
 def hold_and_stream(held: DataFrame, streamed: DataFrame, blocks: int, start: Callable, schema: str) -> DataFrame:
     """For each ``block`` (0 to ``blocks`` - 1) ``start(chunks)`` with the held
-    chunks, then ``add(chunk)`` for each streamed one and ``finish()``; both may
+    chunks, then ``add(chunk)`` for each streamed one, in the order of chunk
+    numbers, and ``finish()``; both may
     yield Arrow batches. Both tables have the columns of ``pack`` and
     ``block``; a block without held chunks gives nothing."""
     both = held.withColumn("_role", F.lit(0)).unionByName(streamed.withColumn("_role", F.lit(1)), allowMissingColumns=True)
@@ -145,7 +155,7 @@ def hold_and_stream(held: DataFrame, streamed: DataFrame, blocks: int, start: Ca
             yield from (work or start(chunks)).finish()
 
     parts = max(1, min(blocks, 50_000))
-    return both.repartitionById(parts, F.pmod("block", F.lit(parts)).cast("int")).sortWithinPartitions("block", "_role").mapInArrow(run, schema)
+    return both.repartitionById(parts, F.pmod("block", F.lit(parts)).cast("int")).sortWithinPartitions("block", "_role", "chunk").mapInArrow(run, schema)
 
 
 def in_blocks(chunks: DataFrame, n: int, block_rows: int) -> tuple[DataFrame, int]:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from pyspark.sql import functions as F
 
 from segmint.operators import dbscan as DB
-from segmint.plans.q_cluster import split_features
 from segmint.plans.q_metrics import XY, _PTS, points
 from segmint.plans.registry import register
-from segmint.session import materialize
 from segmint.sources import fixtures as fx
 
 W = fx.with_fixture_ctes
@@ -26,34 +24,29 @@ def q_eps_pairs(spark, sf):
         "_id", "customerID")
 
 
-@register("dbscan")
+_NEAR = f"""nb AS (SELECT p.id AS u, q.id AS v FROM pts p JOIN pts q
+  ON sqrt((p.x0 - q.x0) * (p.x0 - q.x0) + (p.x1 - q.x1) * (p.x1 - q.x1)) <= {EPS}),
+cnt AS (SELECT u AS id, count(*) AS n FROM nb GROUP BY u),
+links AS MATERIALIZED (SELECT u, v FROM nb WHERE u <> v AND u IN (SELECT id FROM cnt WHERE n >= 5) AND v IN (SELECT id FROM cnt WHERE n >= 5)),
+cc(id, root) USING KEY (id) AS (SELECT id, id AS root FROM cnt WHERE n >= 5
+  UNION SELECT links.v, min(cc.root) FROM cc JOIN links ON links.u = cc.id JOIN recurring.cc AS old ON old.id = links.v WHERE cc.root < old.root GROUP BY links.v),
+ranks AS (SELECT root, dense_rank() OVER (ORDER BY root) - 1 AS r FROM (SELECT DISTINCT root FROM cc) q),
+border AS (SELECT nb.u AS id, min(cc.root) AS root FROM nb JOIN cc ON cc.id = nb.v GROUP BY nb.u)"""
+_DBSCAN = W("""SELECT cnt.id AS customerID, CAST(coalesce(ranks.r, -1) AS INT) AS cluster_id, cnt.n >= 5 AS is_core, cnt.n AS n_neighbors
+  FROM cnt LEFT JOIN cc USING (id) LEFT JOIN border USING (id) LEFT JOIN ranks ON ranks.root = coalesce(cc.root, border.root)""", extra=_PTS + ",\n" + _NEAR)
+_DBSCAN = _DBSCAN.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("dbscan", _DBSCAN)
 def q_dbscan(spark, sf):
     """(customerID, cluster_id, is_core, n_neighbors) at eps 0.05, min 5 on
-    the scaled fixture points; checked against brute force in tests."""
+    the scaled fixture points."""
     return DB.dbscan(points(spark, sf), XY, EPS, 5)
 
 
-EPS_LIST, MIN_SAMPLES = (0.3, 0.5, 0.7, 1.0), (3, 5, 7, 10)
-
-
-@lru_cache(maxsize=4)
-def _grid(spark, sf):
-    val, names = split_features(spark, sf, ("validation",))
-    return materialize(DB.dbscan_grid(val, names, EPS_LIST, MIN_SAMPLES), "dbscan-grid")
-
-
-def grid_of(spark, sf):
-    return _grid(spark, sf)
-
-
-@register("dbscan_grid")
-def q_dbscan_grid(spark, sf):
-    """All 16 settings on the 35 features of the validation rows; held
-    against brute force in tests."""
-    return _grid(spark, sf)
-
-
-@register("dbscan_pivot")
-def q_dbscan_pivot(spark, sf):
-    """Silhouettes of the grid, min_samples by eps."""
-    return DB.dbscan_pivot(_grid(spark, sf), list(EPS_LIST))
+@register("dbscan_any_ids", W("""SELECT CASE WHEN Contract = 'One year' THEN NULL ELSE Contract END AS customerID, n >= 5 AS is_core, n AS n_neighbors
+  FROM cnt JOIN pts USING (id)""", extra=_PTS + ",\n" + _NEAR[:_NEAR.index(",\nlinks")]))
+def q_dbscan_any_ids(spark, sf):
+    """Rows that share an id or have none keep their own counts: the contract in the id's place."""
+    pts = points(spark, sf).withColumn("customerID", F.when(F.col("Contract") != "One year", F.col("Contract")))
+    return DB.dbscan(pts, XY, EPS, 5).select("customerID", "is_core", "n_neighbors")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from segmint import spec as S
 from segmint.operators import eda as E
+from segmint.plans.q_split import fixture_split
 from segmint.plans.registry import register
 from segmint.sources import fixtures as fx
 
@@ -101,10 +102,38 @@ def q_boxplot_stats(spark, sf):
     return E.boxplot_stats(fx.subscribers(spark, sf), _NUM)
 
 
-@register("crosstab_row_pct", W("""SELECT SeniorCitizen AS row_value, InternetService AS col_value, count(*) AS n,
-  CAST(count(*) AS DOUBLE) * 100 / sum(count(*)) OVER (PARTITION BY SeniorCitizen) AS row_pct
-  FROM subscribers WHERE SeniorCitizen IS NOT NULL AND InternetService IS NOT NULL GROUP BY 1, 2""",
-                                labelled=False), doubles=("row_pct",))
+def _crosstab_sql(row: str, col: str) -> str:
+    return f"""SELECT r AS row_value, c AS col_value, coalesce(m, 0) AS n, CAST(coalesce(m, 0) AS DOUBLE) * 100 / sum(coalesce(m, 0)) OVER (PARTITION BY r) AS row_pct
+  FROM (SELECT DISTINCT {row} AS r FROM both_known) a CROSS JOIN (SELECT DISTINCT {col} AS c FROM both_known) b
+  LEFT JOIN (SELECT {row} AS r, {col} AS c, count(*) AS m FROM both_known GROUP BY ALL) q USING (r, c)"""
+
+
+def _both(row: str, col: str) -> str:
+    return f"both_known AS (SELECT * FROM subscribers WHERE {row} IS NOT NULL AND {col} IS NOT NULL)"
+
+
+@register("crosstab_zero_pairs", W(_crosstab_sql("tenure", "PaymentMethod"), labelled=False, extra=_both("tenure", "PaymentMethod")), doubles=("row_pct",))
+def q_crosstab_zero_pairs(spark, sf):
+    """Payment methods inside each month of tenure, with those that never occur."""
+    return E.crosstab_row_pct(fx.subscribers(spark, sf), "tenure", "PaymentMethod")
+
+
+@register("crosstab_pivot", W("""SELECT SeniorCitizen AS row_value, """ + ", ".join(
+    f"""CAST(sum(CASE WHEN InternetService = '{v}' THEN 1 ELSE 0 END) AS DOUBLE) * 100 / count(*) AS "{v}" """ for v in ("DSL", "Fiber optic", "No", "Satellite")) +
+    " FROM both_known GROUP BY 1", labelled=False, extra=_both("SeniorCitizen", "InternetService")), doubles=("DSL", "Fiber optic", "No", "Satellite"))
+def q_crosstab_pivot(spark, sf):
+    """Wide form, with a value that no account has."""
+    return E.crosstab_pivot(fx.subscribers(spark, sf), "SeniorCitizen", "InternetService", ["DSL", "Fiber optic", "No", "Satellite"])
+
+
+@register("eda_report")
+def q_eda_report(spark, sf):
+    """All panels of the training split in one table."""
+    return E.eda_table(E.eda_report(fixture_split(spark, sf).where("split = 'train'")))
+
+
+@register("crosstab_row_pct", W(_crosstab_sql("SeniorCitizen", "InternetService"), labelled=False, extra=_both("SeniorCitizen", "InternetService")),
+          doubles=("row_pct",))
 def q_crosstab_row_pct(spark, sf):
     return E.crosstab_row_pct(fx.subscribers(spark, sf), "SeniorCitizen", "InternetService")
 

@@ -196,3 +196,24 @@ def q_assemble_features(spark, sf):
                                 extra=SPLIT_CTES + ",\n" + FIT_CTE + ",\n" + FEATS_CTE), doubles=_FEATURE_DOUBLES)
 def q_transform_splits(spark, sf):
     return FT.transform_splits(fitted_model(spark, sf), fixture_split(spark, sf))
+
+
+_ENGINEERED_CTE = "eng AS (SELECT cluster_id, " + ", ".join(f"{_ENG[c]} AS {c}" for c in ("tenure_group", "high_value_flag", "auto_payment", "family_status")) + \
+    " FROM labelled CROSS JOIN fit)"
+
+
+def _mode_sql(c: str) -> str:
+    return f"""(SELECT cluster_id, {c} AS {c}_mode FROM (SELECT cluster_id, {c}, row_number() OVER (PARTITION BY cluster_id ORDER BY count(*) DESC, {c}) AS rn
+      FROM eng WHERE {c} IS NOT NULL GROUP BY 1, 2) q WHERE rn = 1) m_{c}"""
+
+
+@register("engineered_profile_stats", W(f"""SELECT cluster_id, tenure_group_mode, high_value_pct, auto_payment_pct, family_status_mode
+  FROM (SELECT cluster_id, avg(high_value_flag) * 100 AS high_value_pct, avg(auto_payment) * 100 AS auto_payment_pct FROM eng GROUP BY 1) e
+  LEFT JOIN {_mode_sql("tenure_group")} USING (cluster_id) LEFT JOIN {_mode_sql("family_status")} USING (cluster_id)""",
+                                        extra=SPLIT_CTES + ",\n" + FIT_CTE + ",\n" + _ENGINEERED_CTE), doubles=("high_value_pct", "auto_payment_pct"))
+def q_engineered_profile_stats(spark, sf):
+    """Profile statistics of the engineered columns."""
+    from segmint.operators.profile import cluster_profiles
+    st = fitted_model(spark, sf).state
+    df = FT.engineer_features(fx.labelled(spark, sf), st["monthly_threshold"], st["tenure_threshold"])
+    return cluster_profiles(df).select("cluster_id", "tenure_group_mode", "high_value_pct", "auto_payment_pct", "family_status_mode")

@@ -92,6 +92,20 @@ def q_silhouette_score(spark, sf):
     return M.silhouette_score(points(spark, sf), XY, "cluster_id")
 
 
+@register("silhouette_any_ids", W("""SELECT CASE WHEN Contract = 'One year' THEN NULL ELSE Contract END AS customerID, cluster_id, a, b, silhouette
+  FROM sil JOIN (SELECT id AS customerID, Contract FROM pts) q USING (customerID)""", extra=_PTS + ",\n" + _sil_ctes()), doubles=("a", "b", "silhouette"))
+def q_silhouette_any_ids(spark, sf):
+    """Rows that share an id or have none keep their own values: the contract in the id's place."""
+    pts = points(spark, sf).withColumn("customerID", F.when(F.col("Contract") != "One year", F.col("Contract")))
+    return M.silhouette_samples(pts, XY, "cluster_id").drop("labeling")
+
+
+@register("silhouette_sampled")
+def q_silhouette_sampled(spark, sf):
+    """The estimate of the mean from 500 rows of every cluster, with its standard error."""
+    return M.silhouette_score(points(spark, sf), XY, "cluster_id", mode="sampled")
+
+
 def _contract_label():
     return (F.when(F.col("Contract") == "Month-to-month", 0).when(F.col("Contract") == "One year", 1)
             .otherwise(2)).alias("contract_id")

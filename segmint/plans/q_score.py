@@ -3,6 +3,7 @@ segments."""
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 from pyspark.sql import functions as F
@@ -10,10 +11,12 @@ from pyspark.sql import functions as F
 from segmint import spec as S
 from segmint.operators import profile as P
 from segmint.operators import score as SC
+from segmint.operators.scorer import latest_version, load_scorer, publish
 from segmint.plans import sqlkit as K
 from segmint.plans.q_features import FEATS_CTE, FEATURE_NAMES, FIT_CTE, fitted_model
 from segmint.plans.q_split import SPLIT_CTES, fixture_split
 from segmint.plans.registry import register
+from segmint.session import ensure_checkpoint_dir
 from segmint.sources import fixtures as fx
 from segmint.streaming import stream as ST
 
@@ -83,15 +86,23 @@ def given_centers(spark, sf):
     return [[r[f"k_{i}"] for i in range(len(m.feature_names))] for r in rows.orderBy("Contract").collect()]
 
 
+def model_dir(spark, sf) -> str:
+    """The session's model directory; a first version is published where there is none."""
+    folder = f"{ensure_checkpoint_dir(spark)}/models/{hashlib.sha256(sf.encode()).hexdigest()[:16]}"
+    if latest_version(spark, folder) is None:
+        named, actions = _tables(spark, sf)
+        publish(folder, fitted_model(spark, sf), given_centers(spark, sf), named, actions)
+    return folder
+
+
 def _score(spark, sf, customers):
-    named, actions = _tables(spark, sf)
-    return SC.score_report(SC.score_customers(customers, fitted_model(spark, sf), given_centers(spark, sf)), named, actions)
+    return load_scorer(spark, model_dir(spark, sf)).score(customers).drop("model_version")
 
 
 @register("score_customers", _REAL, doubles=("churn_rate", "size_pct"))
 def q_score_customers(spark, sf):
-    """Fitted features of every account, the nearest of the given centroids,
-    and the segment's name, churn, share, actions and risk level."""
+    """Every account scored by the saved model: fitted features, the nearest of
+    its centroids, and the segment's name, churn, share, actions and risk level."""
     return _score(spark, sf, fx.subscribers(spark, sf))
 
 
@@ -140,10 +151,12 @@ def q_segment_overview(spark, sf):
 @register("score_stream", _REAL, doubles=("churn_rate", "size_pct"))
 def q_score_stream(spark, sf):
     """``score_customers`` as a Structured Streaming job: the orders file is
-    the stream source, customers and line flags are static tables; the stream
-    runs with ``availableNow`` and its sink is read back."""
+    the stream source, customers and line flags are static tables; each
+    micro-batch loads the latest model version, and the written rows are read
+    back."""
     sides = fx.static_sides(spark, sf)
     orders_schema = fx.read_table(spark, sf, "orders").schema
     src = (spark.readStream.schema(orders_schema).option("maxFilesPerTrigger", 1)
            .option("pathGlobFilter", "orders.parquet").parquet(sf))
-    return ST.run_stream(spark, src, lambda orders: _score(spark, sf, fx.subscribers_from_orders(spark, sf, orders, sides)))
+    out = ST.score_stream(src, model_dir(spark, sf), *ST.stream_paths(spark), prepare=lambda orders: fx.subscribers_from_orders(spark, sf, orders, sides))
+    return out.drop("model_version")

@@ -122,3 +122,14 @@ _SPLIT_PROFILE_SQL = W("""SELECT m.*, top_Contract.* EXCLUDE (split), top_Intern
                    "InternetService_top_pct", "PaymentMethod_top_pct"))
 def q_split_profile(spark, sf):
     return SP.split_profile(fixture_split(spark, sf))
+
+
+_REPEATED = split_ctes("rep", "Churn", "customerID")
+
+
+@register("split_repeated_ids", W("SELECT Churn, split, count(*) AS n FROM splits GROUP BY ALL", labelled=False,
+                                  extra="rep AS (SELECT Churn, CASE WHEN Contract = 'One year' THEN NULL ELSE Contract END AS customerID FROM subscribers),\n" + _REPEATED))
+def q_split_repeated_ids(spark, sf):
+    """Quotas hold where many rows share an id or have none: the contract in the id's place."""
+    df = fx.subscribers(spark, sf).select("Churn", F.when(F.col("Contract") != "One year", F.col("Contract")).alias("customerID"))
+    return SP.split_stratified(df).groupBy("Churn", "split").agg(F.count(F.lit(1)).alias("n"))

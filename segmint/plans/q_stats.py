@@ -141,7 +141,22 @@ def q_top_features(spark, sf):
         "feature", "f_statistic")
 
 
-@register("feature_importance")
+_P = "power(1 + 2 * f_statistic / df_within, -df_within / 2.0)"
+
+
+@register("feature_importance", W(f"""SELECT *, {_P} AS p_value, {_P} < 0.05 AS significant, 500 * (power(0.05, -2 / 1000.0) - 1) AS chart_threshold,
+  df_within / 2.0 * (power(0.05, -2.0 / df_within) - 1) AS f_critical FROM (SELECT * FROM anova ORDER BY f_statistic DESC NULLS LAST, feature LIMIT 3) t""",
+                                  extra=_ANOVA_CTE), doubles=("f_statistic", "p_value", "chart_threshold", "f_critical"))
 def q_feature_importance(spark, sf):
+    """The three most important features with both threshold lines (two
+    degrees of freedom, so all have a closed form in the oracle)."""
     lab = fx.labelled(spark, sf)
-    return ST.feature_importance(ST.anova_f(lab, _ANOVA_FEATURES), n=20)
+    return ST.feature_importance(ST.anova_f(lab, _ANOVA_FEATURES), n=3)
+
+
+@register("feature_table", W(f"""SELECT *, {_P} AS p_value, {_P} < 0.05 AS significant FROM anova ORDER BY f_statistic DESC NULLS LAST, feature LIMIT 15""",
+                             extra=_ANOVA_CTE), doubles=("f_statistic", "p_value"))
+def q_feature_table(spark, sf):
+    """The table of the dashboard: the first 15 features."""
+    from segmint.operators.score import feature_table
+    return feature_table(ST.anova_f(fx.labelled(spark, sf), _ANOVA_FEATURES))

@@ -69,8 +69,8 @@ def test_chart_threshold_counts_plotted_features(spark):
 def test_null_scores_never_win(spark):
     s = spark.createDataFrame([(2, float("nan")), (3, 0.2), (4, None), (5, 0.2)], "k int, silhouette double")
     assert KM.argmax_first(s, "silhouette", "k").first().k == 3
-    curve = {r.k: r["rank"] for r in KM.silhouette_curve(s).collect()}
-    assert curve == {3: 1, 5: 2, 2: None, 4: None}
+    curve = {r.k: (r.silhouette, r.is_best) for r in KM.silhouette_curve(s).collect()}
+    assert curve == {3: (0.2, True), 5: (0.2, False), 2: (None, False), 4: (None, False)}
     grid = spark.createDataFrame([(0.3, 3, -1.0, False)], "eps double, min_samples int, silhouette double, is_best boolean")
     rows = KM.algorithm_comparison(s, None, grid).orderBy("algorithm").collect()
     assert [(r.algorithm, r.silhouette, r.is_best) for r in rows] == [("DBSCAN", 0.0, False), ("K-Means", 0.2, True)]
