@@ -314,9 +314,8 @@ def silhouette_curve(kmeans: DataFrame, trees: DataFrame | None = None, linkages
     place = F.coalesce(F.array_position(F.array(*map(F.lit, linkages)), F.col("linkage")), F.lit(0))
     per = s.groupBy("algorithm", "linkage").agg(F.max("silhouette").alias("top"), F.avg("silhouette").alias("mean")).withColumn("place", place)
     by = lambda c: F.row_number().over(Window.orderBy(F.col(c).desc_nulls_last(), "place", "linkage"))
-    per = per.select("algorithm", F.col("linkage").alias("_l"), by("top").alias("rank_by_max"), by("mean").alias("rank_by_mean"))
-    return s.join(per, (s["algorithm"] == per["algorithm"]) & s["linkage"].eqNullSafe(per["_l"])).select(
-        s["algorithm"], "linkage", "k", "silhouette", "is_best", "rank_by_max", "rank_by_mean")
+    per = per.select(F.col("algorithm").alias("_a"), F.col("linkage").alias("_l"), by("top").alias("rank_by_max"), by("mean").alias("rank_by_mean"))
+    return s.join(per, (F.col("algorithm") == F.col("_a")) & F.col("linkage").eqNullSafe(F.col("_l"))).drop("_a", "_l")
 
 
 def save_model(model: KMeansModel, path: str) -> None:

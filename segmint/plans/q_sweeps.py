@@ -176,9 +176,9 @@ def q_kmeans_given_starts(spark, sf):
 _CANON = """cen AS (SELECT 7 - cluster_id * 2 AS old, avg(CAST(tenure AS DOUBLE) / 24.5) AS c0, avg(MonthlyCharges / 30.0) AS c1 FROM labelled WHERE Contract <> 'One year' GROUP BY 1)"""
 
 
-@register("canonical_labels", W("""SELECT customerID, CAST(r AS INT) AS cluster_id FROM labelled
+@register("canonical_labels", W("""SELECT customerID, CAST(coalesce(r, -1) AS INT) AS cluster_id FROM labelled
   LEFT JOIN (SELECT old, row_number() OVER (ORDER BY c0, c1) - 1 AS r FROM cen) q ON old = 7 - cluster_id * 2 AND Contract <> 'One year'""", extra=_CANON))
 def q_canonical_labels(spark, sf):
-    """Labels 7, 5, 3, null for one contract, renamed by the order of their centroids."""
+    """Labels 7, 5, 3, null for one contract (-1 here), renamed by the order of their centroids."""
     lab = fx.labelled(spark, sf).select("customerID", *fx.fixed_point_columns(), F.when(F.col("Contract") != "One year", 7 - F.col("cluster_id") * 2).alias("cluster_id"))
-    return KM.canonical_labels(lab, XY).select("customerID", "cluster_id")
+    return KM.canonical_labels(lab, XY).select("customerID", F.coalesce("cluster_id", F.lit(-1)).alias("cluster_id"))
