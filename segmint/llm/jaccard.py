@@ -10,10 +10,12 @@ Equal sets are one node. A set is signed only if few enough of its elements are
 its own alone, which keeps texts with a common passage apart. Elements and
 signatures travel as sorted blocks, once for each block of documents; what
 shares a signature is tied to the first that has it, and ties give candidate
-clusters. Large clusters are first parted by parity sketches, whose distance is
-never more than that of the sets; then every cluster is verified exactly. Both
-are done in blocks, so that no group is held whole by a task, and tasks give
-back spanning forests, not pairs.
+clusters. Sets of a large cluster are looked at again, bucket by bucket: those
+that share a signature are linked only if their parity sketches allow it, whose
+distance is never more than that of the sets; so clusters that only chance ties
+hold together fall apart. Then every cluster is verified exactly. Both are done
+in blocks, so that no group is held whole by a task, and tasks give back
+spanning forests, not pairs.
 """
 
 from __future__ import annotations
@@ -327,35 +329,88 @@ def possible_pairs(n: np.ndarray, sketches: list[bytes], m: np.ndarray, others:
     return out
 
 
-def _parted(sets: DataFrame, j: Join, block: int = 1024) -> DataFrame:
-    """(u, v): a forest of the pairs of each cluster that can be similar."""
-    def drawn(batches):
+def _shared_buckets(large: DataFrame, j: Join) -> DataFrame:
+    """(sig, node, m): the signatures that several sets of a cluster share, and
+    the sets that have them; of signatures with the same sets one is kept,
+    since their pairs are the same."""
+    def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("cluster"), b.column("node"), b.column("n"), pa.array(
-                [sketch(np.frombuffer(x, np.uint64)) for x in b.column("s").to_pylist()], pa.binary())], ["cluster", "node", "n", "sketch"])
-
-    def compared(batches):
-        for group in grouped(batches, ("cluster", "block", "other")):
-            same = group[0]["block"] == group[0]["other"]
-            left = [r for r in group if r["own"] == group[0]["block"]]
-            right = left if same else [r for r in group if r["own"] == group[0]["other"]]
+            nodes, cluster = b.column("node").to_numpy(), b.column("cluster").to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in b.column("s").to_pylist()]
+            for at in slices([len(x) for x in sets], 1 << 20):
+                sig, who = signatures(sets[at], j)
+                # the same content in another cluster is another bucket
+                sig = mix(sig ^ mix(cluster[at].astype(np.int64).view(np.uint64)[who], 21), 22)
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(sig)), pa.array(nodes[at][who])], ["sig", "node"])
+
+    rows = materialize(large.select("cluster", "node", "s").mapInArrow(run, "sig long, node long"), "partenum-bucket-rows")
+    member = lambda salt: F.bit_xor(F.xxhash64("node", F.lit(salt)))
+    found = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), member(1).alias("h1"), member(2).alias("h2")).where("m > 1")
+    one = found.groupBy("m", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig", "m")
+    return materialize(rows.join(one, "sig"), "partenum-buckets")
+
+
+def _possible(rows: DataFrame, keys: tuple[str, ...], j: Join, star: bool) -> DataFrame:
+    """(u, v): a forest of the pairs of each group that can be similar by their
+    sketches. Of a ``star`` group only the pairs with its first row are looked
+    at, and a row that is not one of them comes back as (node, null). Else rows
+    with ``side`` 0 meet those with ``side`` 1, or each other if there are none."""
+    def run(batches):
+        for group in grouped(batches, keys):
+            get = lambda rows, c: [r[c] for r in rows]
+            left = group[:1] if star else [r for r in group if r["side"] == 0]
+            right = group[1:] if star else [r for r in group if r["side"] == 1] or left
             if not left or not right:
                 continue
-            get = lambda rows, c: [r[c] for r in rows]
             may = possible_pairs(np.array(get(left, "n")), get(left, "sketch"), np.array(get(right, "n")), get(right, "sketch"), j.percent)
-            if same:
-                np.fill_diagonal(may, False)
-            found = forest(may)
-            yield pa.RecordBatch.from_arrays([pa.array([left[a]["node"] for a, _ in found], pa.int64()),
-                                              pa.array([right[b]["node"] for _, b in found], pa.int64())], ["u", "v"])
-
-    s = sets.select("cluster", "node", "n", "s").mapInArrow(drawn, "cluster long, node long, n long, sketch binary")
-    size = materialize(sets.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")), "partenum-parts")
-    s = s.join(size, "cluster").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    s = s.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
-        {"block": F.least("own", "to"), "other": F.greatest("own", "to")}).drop("to", "blocks")
-    keys = ("cluster", "block", "other")
-    return s.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compared, "u long, v long")
+            if star:
+                u = [left[0]["node"] if hit else r["node"] for r, hit in zip(right, may[0].tolist(), strict=True)]
+                v = [r["node"] if hit else None for r, hit in zip(right, may[0].tolist(), strict=True)]
+            else:
+                may &= np.array(get(left, "node"))[:, None] != np.array(get(right, "node"))
+                found = forest(may)
+                u, v = [left[a]["node"] for a, _ in found], [right[b]["node"] for _, b in found]
+            sig = [group[0]["sig"]] * len(u)
+            yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["sig", "u", "v"])
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "side").mapInArrow(run, "sig long, u long, v long")
+
+
+def _parted(large: DataFrame, j: Join, block: int = 1024) -> DataFrame:
+    """(u, v): a forest of the pairs that share a signature and can be similar.
+
+    A bucket of up to ``block`` sets is one group. Of a larger one all sets
+    first meet its smallest in blocks; only those that cannot be similar to it
+    then meet the whole bucket, so a group of near copies of any size costs one
+    look at each."""
+    def drawn(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("n"), pa.array(
+                [sketch(np.frombuffer(x, np.uint64)) for x in b.column("s").to_pylist()], pa.binary())], ["node", "n", "sketch"])
+
+    sketches = materialize(large.select("node", "n", "s").mapInArrow(drawn, "node long, n long, sketch binary"), "partenum-sketches")
+    buckets = _shared_buckets(large, j)
+    rows = buckets.where(F.col("m") <= block).join(sketches, "node").withColumn("side", F.lit(0))
+    links = materialize(_possible(rows, ("sig",), j, star=False).select("u", "v"), "partenum-possible")
+    wide = buckets.where(F.col("m") > block).withColumn("parts", F.ceil(F.col("m") / block).cast("int"))
+    if wide.isEmpty():
+        return links
+    wide = materialize(wide.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")), "partenum-wide")
+    first = wide.groupBy("sig", "parts").agg(F.min("node").alias("node"))
+    spread = first.select("sig", "node", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("own"), F.lit(0).alias("side"))
+    others = wide.join(first.select("sig", "node"), ["sig", "node"], "left_anti").select("sig", "node", "own", F.lit(1).alias("side"))
+    met = materialize(_possible(spread.unionByName(others).join(sketches, "node"), ("sig", "own"), j, star=True), "partenum-star")
+    links = links.unionByName(met.where("v is not null").select("u", "v"))
+    rest = met.where("v is null").select("sig", F.col("u").alias("node"))
+    if rest.isEmpty():
+        return links
+    count = materialize(rest.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("rests")), "partenum-rests")
+    rest = rest.join(count, "sig").join(wide.select("sig", "parts").distinct(), "sig")
+    left = rest.select("sig", "node", F.pmod(F.xxhash64("node", F.lit(1)), F.col("rests")).cast("int").alias("of"),
+                       F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("own"), F.lit(0).alias("side"))
+    right = wide.join(count, "sig").select("sig", "node", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("of"), "own", F.lit(1).alias("side"))
+    again = _possible(left.unionByName(right).join(sketches, "node"), ("sig", "of", "own"), j, star=False)
+    return links.unionByName(materialize(again.select("u", "v"), "partenum-rest"))
 
 
 def _verified(rows: DataFrame, j: Join) -> DataFrame:
@@ -401,7 +456,7 @@ def _components(docs: DataFrame, join: Join, id_col: str, text_col: str, block:
     several = materialize(size.where(F.col("m") > block), "partenum-several").select("cluster")
     if not several.isEmpty():
         large = materialize(sets.join(several, "cluster", "left_semi"), "partenum-several-sets")
-        parted = connected_components(_parted(large, join)).withColumnRenamed("component", "cluster")
+        parted = connected_components(_parted(large, join, 4 * block)).withColumnRenamed("component", "cluster")
         sets = materialize(sets.join(several, "cluster", "left_anti").unionByName(
             large.drop("cluster").join(parted, "node").select("node", "cluster", "n", "s")), "partenum-parted")
     blocks = materialize(sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))

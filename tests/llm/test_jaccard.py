@@ -101,3 +101,23 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7]
     twice = docs_of(spark, [(1, "a b c"), (1, "a b c"), (1, "x y z"), (2, None), (2, None)])
     assert sorted((r.doc_id, r.text or "") for r in J.keep_first(twice).collect()) == [(1, "a b c"), (1, "x y z"), (2, ""), (2, "")]
+
+
+@pytest.mark.parametrize("block", [2, 30])
+def test_chance_ties_fall_apart(spark, block):
+    """Near copies of one text, texts that only share a passage with them, and sets so small that many signatures are
+    empty: one cluster of ties, parted into its groups whatever the block."""
+    rng = np.random.default_rng(9)
+    base, passage = [f"b{i}" for i in range(80)], " ".join(f"p{i}" for i in range(40))
+    texts = []
+    for i in range(45):
+        w = list(base)
+        w[int(rng.integers(0, 80))] = f"c{i}"
+        texts.append(" ".join(w))
+    texts += [passage + " " + " ".join(f"q{x}" for x in rng.integers(0, 10 ** 6, 30)) for _ in range(40)]
+    texts += [" ".join(f"s{x}" for x in rng.integers(0, 30, 6)) for _ in range(60)]
+    rows = list(enumerate(rng.permutation(texts).tolist()))
+    join = J.Join(3, 80)
+    root, _ = brute([t for _, t in rows], join.words, join.percent)
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(docs_of(spark, rows), join, block=block).collect()}
+    assert got == {d: rows[root[i]][0] for i, (d, _) in enumerate(rows)}
