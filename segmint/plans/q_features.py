@@ -217,3 +217,30 @@ def q_engineered_profile_stats(spark, sf):
     st = fitted_model(spark, sf).state
     df = FT.engineer_features(fx.labelled(spark, sf), st["monthly_threshold"], st["tenure_threshold"])
     return cluster_profiles(df).select("cluster_id", "tenure_group_mode", "high_value_pct", "auto_payment_pct", "family_status_mode")
+
+
+_PAIRS = " UNION ALL ".join(f"""SELECT {i} AS place, '{c}' AS "column", CAST("{c}" AS VARCHAR) AS value, customerID FROM {{src}} WHERE "{c}" IS NOT NULL""" for i, c in enumerate(S.CATEGORICAL))
+
+
+@register("sparse_one_hot", W("""SELECT customerID, CAST(idx AS INT) AS feature FROM pairs JOIN vocab USING (place, value)""", labelled=False, extra=SPLIT_CTES + f""",
+pairs AS ({_PAIRS.replace("{src}", "subscribers")}),
+known AS (SELECT DISTINCT place, value FROM ({_PAIRS.replace("{src}", "(SELECT * FROM splits WHERE split = 'train') t")}) q),
+vocab AS (SELECT place, value, row_number() OVER (ORDER BY place, value) - 1 AS idx FROM (
+  SELECT *, row_number() OVER (PARTITION BY place ORDER BY value) AS rn FROM known) q WHERE rn > 1)"""))
+def q_sparse_one_hot(spark, sf):
+    """The dummies of every account as numbers of features, from a vocabulary table."""
+    from segmint.operators.sparse import fit_vocabulary, sparse_rows
+    vocab, _ = fit_vocabulary(fixture_split(spark, sf).where("split = 'train'"), S.CATEGORICAL)
+    rows = sparse_rows(fx.subscribers(spark, sf), [], S.CATEGORICAL, vocab)
+    return rows.select("customerID", F.explode("indices").alias("feature"))
+
+
+@register("sparse_projection")
+def q_sparse_projection(spark, sf):
+    """Two components of the tenure, the monthly charge and all dummies, from sparse rows."""
+    from segmint.operators.sparse import fit_vocabulary, sparse_pca, sparse_rows
+    df = fx.subscribers(spark, sf)
+    vocab, n = fit_vocabulary(df, S.CATEGORICAL)
+    df = df.withColumns({"tenure": F.col("tenure") / 24.5, "MonthlyCharges": F.col("MonthlyCharges") / 30.0})
+    rows = sparse_rows(df, ["tenure", "MonthlyCharges"], S.CATEGORICAL, vocab)
+    return sparse_pca(rows, 2 + n)[0].select("customerID", "pc_1", "pc_2")
