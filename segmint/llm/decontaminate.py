@@ -45,9 +45,9 @@ def tile(doc: np.ndarray, at: np.ndarray, item: np.ndarray, n: int, most_pairs:
     """(position in the document, position in the item, length) of the tiles,
     longest first; of equal ones the first in the item, then in the document.
 
-    ``doc`` holds the covered tokens and ``at`` their positions. Texts so
-    repetitive that over ``most_pairs`` windows match have one tile for each
-    stretch of the item that the document holds, wherever it stands.
+    ``doc`` holds the covered tokens and ``at`` their positions. In texts so
+    repetitive that over ``most_pairs`` windows match, the same tiles are found
+    without a list of the pairs.
     """
     n = min(n, len(item))
     if not n or len(doc) < n:
@@ -58,9 +58,7 @@ def tile(doc: np.ndarray, at: np.ndarray, item: np.ndarray, n: int, most_pairs:
     left, right = np.searchsorted(hi[order], hd, "left"), np.searchsorted(hi[order], hd, "right")
     count = np.where(whole, right - left, 0)
     if count.sum() > most_pairs:
-        found = np.isin(hi, hd[whole])
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], found.view(np.int8), [0]])))
-        return [(int(at[0]), int(a), int(b - a + n - 1)) for a, b in zip(edge[::2], edge[1::2], strict=True)]
+        return _tile_by_rows(doc, at, item, n)
     p = np.repeat(np.arange(len(hd)), count)
     q = order[np.concatenate([np.arange(a, a + c) for a, c in zip(left[count > 0], count[count > 0], strict=True)])] if len(p) else p
     real = np.ones(len(p), bool)
@@ -83,21 +81,53 @@ def tile(doc: np.ndarray, at: np.ndarray, item: np.ndarray, n: int, most_pairs:
     return tiles
 
 
+def _tile_by_rows(doc: np.ndarray, at: np.ndarray, item: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """``tile`` with the match lengths of one item position at a time: memory
+    of the document's size, whatever matches. All tiles of the greatest length
+    are marked in one round, since those that don't overlap stay the longest."""
+    md, mi = np.zeros(len(doc), bool), np.zeros(len(item), bool)
+    goes_on = np.append(np.diff(at) == 1, False)
+    tiles = []
+    while True:
+        best, found = n, []
+        run = np.zeros(len(doc) + 1, np.int64)
+        for q in range(len(item) - 1, -1, -1):
+            here = (doc == item[q]) & ~md if not mi[q] else np.zeros(len(doc), bool)
+            run[:-1] = np.where(here, 1 + run[1:] * goes_on, 0)
+            top = int(run.max())
+            if top > best:
+                best, found = top, []
+            if top == best:
+                found.append((q, np.flatnonzero(run[:-1] == top)))
+        if not found:
+            return tiles
+        for q, places in reversed(found):
+            if mi[q:q + best].any():
+                continue
+            for p in places.tolist():
+                if not md[p:p + best].any():
+                    md[p:p + best], mi[q:q + best] = True, True
+                    tiles.append((int(at[p]), q, best))
+                    break
+
+
 def _items(benchmark: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(item, item_id, tokens, seeds): one row for each distinct id and text."""
+    """(item, item_id, tokens, n_tokens, seeds): one row for each distinct id and
+    text; a seed comes with the number of its places in the item."""
     src = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), utf8(text_col).alias("t")).distinct()
     src = src.withColumn("item", F.xxhash64("item_id", "t"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
             ts = [tokens(t) for t in b.column("t").to_pylist()]
-            seeds = [np.unique(s).view(np.int64) for s in shingle_hashes(ts, n)]
+            seeds = [np.unique(s, return_counts=True) for s in shingle_hashes(ts, n)]
+            seeds = [[{"seed": x, "places": c} for x, c in zip(u.view(np.int64).tolist(), m.tolist(), strict=True)] for u, m in seeds]
             yield pa.RecordBatch.from_arrays(
-                [b.column("item"), b.column("item_id"), pa.array([t.tobytes() for t in ts], pa.binary()),
-                 pa.array(seeds, pa.list_(pa.int64()))], ["item", "item_id", "tokens", "seeds"])
+                [b.column("item"), b.column("item_id"), pa.array([t.tobytes() for t in ts], pa.binary()), pa.array([len(t) for t in ts], pa.int64()),
+                 pa.array(seeds, pa.list_(pa.struct([("seed", pa.int64()), ("places", pa.int64())])))], ["item", "item_id", "tokens", "n_tokens", "seeds"])
 
     kind = benchmark.schema[id_col].dataType.simpleString()
-    return src.mapInArrow(run, f"item long, item_id {kind}, tokens binary, seeds array<long>")
+    return src.mapInArrow(run, f"item long, item_id {kind}, tokens binary, n_tokens long, seeds array<struct<seed:long,places:long>>")
 
 
 def _bitmap(seeds: DataFrame, bits: int) -> np.ndarray:
@@ -146,7 +176,7 @@ def covered(docs: DataFrame, seeds: DataFrame, n: int, bits: int, id_col: str, t
 
 
 def tile_coverage(docs: DataFrame, benchmark: DataFrame, n: int = 5, bits: int = 24, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                  item_col: str = "item_id", item_text_col: str = "text", least: float = 0.0) -> DataFrame:
     """(key, doc_id, item_id, item_words, covered_words, tiles, longest,
     coverage) for every document and item that share ``n`` words in a row.
 
@@ -154,12 +184,15 @@ def tile_coverage(docs: DataFrame, benchmark: DataFrame, n: int = 5, bits: int =
     of fewer than ``n`` words is met only by a text of the same words. Null,
     empty or wordless texts and items meet nothing; null ids are kept; other
     columns are not read; without documents or items the table is empty.
-    ``bits`` sets the size of the bitmap that every task reads.
+    ``bits`` sets the size of the bitmap that every task reads. Pairs whose
+    coverage cannot reach ``least`` are left out before they are tiled: a tile
+    of m words has m - n + 1 seeds, so w shared seeds cover n * w words at most.
     """
     items = materialize(_items(benchmark, item_col, item_text_col, n), "tiling-items")
-    seeds = items.select("item", F.explode("seeds").alias("seed"))
+    seeds = items.select("item", "n_tokens", F.explode("seeds").alias("s")).select("item", "n_tokens", "s.seed", "s.places")
     hits = materialize(covered(docs, seeds, n, bits, id_col, text_col).dropDuplicates(["key"]), "tiling-hits")
-    pairs = hits.select("key", F.explode("seeds").alias("seed")).join(seeds, "seed").select("key", "item").distinct()
+    pairs = hits.select("key", F.explode("seeds").alias("seed")).join(seeds, "seed").groupBy("key", "item", "n_tokens").agg(F.sum("places").alias("w"))
+    pairs = pairs.where(F.least(F.col("n_tokens"), n * F.col("w")) >= F.lit(least) * F.col("n_tokens")).select("key", "item")
     both = pairs.join(hits.select("key", "doc_id", "at", "tokens"), "key").join(
         items.select("item", "item_id", F.col("tokens").alias("item_tokens")), "item")
 
@@ -182,7 +215,7 @@ def tile_coverage(docs: DataFrame, benchmark: DataFrame, n: int = 5, bits: int =
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, **options) -> DataFrame:
     """The pairs whose item is covered to ``least`` or more."""
-    return tile_coverage(docs, benchmark, **options).where(F.col("coverage") >= least)
+    return tile_coverage(docs, benchmark, least=least, **options).where(F.col("coverage") >= least)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

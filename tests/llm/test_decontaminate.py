@@ -31,7 +31,11 @@ def test_tiles_equal_plain_greedy_tiling():
         item = rng.integers(0, v, int(rng.integers(1, 25))).astype(np.uint64)
         doc = rng.integers(0, v, int(rng.integers(0, 60))).astype(np.uint64)
         doc = np.concatenate([doc[:10], item[len(item) // 2:], doc[10:20], item[:len(item) // 2], doc[20:]])
-        assert D.tile(doc, np.arange(len(doc)), item, n) == greedy(doc.tolist(), item.tolist(), n)
+        want = greedy(doc.tolist(), item.tolist(), n)
+        assert D.tile(doc, np.arange(len(doc)), item, n) == want
+        assert D.tile(doc, np.arange(len(doc)), item, n, most_pairs=0) == want
+        gaps = np.arange(len(doc)) + 3 * (np.arange(len(doc)) >= len(doc) // 2)  # a stretch that isn't covered
+        assert D.tile(doc, gaps, item, n, most_pairs=0) == D.tile(doc, gaps, item, n)
 
 
 def test_running_hashes_are_of_the_window():
@@ -43,6 +47,16 @@ def test_running_hashes_are_of_the_window():
 def test_repetitive_texts_are_bounded():
     ones = np.ones(3000, np.uint64)
     assert D.tile(ones, np.arange(3000), ones[:100], 5, most_pairs=1000) == [(0, 0, 100)]
+    doc = np.tile(np.array([1, 1, 1, 1, 1, 1, 2], np.uint64), 30_000)  # no place holds more than six ones: each is used once
+    tiles = D.tile(doc, np.arange(len(doc)), np.ones(600, np.uint64), 5, most_pairs=1000)
+    assert [t[2] for t in tiles] == [6] * 100 and [t[:2] for t in tiles[:3]] == [(0, 0), (7, 6), (14, 12)]
+
+
+def test_pairs_that_cannot_reach_the_limit_are_not_tiled(spark):
+    items = spark.createDataFrame([(i, "read the text below and answer " + " ".join(f"i{i}w{k}" for k in range(40))) for i in range(20)], "item_id long, text string")
+    docs = docs_of(spark, [(100, "Read the text below and answer: something else"), (101, "x " + " ".join(f"i3w{k}" for k in range(25)))])
+    assert {(r.doc_id, r.item_id) for r in D.tile_coverage(docs, items, least=0.5).collect()} == {(101, 3)}
+    assert D.tile_coverage(docs, items).count() == 21 and [(r.doc_id, r.item_id) for r in D.contaminated(docs, items).collect()] == [(101, 3)]
 
 
 def test_coverage_equals_brute_force(spark):
