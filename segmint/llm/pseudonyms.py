@@ -10,6 +10,7 @@ result is valid in the same format. One pass over the rows, no shuffle.
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import re
 from collections.abc import Iterator
@@ -259,13 +260,15 @@ def pseudonymize_text(text: str, key: bytes) -> tuple[str, list[tuple[str, int,
         return text, []
     found: list[tuple[int, int, str, str]] = []
     for kind, form, change in KINDS:
-        taken = list(found)
+        taken = sorted(x[:2] for x in found)  # apart from each other, so the last that starts before an end decides
+        starts = [a for a, _ in taken]
+        free = lambda s, e: (i := bisect.bisect_left(starts, e)) == 0 or taken[i - 1][1] <= s  # noqa: E731, B023
         at = 0
         while m := form.search(text, at):
             s = m.start()
             at = s + 1 if kind in GROUPED else m.end()
             for e in _ends(kind, m):
-                if not any(a < e and s < b for a, b, _, _ in taken) and (new := change(text[s:e], key)) is not None:
+                if free(s, e) and (new := change(text[s:e], key)) is not None:
                     found.append((s, e, kind, new))
                     at = e
                     break

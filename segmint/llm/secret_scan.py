@@ -5,14 +5,17 @@ of key characters is encoded with a byte-pair vocabulary: words and ordinary
 identifiers are few tokens, random strings are many, so a low ratio of
 characters to tokens exposes them. Where words of a path or a key's name hide
 a random part from the ratio of the whole run, its pieces are tested one by
-one. Known digests and identifiers are left out of that test. The work is one
-pass over the rows, without a shuffle.
+one. Known digests and identifiers are taken out of the runs before any test,
+and base64 is judged by the text that it says. The work is one pass over the
+rows, without a shuffle.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -29,11 +32,15 @@ ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{24,}")  # runs are maximal, so this equals dropping the short ones
 RUN = re.compile(rb"[A-Za-z0-9+/_=-]{20,}")
-#: What has a known form and is no secret: digests of the usual lengths, UUIDs, plain numbers.
-DIGEST = re.compile(rb"(?:[0-9a-f]+|[0-9A-F]+)\Z")
-DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
-UUID = re.compile(rb"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
-UUID_IN = re.compile(rb"(?<![A-Za-z0-9+])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9+])")
+#: What has a known form and is no secret: digests of the usual lengths, UUIDs, ULIDs, integrity digests and key
+#: fingerprints (fixed forms).
+DIGEST_LENGTHS = (128, 96, 64, 56, 40, 32)
+KNOWN = re.compile(
+    rb"(?<![A-Za-z0-9])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-7][0-9A-HJKMNP-TV-Z]{25}|"
+    + b"|".join(b"[0-9a-f]{%d}|[0-9A-F]{%d}" % (n, n) for n in DIGEST_LENGTHS)
+    + rb")(?![A-Za-z0-9])|(?<![A-Za-z0-9])(?i:sha)(?:1[-:][A-Za-z0-9+/_-]{27}|256[-:][A-Za-z0-9+/_-]{43}|384[-:][A-Za-z0-9+/_-]{64}|512[-:][A-Za-z0-9+/_-]{86})"
+    rb"={0,2}(?![A-Za-z0-9+/_-])")
+PLAIN_TEXT = re.compile(rb"[\t\n\r\x20-\x7e]+\Z")
 PIECE = re.compile(rb"[A-Za-z0-9+]+")
 LEAST_PIECE = 12
 CLASSES = (re.compile(rb"[a-z]"), re.compile(rb"[A-Z]"), re.compile(rb"[0-9]"))
@@ -41,6 +48,7 @@ CLASSES = (re.compile(rb"[a-z]"), re.compile(rb"[A-Z]"), re.compile(rb"[0-9]"))
 # A cheap necessary condition for each pattern, so that most texts need no regex.
 ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _HEX_MAP = bytes(48 if chr(i) in "0123456789abcdef" else 32 for i in range(256))
+_URL64 = bytes.maketrans(b"-_", b"+/")
 _RUN_MAP = bytes(48 if RUN.match(bytes([i]) * 20) else 32 for i in range(256))
 
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
@@ -56,30 +64,41 @@ def _encoder(path: str):
 
 def is_random(run: bytes, vocabulary: str, max_ratio: float) -> bool:
     """Whether a run of key characters is at most ``max_ratio`` characters a
-    token, has two of lower case, upper case and digits, and is neither a
-    known digest, a UUID nor a path or name that only joins short words."""
+    token, has two of lower case, upper case and digits, and is neither of a
+    known form, nor a path or name that only joins short words, nor plain text
+    in base64."""
     if sum(bool(c.search(run)) for c in CLASSES) < 2:
         return False
-    if UUID.match(run) or len(run) in DIGEST_LENGTHS and DIGEST.match(run):
+    if (m := KNOWN.match(run)) and m.end() == len(run):
         return False
     if max(map(len, re.split(rb"[/_=-]+", run))) < LEAST_PIECE:
         return False
-    return _is_dense(run, vocabulary, max_ratio)
+    return _is_dense(run, vocabulary, max_ratio) and not _is_plain64(run, vocabulary, max_ratio)
 
 
 def _is_dense(run: bytes, vocabulary: str, max_ratio: float) -> bool:
     return len(run) <= max_ratio * len(_encoder(vocabulary).encode_ordinary(run.decode("ascii")))
 
 
+def _is_plain64(run: bytes, vocabulary: str, max_ratio: float) -> bool:
+    """Whether a run is base64 of printable text without a dense part."""
+    body = run.rstrip(b"=").translate(_URL64)
+    if len(body) < 16 or len(body) % 4 == 1 or b"=" in body:
+        return False
+    said = base64.b64decode(body + b"=" * (-len(body) % 4))
+    return bool(PLAIN_TEXT.match(said)) and not any(
+        _is_dense(p, vocabulary, max_ratio) for p in PIECE.findall(said) if len(p) >= LEAST_PIECE)
+
+
 def random_parts(run: bytes, vocabulary: str, max_ratio: float) -> list[tuple[int, int]]:
     """The whole run if it is random; otherwise its random pieces between
     ``/_=-``, each with the neighbours of few characters a token that one
     ``/``, ``_`` or ``-`` joins to it (base64 has these too) and its padding."""
     if is_random(run, vocabulary, max_ratio):
         return [(0, len(run))]
-    known = [m.span() for m in UUID_IN.finditer(run)]
+    if _is_plain64(run, vocabulary, max_ratio):
+        return []
     pieces = [m.span() for m in PIECE.finditer(run)]
-    pieces = [(s, e) for s, e in pieces if not any(a <= s and e <= b for a, b in known)] if known else pieces
 
     def joined(i: int) -> bool:  # piece i to the one after it
         return pieces[i + 1][0] - pieces[i][1] == 1 and run[pieces[i][1]] != ord("=")
@@ -109,12 +128,15 @@ def spans_of(text: bytes, vocabulary: str, max_ratio: float) -> list[tuple[str,
     if b"0" * 24 in text.translate(_HEX_MAP):
         found += [(2, *m.span()) for m in HEX.finditer(text)]
     if b"0" * 20 in text.translate(_RUN_MAP):
-        base = list(found)
-        for m in RUN.finditer(text):
+        base = sorted((a, b) for _, a, b in found)
+        starts, ends = [a for a, _ in base], list(itertools.accumulate((b for _, b in base), max))
+        inside = lambda s, e: (i := bisect.bisect_right(starts, s)) > 0 and ends[i - 1] >= e
+        # known forms leave their runs, so that what is around them is judged by itself
+        for m in RUN.finditer(KNOWN.sub(lambda k: b" " * len(k.group()), text)):
             s, e = m.span()
-            if not any(a <= s and e <= b for _, a, b in base):
+            if not inside(s, e):
                 parts = [(s + x, s + y) for x, y in random_parts(m.group(), vocabulary, max_ratio)]
-                found += [(3, x, y) for x, y in parts if not any(a <= x and y <= b for _, a, b in base)]
+                found += [(3, x, y) for x, y in parts if not inside(x, y)]
     if not found:
         return []
     if not text.isascii():
