@@ -7,8 +7,6 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle import compare, duck
 
-# many fits or merge rounds; their operators have tests of their own
-SLOW = {"kmeans_sweep", "elbow_curve", "select_k_business_rules", "silhouette_curve", "agglomerative_sweep", "best_linkage"}
 OWN = {n for n in E.queries() if n == "pipeline" or re.match(r"op\d+_", n)}  # tests/llm
 ORACLE = sorted(set(E.oracle_sql()) - OWN)
 
@@ -25,7 +23,7 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, msg
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(ORACLE) - SLOW - OWN))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(ORACLE) - OWN))
 def test_rows_only_queries_run(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = df.collect()
