@@ -83,7 +83,9 @@ def _nth_keys(ordered: DataFrame, targets: DataFrame, stratum: str) -> DataFrame
     cand = ordered.join(F.broadcast(hit.select(stratum, "_pid").distinct()), [stratum, "_pid"])
     wl = Window.partitionBy("_pid", stratum).orderBy("_k", "_id")
     cand = cand.withColumn("_local", F.row_number().over(wl) - 1)
-    return cand.join(F.broadcast(hit), [stratum, "_pid", "_local"]).select(stratum, "which", "_k", "_id")
+    # equal keys are in one partition
+    cand = cand.withColumn("_ties", F.count(F.lit(1)).over(Window.partitionBy("_pid", stratum, "_k", "_id")))
+    return cand.join(F.broadcast(hit), [stratum, "_pid", "_local"]).select(stratum, "which", "_k", "_id", "_ties")
 
 
 def split_stratified(df: DataFrame, stratum: str = "Churn", id_col: str = "customerID",
@@ -102,23 +104,21 @@ def split_stratified(df: DataFrame, stratum: str = "Churn", id_col: str = "custo
     strata = base.groupBy("_stratum").agg(F.count(F.lit(1)).alias("n_c"))
     quotas = split_quotas(strata, "_stratum", train_ratio, val_ratio, test_ratio)
     n_parts = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    b, ordered = _boundaries(base, quotas, n_parts)
-    at_edge = (F.struct("_k", "_id") == F.col("_b_val")) | (F.struct("_k", "_id") == F.col("_b_test"))
-    tied = ordered.join(F.broadcast(b), "_stratum").where(at_edge).groupBy("_stratum", "_k", "_id").count().where("count > 1")
-    if not tied.isEmpty():
+    b = _boundaries(base, quotas, n_parts)
+    if not b.where("_ties > 1").isEmpty():
         base = materialize(base.withColumn("_id", F.struct(F.col(id_col), F.monotonically_increasing_id().alias("place"))), "split-rows")
-        b, _ = _boundaries(base, quotas, n_parts)
+        b = _boundaries(base, quotas, n_parts)
     row = F.struct("_k", "_id")
     label = (F.when(F.col("_b_test").isNotNull() & (row >= F.col("_b_test")), "test")
              .when(F.col("_b_val").isNotNull() & (row >= F.col("_b_val")), "validation")
              .otherwise("train"))
     # strata x 2 boundary keys: bounded by the number of strata of the target
-    return base.join(F.broadcast(b), "_stratum", "left").withColumn(out, label).drop("_k", "_id", "_b_val", "_b_test", "_stratum")
+    return base.join(F.broadcast(b), "_stratum", "left").withColumn(out, label).drop("_k", "_id", "_b_val", "_b_test", "_ties", "_stratum")
 
 
-def _boundaries(base: DataFrame, quotas: DataFrame, n_parts: int) -> tuple[DataFrame, DataFrame]:
-    """(one row per stratum with the first key of validation and of test, the
-    keys in order)."""
+def _boundaries(base: DataFrame, quotas: DataFrame, n_parts: int) -> DataFrame:
+    """One row per stratum: the first key of validation and of test, and how
+    many rows share one of them."""
     ensure_checkpoint_dir(base.sparkSession)
     ordered = (base.select("_stratum", "_k", "_id")
                .repartitionByRange(n_parts, "_stratum", "_k", "_id")
@@ -129,8 +129,8 @@ def _boundaries(base: DataFrame, quotas: DataFrame, n_parts: int) -> tuple[DataF
                .unionByName(quotas.select("_stratum", F.col("n_keep").alias("pos"), F.lit("keep").alias("which"))))
     bounds = _nth_keys(ordered, targets, "_stratum")
     edge = lambda which: F.max(F.when(F.col("which") == which, F.struct("_k", "_id")))
-    b = bounds.groupBy("_stratum").agg(edge("train").alias("_b_val"), edge("keep").alias("_b_test"))
-    return materialize(b, "split-bounds"), ordered
+    b = bounds.groupBy("_stratum").agg(edge("train").alias("_b_val"), edge("keep").alias("_b_test"), F.max("_ties").alias("_ties"))
+    return materialize(b, "split-bounds")
 
 
 def split_summary(df: DataFrame, split_col: str = "split", target: str = "Churn", positive: str = "Yes") -> DataFrame:
