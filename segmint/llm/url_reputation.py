@@ -28,8 +28,11 @@ class Rule(NamedTuple):
 
 RULES = (Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"), Rule("block", "example.org", "/en/1"),
          Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"))
-#: Public suffixes of two names; all others are the last name alone.
-TWO_NAMES = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "co.nz", "co.in")
+#: Names under which a country registers domains, so that ``co.uk`` or ``com.mx`` is a public suffix, and sites whose
+#: users have a name each. All other suffixes are the last name alone.
+SECOND_NAMES = ("ac", "co", "com", "edu", "go", "gob", "gouv", "gov", "gv", "ltd", "mil", "ne", "net", "or", "org", "plc", "sch")
+SHARED_SITES = ("azurewebsites.net", "blogspot.com", "github.io", "gitlab.io", "herokuapp.com", "netlify.app", "pages.dev", "vercel.app", "web.app",
+                "wordpress.com")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -42,13 +45,19 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return lower_az(host), path
 
 
-def domain_and_suffix(host: Column, two_names: tuple[str, ...] = TWO_NAMES) -> tuple[Column, Column]:
+def _country_suffix(second: tuple[str, ...]) -> str:
+    return rf"^({'|'.join(second)})\.[a-z][a-z]$"
+
+
+def domain_and_suffix(host: Column, second: tuple[str, ...] = SECOND_NAMES, shared: tuple[str, ...] = SHARED_SITES) -> tuple[Column, Column]:
     """The registered domain and its public suffix, without user and port; an
-    address of numbers is its own domain under the empty suffix."""
+    address of numbers is its own domain under the empty suffix. A suffix has
+    two names where one of ``second`` stands before a country's two letters,
+    or where it is one of ``shared``."""
     name = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
     address = name.rlike(r"^[0-9.]+$") | name.startswith("[")
     last2 = F.substring_index(name, ".", -2)
-    two = last2.isin(*two_names)
+    two = last2.rlike(_country_suffix(second)) | last2.isin(*shared)
     suffix = F.when(address, "").when(two, last2).otherwise(F.substring_index(name, ".", -1))
     domain = F.when(address, name).when(two, F.substring_index(name, ".", -3)).otherwise(last2)
     return domain, suffix
@@ -156,7 +165,8 @@ WITH split AS (
 named AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM split),
 parts AS (
  SELECT *, string_split(name, '.') AS names, regexp_matches(name, '^[0-9.]+$') OR starts_with(name, '[') AS address,
-  array_to_string(list_slice(string_split(name, '.'), -2, -1), '.') IN ({', '.join(repr(x) for x in TWO_NAMES)}) AS two FROM named),
+  regexp_matches(array_to_string(list_slice(string_split(name, '.'), -2, -1), '.'), '{_country_suffix(SECOND_NAMES)}')
+    OR array_to_string(list_slice(string_split(name, '.'), -2, -1), '.') IN ({', '.join(repr(x) for x in SHARED_SITES)}) AS two FROM named),
 registered AS (
  SELECT page_id, host, path, CASE WHEN address THEN '' WHEN two THEN array_to_string(list_slice(names, -2, -1), '.') ELSE names[-1] END AS suffix,
   CASE WHEN address THEN name WHEN two THEN array_to_string(list_slice(names, -3, -1), '.') ELSE array_to_string(list_slice(names, -2, -1), '.') END AS domain

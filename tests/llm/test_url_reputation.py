@@ -30,12 +30,14 @@ def test_hosts_paths_and_rules(spark):
 
 
 def test_registered_domains(spark):
-    hosts = ["a.b.example.com", "x.co.uk", "a.x.co.uk", "u@h.org:8080", "10.0.0.1", "[::1]", "localhost", ""]
+    hosts = ["a.b.example.com", "x.co.uk", "a.x.co.uk", "u@h.org:8080", "10.0.0.1", "[::1]", "localhost", "", "a.com.mx", "b.gov.uk", "c.co.kr", "me.github.io", "co.xyz.net"]
     d, s = U.domain_and_suffix(F.col("h"))
     got = spark.createDataFrame([(h,) for h in hosts], "h string").select("h", d.alias("d"), s.alias("s")).collect()
     assert {r.h: (r.d, r.s) for r in got} == {"a.b.example.com": ("example.com", "com"), "x.co.uk": ("x.co.uk", "co.uk"), "a.x.co.uk": ("x.co.uk", "co.uk"),
                                               "u@h.org:8080": ("h.org", "org"), "10.0.0.1": ("10.0.0.1", ""), "[::1]": ("[::1]", ""),
-                                              "localhost": ("localhost", "localhost"), "": ("", "")}
+                                              "localhost": ("localhost", "localhost"), "": ("", ""), "a.com.mx": ("a.com.mx", "com.mx"),
+                                              "b.gov.uk": ("b.gov.uk", "gov.uk"), "c.co.kr": ("c.co.kr", "co.kr"), "me.github.io": ("me.github.io", "github.io"),
+                                              "co.xyz.net": ("xyz.net", "net")}
 
 
 def test_shrinkage_and_bound(spark):
@@ -55,3 +57,11 @@ def test_blocks_by_the_bound(spark):
     outcomes = spark.createDataFrame([(i, 1) for i in range(40)] + [(100 + i, 0) for i in range(80)] + [(100, 0), (None, 1), (101, None)], "page_id long, bad int")
     got = {(r.host, r.verdict) for r in U.judge_urls(pages, outcomes).collect()}
     assert got == {("spam.net", "block"), *((f"fine{i}.net", "allow") for i in range(4))}
+
+
+def test_null_ids_and_clashing_names(spark):
+    df = spark.createDataFrame([(None, "https://a.net/x"), (None, "https://a.net/x"), (1, None)], "page_id long, url string").withColumns(
+        {c: F.lit("z") for c in ("host", "domain", "suffix", "n", "k", "m", "prior", "bound", "rule", "verdict")})
+    bad = spark.createDataFrame([(None, 1), (1, 1), (1, 0)], "page_id long, bad int")
+    rows = U.judge_urls(df, bad).collect()
+    assert sorted((str(r.page_id), r.host) for r in rows) == [("1", ""), ("None", "a.net"), ("None", "a.net")]
