@@ -56,7 +56,7 @@ def test_run_gives_the_last_stage(spark):
 def test_registered():
     import __spark_entry__ as E
     names = [n for n in E.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(n.split("_")[0] for n in names) == sorted([*(f"op{i}" for i in range(1, 11)), "pipeline"])
+    assert sorted(n.split("_")[0] for n in names) == sorted([*(f"op{i}" for i in range(1, 14)), "pipeline"])
     assert jaccard.Join() == jaccard.Join(words=5, percent=80)
 
 
