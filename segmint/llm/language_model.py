@@ -24,6 +24,7 @@ own n-grams, and the part of the automaton that a block can reach comes back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segmint.llm.text import grouped, mix, pack_ints, pack_keys, unpack_ints, unpack_keys, utf8, word_hashes, words
-from segmint.session import materialize
+from segmint.session import ensure_checkpoint_dir, materialize
 
 END, START = np.uint64(0x51ED270B9A3F4D17), np.uint64(0xA0761D6478BD642F)
 
@@ -103,10 +104,10 @@ class Deal(NamedTuple):
     @classmethod
     def of(cls, words: int, tokens: int, order: int, part_keys: int) -> Deal:
         """Words have whole hashes. Longer n-grams have so many bits that one in
-        2^24 at most is taken for another, however many there are."""
+        2^20 at most is taken for another, however many there are."""
         log = lambda n: (max(1, n) - 1).bit_length()
         part = lambda n: log(-(-n // part_keys))
-        return cls((64, *(min(64, log(tokens) + 24) for _ in range(order - 1))),
+        return cls((64, *(min(64, log(tokens) + 20) for _ in range(order - 1))),
                    (part(words), *(part(tokens) for _ in range(order - 1))))
 
     @property
@@ -250,6 +251,19 @@ def tokenized(docs: DataFrame, held: Column, id_col: str, text_col: str, block_t
     return src.mapInArrow(run, _TOKENS.format(id=kind))
 
 
+def _bucketed(blocks: DataFrame, buckets: int) -> DataFrame:
+    """``blocks`` written in the shared folder in buckets by block, so that
+    answers travel to the blocks and the blocks stay. The table's name is only
+    needed to write it; its files stay without it."""
+    spark, name = blocks.sparkSession, f"lm_blocks_{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+    blocks.write.format("parquet").option("path", path).bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
+    written = spark.table(name)
+    written.schema  # resolved here, before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return written
+
+
 def _block(r: dict) -> Block:
     return Block(unpack_ints(r["words"], "<u4").astype(np.int64), unpack_keys(r["vocabulary"]),
                  np.array(r["lengths"], np.int64), np.array(r["held"], bool))
@@ -294,7 +308,7 @@ def _answered(asked: DataFrame, parts: int) -> DataFrame:
 
 
 def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 3,
-                block_tokens: int = 1_000_000, part_keys: int = 2_000_000) -> DataFrame:
+                block_tokens: int = 1_500_000, part_keys: int = 2_000_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     for every row of ``docs``; rows where ``held`` is true train nothing.
     ``order`` is the length of the longest n-grams, 1 or more.
@@ -304,7 +318,7 @@ def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
     kept; repeated rows count and are scored each. Without training rows the
     counts are 0 and every token has the one probability left. Other columns
     are not read. An empty table gives an empty table. Words are compared by
-    64-bit hashes, longer n-grams by so many bits that one in 2^24 at most is
+    64-bit hashes, longer n-grams by so many bits that one in 2^20 at most is
     taken for another. A task holds one block at a time, or one text if longer,
     or the keys of one part: about ``part_keys``, and as many parts as the
     tokens need.
@@ -312,40 +326,37 @@ def score_texts(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
     if order < 1:
         raise ValueError("order is 1 or more")
     held = F.coalesce(held, F.lit(False))
-    blocks = materialize(tokenized(docs, held, id_col, text_col, block_tokens), "lm-blocks")
+    blocks = _bucketed(tokenized(docs, held, id_col, text_col, block_tokens), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     size = blocks.agg(F.count("*"), *(F.coalesce(F.sum(c), F.lit(0)) for c in ("n_tokens", "n_words", "n_train"))).first()
-    n_blocks, tokens, n_words, train_docs = map(int, size)
+    _, tokens, n_words, train_docs = map(int, size)
     deal = Deal.of(n_words, tokens, order, part_keys)
     answers = materialize(_answered(_asked(blocks, order, deal), deal.parts), "lm-totals")
     stat = {r.level: r for r in answers.where("block is null").groupBy(F.shiftright("part", 40).alias("level")).agg(
         F.sum("n_all").alias("n"), F.sum("n_distinct").alias("distinct")).collect()}  # a row for each length
     n = Totals(stat[0].n if 0 in stat else 0, tuple(stat[i].distinct if i in stat else 0 for i in range(order)))
-    both = blocks.drop("n_tokens", "n_words", "n_train").withColumns(
-        {"part": F.lit(-1).cast("long"), "totals": F.lit(None).cast("binary")}).unionByName(
-        answers.where("block is not null").select("block", "part", "totals"), allowMissingColumns=True)
     id_kind = docs.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in grouped(batches, ("block",)):
-            b, answer = _block(rows[0]), {r["part"]: r["totals"] for r in rows[1:]}
-            levels = gram_levels(b, order)
-            counts = []
-            for by, _, which, _ in deal.keys(levels):
-                counts.append(np.empty(len(by), np.int64))
-                if len(by):
-                    counts[-1][by] = np.concatenate([unpack_ints(answer[p], np.int64) for p in which.tolist()])
-            gain = traverse(b, automaton(b, levels, counts, n, train_docs), order)
-            c = counts[0][b.word]
-            known = np.add.reduceat((c > 0).astype(np.int64), b.at)
-            base = np.add.reduceat(np.log10((c + 1) / (n.tokens + n.distinct[0] + 1)), b.at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0]["doc_ids"], ids), pa.array(b.held), pa.array(b.lengths), pa.array(known),
-                 pa.array(np.full(len(known), n.tokens)), pa.array(base), pa.array(np.add.reduceat(gain, b.at))],
-                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        (row,), answer = block.to_pylist(), dict(zip(answers["part"].to_pylist(), answers["totals"].to_pylist(), strict=True))
+        b = _block(row)
+        levels = gram_levels(b, order)
+        counts = []
+        for by, _, which, _ in deal.keys(levels):
+            counts.append(np.empty(len(by), np.int64))
+            if len(by):
+                counts[-1][by] = np.concatenate([unpack_ints(answer[p], np.int64) for p in which.tolist()])
+        gain = traverse(b, automaton(b, levels, counts, n, train_docs), order)
+        c = counts[0][b.word]
+        known = np.add.reduceat((c > 0).astype(np.int64), b.at)
+        base = np.add.reduceat(np.log10((c + 1) / (n.tokens + n.distinct[0] + 1)), b.at)
+        return pa.Table.from_arrays(
+            [pa.array(row["doc_ids"], ids), pa.array(b.held), pa.array(b.lengths), pa.array(known),
+             pa.array(np.full(len(known), n.tokens)), pa.array(base), pa.array(np.add.reduceat(gain, b.at))],
+            ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     from pyspark.sql.pandas.types import to_arrow_type
     ids = to_arrow_type(docs.schema[id_col].dataType)
-    return both.repartition(max(1, n_blocks), "block").sortWithinPartitions("block", "part").mapInArrow(
+    return blocks.groupBy("block").cogroup(answers.where("block is not null").select("part", "block", "totals").groupBy("block")).applyInArrow(
         run, f"doc_id {id_kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
