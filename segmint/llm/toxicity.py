@@ -39,6 +39,11 @@ class Model(NamedTuple):
     bias: float
 
 
+def few_rows(batch: pa.RecordBatch, most: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batch in slices, so that only few texts are Python objects at a time."""
+    return (batch.slice(i, most) for i in range(0, batch.num_rows, most))
+
+
 def word_features(word: bytes, g: Grams) -> list[int]:
     s, shift = b" " + word + b" ", 32 - g.bits
     return list({zlib.crc32(s[i:i + n], n) >> shift for n in range(g.shortest, g.longest + 1) for i in range(len(s) - n + 1)})
@@ -83,7 +88,7 @@ def fit(features: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, g:
 class _Words(dict):
     """word -> its part of the score, remembered for up to ``keep`` words."""
 
-    def __init__(self, m: Model, keep: int = 400_000):
+    def __init__(self, m: Model, keep: int = 100_000):
         super().__init__()
         self.model, self.keep = m, keep
 
@@ -113,11 +118,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 4000, grams: Grams =
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), utf8(text_col).alias("t")).join(F.broadcast(chosen), "id")
 
     def featurize(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts:
-            got = [text_features(t, grams) for t in b.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("h"), b.column("y"), pa.array([f.astype("<i4").tobytes() for f, _ in got], pa.binary()),
-                 pa.array([v.astype("<i4").tobytes() for _, v in got], pa.binary()), b.column("id")], ["h", "y", "f", "v", "id"])
+        for batch in parts:
+            for b in few_rows(batch):
+                got = [text_features(t, grams) for t in b.column("t").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("h"), b.column("y"), pa.array([f.astype("<i4").tobytes() for f, _ in got], pa.binary()),
+                     pa.array([v.astype("<i4").tobytes() for _, v in got], pa.binary()), b.column("id")], ["h", "y", "f", "v", "id"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = (texts.withColumn("h", F.xxhash64("t")).mapInArrow(featurize, f"h long, y int, f binary, v binary, id {kind}")
@@ -132,6 +138,12 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> Dat
     null or empty text has the model's base rate; other nulls pass through;
     repeated rows each get theirs; an empty table gives an empty table."""
     out, raw = free_name(docs, "toxicity"), free_name(docs, "utf8")
+    kind = docs.schema[text_col].dataType
+    if isinstance(kind, T.StringType):  # its Arrow bytes are the text in UTF-8, so it need not travel twice
+        sent, raw = docs, docs.schema[text_col].name
+    else:
+        sent = docs.withColumn(raw, utf8(text_col))
+    same = sent is docs
     shared = docs.sparkSession.sparkContext.broadcast(
         (tuple(model.grams), model.weights.astype(np.float64).tobytes(), model.bias))  # 2**bits numbers, whatever the data
 
@@ -139,11 +151,12 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> Dat
         g, w, b = shared.value
         cache = _Words(Model(Grams(*g), np.frombuffer(w), b))
         for batch in parts:
-            score = [score_of(t, cache) for t in batch.column(raw).to_pylist()]
-            keep = [c for c in batch.schema.names if c != raw]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(score, pa.float64())], [*keep, out])
+            for b in few_rows(batch):
+                score = [score_of(t or b"", cache) for t in b.column(raw).cast(pa.binary()).to_pylist()]
+                keep = [c for c in b.schema.names if same or c != raw]
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(score, pa.float64())], [*keep, out])
 
-    return docs.withColumn(raw, utf8(text_col)).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
+    return sent.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def held_out(column: str = "doc_id"):

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from conftest import SF_MID
 
 from fixtures import awkward, docs_of, table
@@ -51,3 +52,15 @@ def test_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     rows = X.toxicity_scores(docs_of(spark, [(1, "a"), (2, None)]), labels).collect()
     assert [r.score for r in rows] == [0.5, 0.5]
+
+
+def test_texts_travel_once_and_in_slices(spark):
+    docs = spark.createDataFrame([(i, None if i % 7 == 0 else f"word{i} abc" * (i % 5)) for i in range(600)], "doc_id long, text string")
+    model = X.Model(X.Grams(), np.arange(1 << 18) / 1e6, 0.25)
+    out = X.score_toxicity(docs, model)
+    assert "utf8" not in out._jdf.queryExecution().analyzed().toString()
+    cache = X._Words(model)
+    want = {i: X.score_of((t or "").encode(), cache) for i, t in docs.collect()}
+    assert {r.doc_id: r.toxicity for r in out.collect()} == want
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600))], ["x"])
+    assert [b.num_rows for b in X.few_rows(batch)] == [256, 256, 88]
