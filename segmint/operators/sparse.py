@@ -46,7 +46,7 @@ def sparse_rows(df: DataFrame, numeric: list[str], cols: list[str], vocab: DataF
     nums = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), x.alias("x")) for i, x in enumerate(number)]), lambda s: s["x"] != 0.0) if numeric else None
     cats = F.coalesce("_cats", F.array().cast("array<int>"))
     ones = F.transform(cats, lambda _: F.lit(1.0))
-    out = base.join(found, "_row", "left")
+    out = base.join(found.hint("merge"), "_row", "left")  # rows on both sides: their files are small, they are not
     if nums is None:
         return out.select(*[F.col(_q(c)) for c in keep], cats.alias("indices"), ones.alias("values"))
     return out.withColumn("_nums", nums).select(*[F.col(_q(c)) for c in keep], F.concat(F.transform("_nums", lambda s: s["i"]), cats).alias("indices"),

@@ -1,6 +1,7 @@
 """Sparse encoding and projection against dense numpy."""
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from segmint.operators.sparse import fit_vocabulary, sparse_pca, sparse_rows
 
@@ -37,3 +38,12 @@ def test_a_hundred_thousand_features(spark):
                                    "array(cast(id % 2 * 10 as double), 3D, 1D) values")
     out, load, ratio = sparse_pca(df, d, 1, max_iter=4)
     assert load.shape == (d, 1) and abs(load[0, 0]) > 0.99 and 0.5 < ratio[0] < 1 and out.count() == n
+
+
+def test_rows_are_never_broadcast(spark):
+    df = spark.createDataFrame([(str(i), f"v{i % 3}") for i in range(50)], "customerID string, c string")
+    vocab, _ = fit_vocabulary(df, ["c"])
+    out = sparse_rows(df, [], ["c"], vocab).select("customerID", F.explode("indices").alias("feature"))
+    joins = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line and "_row" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+    assert out.count() == 33
