@@ -44,3 +44,18 @@ def test_far_boxes_are_few_and_right():
     w = tree.shares(node, z).sum(axis=0)
     mid = np.sqrt(((tree.nodes(t)[:, None] - tree.nodes(node)[None]) ** 2).sum(axis=2)) @ w
     np.testing.assert_allclose(tree.shares(t, y) @ mid, direct, rtol=1e-10)
+
+
+def test_blocks_do_not_grow_with_shuffle_partitions(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x, lab = rng.normal(size=(2000, 3)), rng.integers(0, 3, 2000)
+    df = spark.createDataFrame([(str(i), *map(float, p), int(c)) for i, (p, c) in enumerate(zip(x, lab))], "customerID string, a double, b double, c double, cluster_id int")
+    seen, to_all, before = [], M.to_all, spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(M, "to_all", lambda chunks, blocks: seen.append(blocks) or to_all(chunks, blocks))
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        got = M.silhouette_score(df, list("abc")).first().silhouette
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] <= 2 * spark.sparkContext.defaultParallelism
+    assert got == pytest.approx(np.mean([t[2] for t in brute_silhouette(x, lab).values()]), abs=1e-9)
