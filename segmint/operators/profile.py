@@ -192,7 +192,8 @@ def silhouette_plot_data(samples: DataFrame, id_col: str = "customerID", digits:
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     m = 10.0 ** digits
     key = F.floor(F.col("silhouette") * F.lit(m) + F.lit(0.5))
-    s = samples.withColumn("_v", key).repartitionByRange(n_parts, "cluster_id", "_v", id_col)
+    s = materialize(samples.withColumn("_v", key), "plot-values")  # the range sort reads its rows twice
+    s = s.repartitionByRange(n_parts, "cluster_id", "_v", id_col)
     s = materialize(s.sortWithinPartitions("cluster_id", "_v", id_col).withColumn("_p", F.spark_partition_id()), "plot-samples")
     counts = s.groupBy("_p", "cluster_id").agg(F.count(F.lit(1)).alias("_n"))
     before = counts.withColumn("_off", F.coalesce(F.sum("_n").over(  # partitions x clusters rows
