@@ -100,7 +100,8 @@ def split_stratified(df: DataFrame, stratum: str = "Churn", id_col: str = "custo
     key = order_key if order_key is not None else F.xxhash64(F.lit(seed), F.col(id_col))
     # a null target counts as the other class, as in binarize_target
     value = F.when(F.col(stratum).isNull(), F.lit(negative).cast(dict(df.dtypes)[stratum])).otherwise(F.col(stratum))
-    base = df.withColumn("_k", key).withColumn("_id", F.struct(F.col(id_col))).withColumn("_stratum", value)
+    # written once: the strata, the boundaries and the labelled rows each read it
+    base = materialize(df.withColumn("_k", key).withColumn("_id", F.struct(F.col(id_col))).withColumn("_stratum", value), "split-base")
     strata = base.groupBy("_stratum").agg(F.count(F.lit(1)).alias("n_c"))
     quotas = split_quotas(strata, "_stratum", train_ratio, val_ratio, test_ratio)
     n_parts = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

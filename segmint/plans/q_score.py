@@ -16,7 +16,7 @@ from segmint.plans import sqlkit as K
 from segmint.plans.q_features import FEATS_CTE, FEATURE_NAMES, FIT_CTE, fitted_model
 from segmint.plans.q_split import SPLIT_CTES, fixture_split
 from segmint.plans.registry import register
-from segmint.session import ensure_checkpoint_dir
+from segmint.session import ensure_checkpoint_dir, materialize
 from segmint.sources import fixtures as fx
 from segmint.streaming import stream as ST
 
@@ -86,12 +86,17 @@ def given_centers(spark, sf):
     return [[r[f"k_{i}"] for i in range(len(m.feature_names))] for r in rows.orderBy("Contract").collect()]
 
 
+def _accounts(spark, sf):
+    """All accounts, as the session's split has them: made once."""
+    return fixture_split(spark, sf).drop("split")
+
+
 def model_dir(spark, sf) -> str:
     """The session's model directory; a first version is published where there is none."""
     folder = f"{ensure_checkpoint_dir(spark)}/models/{hashlib.sha256(sf.encode()).hexdigest()[:16]}"
     if latest_version(spark, folder) is None:
-        named, actions = _tables(spark, sf)
-        publish(folder, fitted_model(spark, sf), given_centers(spark, sf), named, actions)
+        named = materialize(P.assign_names(P.cluster_profiles(fx.label_fixed(_accounts(spark, sf)))), "segments")
+        publish(folder, fitted_model(spark, sf), given_centers(spark, sf), named, P.business_actions(named))
     return folder
 
 
@@ -103,7 +108,7 @@ def _score(spark, sf, customers):
 def q_score_customers(spark, sf):
     """Every account scored by the saved model: fitted features, the nearest of
     its centroids, and the segment's name, churn, share, actions and risk level."""
-    return _score(spark, sf, fx.subscribers(spark, sf))
+    return _score(spark, sf, _accounts(spark, sf))
 
 
 @register("score_report", _LOOKUP, doubles=("churn_rate", "size_pct"))
