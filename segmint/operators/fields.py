@@ -2,8 +2,9 @@
 
 Points lie in the leaves of a k-d tree. What is far from a box, measured by the
 sizes of both, sees the box's points as weights at its Chebyshev nodes, and
-sums at its own nodes are carried on to its points: |x - y| is smooth there, so
-``NODES`` nodes a side are right to about the last digits of a double. Boxes
+sums at its own nodes are carried on to its parts and at last to its points, so
+boxes of all sizes meet, not only leaves: |x - y| is smooth there, so
+``NODES`` nodes a side are right to about the last digits of a double. Leaves
 that are near each other meet point by point. A block is a subtree, or a part
 of one; it gets the nodes and points that some leaf of it needs, once, so what
 travels grows about as the rows do. The tree is bounded (``LEAVES``) and made of
@@ -24,7 +25,7 @@ from segmint.operators.strips import TILE, hold_and_stream, pack, sq_distances,
 from segmint.session import materialize
 
 NODES = 12
-APART = 3.0
+APART = 2.0
 LEAVES = 1 << 14
 
 
@@ -178,20 +179,51 @@ class Sums:
         self.leaves, self.first = np.unique(points[:, 0].astype(np.int64), return_index=True)
         self.ends = np.append(self.first, len(points))
         self.sums = np.zeros((len(points), len(keys)))
-        at = [tree.nodes(i) for i in self.leaves]
+        # the held leaves, then the boxes that hold them, level by level up to the whole
+        self.levels, self.under = [self.leaves], []
+        while self.levels[-1][0]:
+            boxes, first = np.unique((self.levels[-1] - 1) // 2, return_index=True)
+            self.levels.append(boxes)
+            self.under.append(first)
+        self.offs = np.cumsum([0] + [len(boxes) for boxes in self.levels])
+        at = [tree.nodes(i) for boxes in self.levels for i in boxes]
         self.node_ends = np.cumsum([0] + [len(a) for a in at])
         self.at = np.concatenate(at)
         self.fields = np.zeros((len(self.at), len(keys)))
+        self.near: dict[int, np.ndarray] = {}
+
+    def _near(self, node: int) -> np.ndarray:
+        """Which held leaves are far neither from a node nor from one that holds
+        it: rounding can make a leaf far from a box and not from its parts."""
+        if node not in self.near:
+            far = self.tree.far(self.leaves, node)
+            self.near[node] = ~far & self._near((node - 1) // 2) if node else ~far
+        return self.near[node]
+
+    def _largest(self, leaves: np.ndarray, node: int) -> np.ndarray:
+        """The largest boxes that are far from a node and hold none but the
+        given leaves (a flag for each), which they hold all together."""
+        out, use = [], leaves
+        for boxes, first in zip(self.levels[1:], self.under, strict=True):
+            over = np.logical_and.reduceat(use, first)
+            if over.any():
+                over &= self.tree.far(boxes, node)
+            out.append(use & ~np.repeat(over, np.diff(np.append(first, len(use)))))
+            use = over
+            if not use.any():
+                break
+        else:
+            out.append(use)
+        return np.flatnonzero(np.concatenate(out))
 
     def add(self, row: dict) -> None:
         node = row["node"]
-        far = self.tree.far(self.leaves, node)
         if row["w"] is None:
-            use = np.flatnonzero(~far)
+            use = np.flatnonzero(self._near(node))
             y, keys, w = weights_of(np.frombuffer(row["x"], "<f8").reshape(row["n"], -1), np.frombuffer(row["labels"], "<i4").reshape(row["n"], -1))
             x, ends, out = self.x, self.ends, self.sums
         else:
-            use = np.flatnonzero(far & ~self.tree.far(self.leaves, (node - 1) // 2) if node else far)
+            use = self._largest(~self._near(node) & self._near((node - 1) // 2) if node else ~self._near(0), node)
             keys = np.frombuffer(row["keys"], "<i8")
             y, w = self.tree.nodes(node), np.frombuffer(row["w"], "<f8").reshape(row["n"], -1)
             x, ends, out = self.at, self.node_ends, self.fields
@@ -205,6 +237,12 @@ class Sums:
             out[some[:, None], at] += np.sqrt(d, out=d) @ w
 
     def whole(self) -> np.ndarray:
+        for level in range(len(self.under), 0, -1):
+            first = self.under[level - 1]
+            for i, (box, a, b) in enumerate(zip(self.levels[level], first, np.append(first[1:], len(self.levels[level - 1])), strict=True)):
+                k = self.offs[level] + i
+                lo, hi = (self.node_ends[self.offs[level - 1] + j] for j in (a, b))
+                self.fields[lo:hi] += self.tree.shares(box, self.at[lo:hi]) @ self.fields[self.node_ends[k]:self.node_ends[k + 1]]
         for i, leaf in enumerate(self.leaves):
             a, b = self.ends[i], self.ends[i + 1]
             self.sums[a:b] += self.tree.shares(leaf, self.x[a:b]) @ self.fields[self.node_ends[i]:self.node_ends[i + 1]]

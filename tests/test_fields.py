@@ -59,3 +59,55 @@ def test_blocks_do_not_grow_with_shuffle_partitions(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert seen[0] <= 2 * spark.sparkContext.defaultParallelism
     assert got == pytest.approx(np.mean([t[2] for t in brute_silhouette(x, lab).values()]), abs=1e-9)
+
+
+def _sums_by_boxes(x, lab, depth, tree_class=fields.Tree):
+    """(sums of the held rows, their points): the leaves of one subtree get what
+    they want, as in a task."""
+    tree = tree_class(x[::5], depth)
+    leaf = tree.leaf_of(x)
+    at = np.unique(leaf)
+    tree.set_boxes(at, np.array([x[leaf == i].min(axis=0) for i in at]), np.array([x[leaf == i].max(axis=0) for i in at]), np.array([(leaf == i).sum() for i in at]))
+    row = lambda i: dict(leaf=int(i), node=int(i), n=int((leaf == i).sum()), x=x[leaf == i].tobytes(), labels=lab[leaf == i].tobytes(), w=None, keys=None)
+    keys, w = np.unique(lab), {}
+    for i in at:
+        y, k, hot = fields.weights_of(x[leaf == i], lab[leaf == i])
+        full = np.zeros((len(y), len(keys)))
+        full[:, np.searchsorted(keys, k)] = hot
+        w[int(i)] = tree.shares(i, y).T @ full
+    for i in range((1 << depth) - 2, -1, -1):
+        parts = [j for j in (2 * i + 1, 2 * i + 2) if j in w]
+        if parts:
+            w[i] = sum(tree.shares(i, tree.nodes(j)).T @ w[j] for j in parts)
+    held = [int(i) for i in at if (i - (1 << depth) + 1) >> (depth - 2) == 1]
+    work = fields.Sums([row(i) for i in held], tree, keys.astype(np.int64))
+    for node, raw, sub in tree.wanted(2):
+        if sub == 1:
+            work.add(row(node) if raw else dict(node=node, n=len(w[node]), w=w[node].tobytes(), keys=keys.astype("<i8").tobytes()))
+    return work.whole(), np.concatenate([x[leaf == i] for i in held])
+
+
+class _Rounded(fields.Tree):
+    """Some boxes that are far by their sizes are taken for near ones, as rounding can do."""
+
+    def far(self, leaves, node):
+        return super().far(leaves, node) & ((np.asarray(leaves) * 31 + node * 17) % 3 > 0)
+
+
+@pytest.mark.parametrize("tree_class", [fields.Tree, _Rounded])
+def test_every_point_is_counted_once(tree_class):
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.integers(0, 72, 6000) / 24.5, np.round(rng.uniform(0.6, 4.0, 6000), 2)])
+    lab = rng.integers(0, 3, (6000, 1)).astype("<i4")
+    got, points = _sums_by_boxes(x, lab, 7, tree_class)
+    d = np.sqrt(((points[:, None] - x[None]) ** 2).sum(axis=2))
+    np.testing.assert_allclose(got, d @ np.eye(3)[lab[:, 0]], rtol=1e-10)
+
+
+def test_large_boxes_meet_large_boxes(monkeypatch):
+    rng = np.random.default_rng(4)
+    x, lab, pairs = rng.uniform(size=(20_000, 2)), np.zeros((20_000, 1), "<i4"), [0]
+    keep = fields.sq_distances
+    monkeypatch.setattr(fields, "sq_distances", lambda a, b: pairs.__setitem__(0, pairs[0] + len(a) * len(b)) or keep(a, b))
+    _sums_by_boxes(x, lab, 7)
+    assert pairs[0] < 28_000_000  # of 100 million
