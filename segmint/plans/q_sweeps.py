@@ -31,10 +31,7 @@ def _scores(spark, sf):
     pts = lab.select("customerID", *fx.fixed_point_columns(), *[F.expr(f"cast(floor({band} * {k} / 13) as int)").alias(f"{f}_{k}") for f, band in _BANDS.items() for k in KS])
     pts = materialize(pts, "given-partitions")
     names = [f"{f}_{k}" for f in _BANDS for k in KS]
-    rows = None
-    for name in names:
-        row = M.inertia(pts, XY, name).withColumn("labeling", F.lit(name))
-        rows = row if rows is None else rows.unionByName(row)
+    rows = M.inertia(pts, XY, names)
     sil = M.silhouette_score(pts, XY, names).select("labeling", "silhouette")
     part = F.split("labeling", "_")
     return materialize(sil.join(rows, "labeling").select(part[0].alias("family"), part[1].cast("int").alias("k"), F.col("silhouette"), F.col("inertia")), "given-scores")

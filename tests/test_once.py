@@ -54,3 +54,13 @@ def test_a_mean_silhouette_carries_no_ids(spark, monkeypatch):
     assert "rows" not in points.columns and points.select(F.explode("ids").alias("i")).where("i IS NOT NULL").isEmpty()
     want = M.silhouette_samples(df, ["a", "b"], leaf=32).agg(F.avg("silhouette"), F.count(F.lit(1))).first()
     assert got.n == want[1] == 900 and abs(got.silhouette - want[0]) < 1e-12
+
+
+def test_inertias_of_many_labelings_share_two_passes(spark):
+    rng = np.random.default_rng(9)
+    rows = [(*map(float, p), int(i % 3), None if i % 7 == 0 else int(i % 5), 4) for i, p in enumerate(rng.normal(size=(200, 2)))]
+    df, made = counted(spark, spark.createDataFrame(rows, "a double, b double, l0 int, l1 int, l2 int"))
+    got = {r.labeling: r.inertia for r in M.inertia(df, ["a", "b"], ["l0", "l1", "l2"]).collect()}
+    assert made.value <= 400
+    for name in ("l0", "l1", "l2"):
+        assert abs(got[name] - M.inertia(df, ["a", "b"], name).first().inertia) < 1e-9
