@@ -21,6 +21,10 @@ def _q(c: str) -> str:
     return "`" + c.replace("`", "``") + "`"
 
 
+#: Values of a vocabulary that every task may hold.
+_SMALL = 100_000
+
+
 def fit_vocabulary(df: DataFrame, cols: list[str], drop_first: bool = True) -> tuple[DataFrame, int]:
     """((column, value, index), how many): the distinct values, nulls left out,
     numbered from 0 in the order of ``cols``, then of values; without the first
@@ -37,10 +41,13 @@ def sparse_rows(df: DataFrame, numeric: list[str], cols: list[str], vocab: DataF
     """(keep..., indices, values) of every row: the numeric columns that are not
     0 under their place in ``numeric``, then 1 under len(numeric) + index for
     each categorical value that the vocabulary has. Unknown values and nulls
-    have no entry, a null number is one of NaN. Repeated rows stay rows."""
+    have no entry, a null number is one of NaN. Repeated rows stay rows. Spark
+    would broadcast the smaller file, which can be that of the rows: so a
+    vocabulary of up to ``_SMALL`` values is broadcast, a larger one merged."""
     base = materialize(df.select(*[F.col(_q(c)) for c in dict.fromkeys([*keep, *numeric, *cols])]).withColumn("_row", F.monotonically_increasing_id()), "sparse-base")
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(_q(c)).cast("string").alias("value")) for c in cols]))
-    found = base.select("_row", each.alias("p")).select("_row", "p.*").where("value is not null").join(vocab, ["column", "value"])
+    found = base.select("_row", each.alias("p")).select("_row", "p.*").where("value is not null")
+    found = found.join(vocab.hint("broadcast" if vocab.limit(_SMALL + 1).count() <= _SMALL else "merge"), ["column", "value"])
     found = found.groupBy("_row").agg(F.sort_array(F.collect_list((F.col("index") + len(numeric)).cast("int"))).alias("_cats"))  # one for each column at most
     number = [F.coalesce(F.col(_q(c)).cast("double"), F.lit(float("nan"))) for c in numeric]
     nums = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), x.alias("x")) for i, x in enumerate(number)]), lambda s: s["x"] != 0.0) if numeric else None

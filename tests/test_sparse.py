@@ -47,3 +47,17 @@ def test_rows_are_never_broadcast(spark):
     joins = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line and "_row" in line]
     assert joins and all("SortMergeJoin" in line for line in joins)
     assert out.count() == 33
+
+
+def test_the_vocabulary_is_broadcast_or_merged_but_not_the_rows(spark, monkeypatch):
+    from segmint.operators import sparse
+    words = spark.range(5000).selectExpr("'c' customerID", "concat('v', id) c")
+    vocab, n = fit_vocabulary(words, ["c"], drop_first=False)
+    few = words.limit(7)  # a smaller file than the vocabulary's
+    for most, kind in ((n, "BroadcastHashJoin"), (n - 1, "SortMergeJoin")):
+        monkeypatch.setattr(sparse, "_SMALL", most, raising=False)
+        out = sparse_rows(few, [], ["c"], vocab)
+        plan = out._jdf.queryExecution().executedPlan().toString().splitlines()
+        joins = [line for line in plan if "Join" in line and "value#" in line]
+        assert joins and all(kind in line and "BuildLeft" not in line for line in joins)
+        assert out.selectExpr("sum(size(indices))").first()[0] == 7
