@@ -174,3 +174,37 @@ def test_distances_are_exact_where_it_matters():
     want = ((a[:, None] - b[None]) ** 2).sum(-1)
     got = sq_distances(a, b, (0.0, float(want[3, 30])))
     assert np.allclose(got, want) and (got[want == 0] == 0).all() and got[3, 30] == pytest.approx(want[3, 30], abs=1e-12)
+
+
+def test_pairs_within_a_reach_are_those_of_all_differences():
+    from segmint.operators.strips import Distances
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=(700, 9)) + 1e4, rng.normal(size=(300, 9)) + 1e4
+    a[3], a[400] = b[7], b[9] + 1e-9
+    want = np.sqrt(((a[:, None] - b[None]) ** 2).sum(axis=2))
+    r, c, d = Distances(b).within(a, 1.5)
+    assert set(zip(r.tolist(), c.tolist(), strict=True)) == set(zip(*(x.tolist() for x in np.nonzero(want <= 1.5)), strict=True))
+    np.testing.assert_allclose(d, want[r, c], rtol=1e-12)
+    assert Distances(b).within(a, 9.0) is None  # too many to list
+
+
+def test_silhouettes_of_many_features_group_rows_and_leave_out_noise(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(900, 6))
+    x[100:110] = x[0]
+    labels = {"few": np.where(x[:, 0] > 0.5, 1, 0), "many": np.where(x[:, 1] > 0, rng.integers(0, 40, 900), -1), "none": np.full(900, -1)}
+    noise = x[:, 2] < -0.5
+    labels = {c: np.where(noise, -1, v) for c, v in labels.items()}
+    cols = [f"x{i}" for i in range(6)]
+    df = spark.createDataFrame([(str(i), *x[i].tolist(), *(int(v[i]) for v in labels.values())) for i in range(900)],
+                               "customerID string, " + ", ".join(f"{c} double" for c in cols) + ", " + ", ".join(f"{c} int" for c in labels))
+    assert M._labelled_chunks(df, cols, list(labels), "customerID")[1] == 900 - noise.sum()  # noise meets nothing
+    got = {(r.labeling, r.customerID): r for r in M.silhouette_samples(df.repartition(3), cols, list(labels)).collect()}
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    assert len(got) == sum((v >= 0).sum() for v in labels.values())
+    for (name, i), r in got.items():
+        v, i = labels[name], int(i)
+        means = {k: far[i, v == k].sum() / max(1, (v == k).sum() - (k == v[i])) for k in set(v[v >= 0].tolist())}
+        a, b = means.pop(int(v[i])), min(means.values())
+        assert r.cluster_id == v[i] and r.a == pytest.approx(a, abs=1e-9) and r.b == pytest.approx(b, abs=1e-9)
+        assert r.silhouette == pytest.approx((b - a) / max(a, b) if (v == v[i]).sum() > 1 else 0.0, abs=1e-9)
