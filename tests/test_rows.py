@@ -208,3 +208,20 @@ def test_silhouettes_of_many_features_group_rows_and_leave_out_noise(spark):
         a, b = means.pop(int(v[i])), min(means.values())
         assert r.cluster_id == v[i] and r.a == pytest.approx(a, abs=1e-9) and r.b == pytest.approx(b, abs=1e-9)
         assert r.silhouette == pytest.approx((b - a) / max(a, b) if (v == v[i]).sum() > 1 else 0.0, abs=1e-9)
+
+
+def test_sums_by_group_equal_those_by_cluster():
+    rng = np.random.default_rng(7)
+    x, fine = rng.normal(size=(400, 6)), np.sort(rng.integers(-3, 30, 400))
+    labels = np.stack([np.where(fine < 0, -1, fine // k) for k in (1, 2, 9)], axis=1).astype("<i4")
+    rows = [{"n": 100, "x": x[i:i + 100].tobytes(), "labels": labels[i:i + 100].tobytes(), "ids": [str(j) for j in range(i, i + 100)]} for i in range(0, 400, 100)]
+    out = []
+    for grouped in (False, True):
+        work = M._Sums(rows[:2], 3, grouped)
+        for r in rows:
+            work.add(r)
+        out.append([(r["ids"], [tuple(v.values()) for v in r["s"]]) for b in work.finish() for r in b.to_pylist()])
+    assert len(work.groups) < sum(len(set(labels[:, i])) for i in range(3))
+    for (i, a), (j, b) in zip(*out, strict=True):
+        assert i == j and len(a) == len(b) == (0 if labels[int(i), 0] < 0 else 3)
+        np.testing.assert_allclose(np.array(a), np.array(b), rtol=1e-12)
